@@ -7,11 +7,14 @@ from ..model import WINDOW
 
 def with_window(df, time="timestamp", size=WINDOW):
     """Add `window_start` and `window_end` of the epoch-aligned tumbling window."""
+    return df.withColumn("_w", F.window(time, size)).select(*df.columns, *window_bounds("_w"))
+
+
+def window_bounds(window):
+    """Start and end columns of a window column."""
     return (
-        df.withColumn("_w", F.window(time, size))
-        .withColumn("window_start", F.col("_w.start"))
-        .withColumn("window_end", F.col("_w.end"))
-        .drop("_w")
+        F.col(f"{window}.start").alias("window_start"),
+        F.col(f"{window}.end").alias("window_end"),
     )
 
 

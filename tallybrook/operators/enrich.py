@@ -62,14 +62,19 @@ def unmatched_orders(orders, current):
     return orders.join(current.select("key"), "key", "left_anti")
 
 
-def split_dead_letter(enriched):
-    """(kept, rejected): rejected rows carry the reason they cannot be counted."""
-    reason = (
+def with_reason(enriched):
+    """Add `reason`: why the order cannot be counted, null where it can."""
+    return enriched.withColumn(
+        "reason",
         F.when(F.col("key").isNull(), F.lit("missing key"))
         .when(F.col("tier").isNull(), F.lit("no profile"))
-        .when(~allowed_tier(), F.lit("unknown tier"))
+        .when(~allowed_tier(), F.lit("unknown tier")),
     )
-    judged = enriched.withColumn("reason", reason)
+
+
+def split_dead_letter(enriched):
+    """(kept, rejected): rejected rows carry the reason they cannot be counted."""
+    judged = with_reason(enriched)
     return (
         judged.filter(F.col("reason").isNull()).drop("reason"),
         judged.filter(F.col("reason").isNotNull()),

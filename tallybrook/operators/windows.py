@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.clock import with_window
-from ..model import RETENTION_MS, WINDOW, WINDOW_KEY
+from ..functions.clock import window_bounds, with_window
+from ..model import DIMS, RETENTION_MS, WINDOW, WINDOW_KEY
 from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
 from ..plans.running import BLOCK_ROWS, Fold, offset_block, running
 
@@ -13,16 +13,20 @@ def rekey(enriched, size=WINDOW, time="timestamp"):
     return with_window(enriched.withColumnRenamed("key", "customer_id"), time, size)
 
 
-def totals(windowed):
-    return windowed.groupBy(*WINDOW_KEY).agg(
-        F.sum("order_count").alias("order_count"),
-        F.sum("total_amount_cents").alias("total_amount_cents"),
-    )
-
-
 def aggregate_windows(enriched, size=WINDOW, time="timestamp"):
-    """Final count and sum per customer, tier, currency and window."""
-    return totals(rekey(enriched, size, time))
+    """Final count and sum per customer, tier, currency and window.
+
+    Works on streams too: grouping by the window itself keeps its watermark.
+    """
+    return (
+        enriched.withColumnRenamed("key", "customer_id")
+        .groupBy(*DIMS, F.window(time, size).alias("_w"))
+        .agg(
+            F.sum("order_count").alias("order_count"),
+            F.sum("total_amount_cents").alias("total_amount_cents"),
+        )
+        .select(*DIMS, *window_bounds("_w"), "order_count", "total_amount_cents")
+    )
 
 
 def orders_per_window(orders, current, size=WINDOW, time="timestamp"):
@@ -33,8 +37,8 @@ def orders_per_window(orders, current, size=WINDOW, time="timestamp"):
     orders is reduced in the map tasks and never meets the join as single rows.
     """
     sums = (
-        with_window(orders.filter(F.col("key").isNotNull()), time, size)
-        .groupBy("key", "currency", "window_start", "window_end")
+        orders.filter(F.col("key").isNotNull())
+        .groupBy("key", "currency", F.window(time, size).alias("_w"))
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.sum("amount_cents").alias("total_amount_cents"),
@@ -45,8 +49,7 @@ def orders_per_window(orders, current, size=WINDOW, time="timestamp"):
         F.col("key").alias("customer_id"),
         "tier",
         "currency",
-        "window_start",
-        "window_end",
+        *window_bounds("_w"),
         "order_count",
         "total_amount_cents",
     )

@@ -30,11 +30,11 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def stream_events(spark, path, files_per_trigger=None):
-    reader = spark.readStream.schema(EVENTS)
+def stream_events(spark, folder, files="events.parquet", files_per_trigger=None):
+    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", files)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def as_orders(events, time_type="timestamp_ntz"):

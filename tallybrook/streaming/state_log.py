@@ -1,0 +1,72 @@
+"""Keyed state of a foreachBatch query, kept as one folder per batch.
+
+Batch N writes the rows it changed to `batch_id=N`, replacing whatever an earlier
+attempt at batch N left there. It reads the folders before N only, so running a
+batch again gives the same result. Every `full_every` batches the whole live state
+is written instead of the changes, so a lookup opens a bounded number of folders.
+"""
+
+import os
+
+from pyspark.sql import functions as F
+
+
+def batch_folder(path, batch_id):
+    return os.path.join(path, f"batch_id={batch_id}")
+
+
+class StateLog:
+    def __init__(self, path, keys, schema, full_every=50, live=None):
+        """`live` is a function from a state frame to the part worth keeping; it is
+        applied when the whole state is written."""
+        self.path = path
+        self.keys = list(keys)
+        self.schema = schema
+        self.full_every = full_every
+        self.live = live
+
+    def _base(self, batch_id):
+        return ((batch_id - 1) // self.full_every) * self.full_every
+
+    def before(self, spark, batch_id):
+        """State left by the batches before `batch_id`, one row per key."""
+        names = [c for c in self.schema.fieldNames() if c not in self.keys]
+        if batch_id == 0:
+            return spark.createDataFrame([], self.schema)
+        folders = [batch_folder(self.path, i) for i in range(self._base(batch_id), batch_id)]
+        logged = (
+            spark.read.schema(self.schema.add("batch_id", "bigint"))
+            .option("basePath", self.path)
+            .parquet(*folders)
+        )
+        return (
+            logged.groupBy(*self.keys)
+            .agg(F.max_by(F.struct(*names), "batch_id").alias("_newest"))
+            .select(*self.keys, "_newest.*")
+        )
+
+    def write(self, batch_id, changes):
+        """Store the changed rows (at most one per key)."""
+        columns = self.schema.fieldNames()
+        rows = changes.select(*columns)
+        if batch_id and batch_id % self.full_every == 0:
+            spark = changes.sparkSession
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
+            kept = self.before(spark, batch_id).alias("o").join(rows.alias("n"), same, "left_anti")
+            rows = kept.select(*columns).unionByName(rows)
+            if self.live is not None:
+                rows = self.live(rows)
+        rows.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
+
+
+def write_batch(df, path, batch_id, partition_by=()):
+    """Idempotent sink: the rows of a batch replace those of its earlier attempts."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(batch_folder(path, batch_id))
+
+
+def read_batches(spark, path):
+    """All rows written by `write_batch`, with `batch_id`."""
+    return spark.read.parquet(path)
