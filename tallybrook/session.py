@@ -13,6 +13,7 @@ def build_session(app_name="tallybrook", master=None, **conf):
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

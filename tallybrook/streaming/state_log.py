@@ -9,6 +9,7 @@ is written instead of the changes, so a lookup opens a bounded number of folders
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def batch_folder(path, batch_id):
@@ -34,8 +35,9 @@ class StateLog:
         if batch_id == 0:
             return spark.createDataFrame([], self.schema)
         folders = [batch_folder(self.path, i) for i in range(self._base(batch_id), batch_id)]
+        with_batch = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         logged = (
-            spark.read.schema(self.schema.add("batch_id", "bigint"))
+            spark.read.schema(with_batch)
             .option("basePath", self.path)
             .parquet(*folders)
         )

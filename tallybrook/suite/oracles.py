@@ -382,12 +382,14 @@ from changelog group by all having count(distinct total_amount_cents) > 1""",
                     as order_count)
   from a1 where cast(customer_id as bigint) % 50 <> 0)
 select e.customer_id, e.tier, e.currency, e.window_start, e.window_end,
-       w.order_count as written_count, w.total_amount_cents as written_cents,
+       coalesce(w.order_count, 0) as written_count,
+       coalesce(w.total_amount_cents, 0) as written_cents,
        e.order_count as expected_count, e.total_amount_cents as expected_cents,
        case when w.order_count is null then 'missing' else 'different' end as verdict
 from a1 e left join damaged w using (customer_id, tier, currency, window_start, window_end)
 where w.order_count is null or w.order_count <> e.order_count""",
-        "wire_prefix": _with(RAW) + "select * from split",
+        "wire_prefix": _with(RAW)
+        + "select * replace (coalesce(schema_id, -1) as schema_id) from split",
         "dangling_schema_ids": _with(RAW, REGISTRY)
         + "select * from id_counts where schema_id not in (select content_id from registry)",
         "ambiguous_schema_ids": _with(RAW, REGISTRY)

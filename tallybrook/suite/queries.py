@@ -213,7 +213,8 @@ def q_window_value_conflicts(spark, sf_dir):
 
 def q_reconcile_windows(spark, sf_dir):
     expected = _windows(spark, sf_dir, DAY)
-    return validate.reconcile_windows(td.damaged_windows(expected), expected)
+    found = validate.reconcile_windows(td.damaged_windows(expected), expected)
+    return found.fillna(0, ["written_count", "written_cents"])
 
 
 # registry
@@ -221,7 +222,7 @@ def q_reconcile_windows(spark, sf_dir):
 
 def q_wire_prefix(spark, sf_dir):
     split = split_wire_prefix(td.raw_records(spark, sf_dir))
-    return split.select(
+    return split.fillna(-1, ["schema_id"]).select(
         "offset", "magic", "schema_id", F.hex("payload").alias("payload"), "wire_error"
     )
 
