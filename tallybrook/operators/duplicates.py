@@ -2,23 +2,50 @@
 
 from pyspark.sql import functions as F
 
+from ..plans.hot_keys import HOT_ROWS, MAX_HOT_KEYS, mark_hot
+from ..session import new_folder
+
 
 def repeated_ids(records, id_column="order_id", order="offset"):
-    """Ids that occur more than once, with their first position."""
-    return (
+    """Ids that occur more than once: how often (`occurrences`) and first where.
+
+    Nearly every id is unique, so counting shuffles one narrow row per record. The
+    result is small in comparison; it is written to the shared folder once, which
+    lets its readers see its size and not count again.
+    """
+    found = (
         records.filter(F.col(id_column).isNotNull() & (F.col(id_column) != ""))
         .groupBy(id_column)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("first_seen"))
-        .filter(F.col("_n") > 1)
-        .drop("_n")
+        .agg(F.count(F.lit(1)).alias("occurrences"), F.min(order).alias("first_seen"))
+        .filter(F.col("occurrences") > 1)
     )
+    folder = new_folder(records.sparkSession, "repeated-ids")
+    found.write.parquet(folder)
+    return records.sparkSession.read.schema(found.schema).parquet(folder)
 
 
-def duplicate_orders(records, id_column="order_id", order="offset"):
-    """Every re-occurrence of an order id, with the position of the first one.
+def join_repeated(records, repeated, id_column, how, hot_rows=HOT_ROWS):
+    """Join records with `repeated_ids`. Records of the most frequent ids are not
+    shuffled: those few ids are broadcast."""
+    wanted = repeated.select(id_column, "first_seen")
+    top = repeated.filter(F.col("occurrences") > hot_rows)
+    top = top.orderBy(F.col("occurrences").desc()).limit(MAX_HOT_KEYS)
+    rows = top.select(id_column, "first_seen").collect()  # bounded by the limit
+    if not rows:
+        return records.join(wanted, id_column, how)
+    hot = records.sparkSession.createDataFrame(rows, wanted.schema)
+    marked = mark_hot(records, [id_column], hot.select(id_column))
+    return (
+        marked.filter("_hot")
+        .join(F.broadcast(hot), id_column, how)
+        .unionByName(marked.filter(~F.col("_hot")).join(wanted, id_column, how))
+        .drop("_hot")
+    )
 
-    Ids are counted with map-side combining; only repeated ones are joined back.
-    An id that makes up much of the table is split by adaptive skew handling.
-    """
+
+def duplicate_orders(records, id_column="order_id", order="offset", hot_rows=HOT_ROWS):
+    """Every re-occurrence of an order id, with the position of the first one."""
     repeated = repeated_ids(records, id_column, order)
-    return records.join(repeated, id_column).filter(F.col(order) > F.col("first_seen"))
+    return join_repeated(records, repeated, id_column, "inner", hot_rows).filter(
+        F.col(order) > F.col("first_seen")
+    )

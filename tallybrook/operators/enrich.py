@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..model import TIERS
+from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
 
 
 def latest_by_key(history, key="key", order="offset", deleted="deleted"):
@@ -22,6 +23,11 @@ def latest_by_key(history, key="key", order="offset", deleted="deleted"):
     )
 
 
+def current_tiers(history):
+    """`latest_by_key` with only the columns the enrichment needs."""
+    return latest_by_key(history.select("key", "offset", "tier", "deleted")).select("key", "tier")
+
+
 def allowed_tier(column="tier"):
     return F.col(column).isin(*TIERS)
 
@@ -41,15 +47,24 @@ def enrichment(orders, tier="tier"):
     )
 
 
-def enrich_current(orders, current):
+def enrich_current(orders, current, hot_rows=HOT_ROWS):
     """Orders left-joined with the current profile of their key.
 
-    `current` has at most one row per key. The planner picks the join: broadcast
-    for a small profile table, else a shuffled join in which adaptive execution
-    splits the partitions of very frequent keys.
+    `current` has at most one row per key. Orders of hot keys are joined where they
+    are with the profiles of just those keys, at most MAX_HOT_KEYS rows; the rest
+    is left to the planner. In a stream all orders are left to the planner.
     """
     profiles = current.select("key", "tier")
-    return enrichment(orders.join(profiles, "key", "left"))
+    hot = None if orders.isStreaming else find_hot_keys(orders, ["key"], hot_rows)
+    if hot is None:
+        return enrichment(orders.join(profiles, "key", "left"))
+    marked = mark_hot(orders, ["key"], hot)
+    of_hot_keys = F.broadcast(profiles.join(F.broadcast(hot), "key", "left_semi"))
+    return enrichment(
+        marked.filter("_hot")
+        .join(of_hot_keys, "key", "left")
+        .unionByName(marked.filter(~F.col("_hot")).join(profiles, "key", "left"))
+    )
 
 
 def drop_unmatched(enriched):

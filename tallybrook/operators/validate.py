@@ -10,7 +10,7 @@ from ..functions.clock import millis_between
 from ..model import UNIT_AMOUNT_CENTS, WINDOW_KEY, WINDOW_MS
 from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
 from ..plans.running import BLOCK_ROWS, Fold, offset_block, running
-from .duplicates import repeated_ids
+from .duplicates import join_repeated, repeated_ids
 
 # Rule names.
 MISSING_ID = "missing order id"
@@ -27,7 +27,7 @@ def violations(*rules):
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
 
 
-def validate_orders(records):
+def validate_orders(records, hot_rows=HOT_ROWS):
     """Orders with `violations`. A null value is no record and is left out.
 
     `records` has a struct column `value` (order_id, customer_id, ...) and the
@@ -38,7 +38,9 @@ def validate_orders(records):
     )
     repeated = repeated_ids(present, "_id", "offset")
     # records without an id take no part in the join, however many there are
-    named = present.filter(F.col("_id").isNotNull()).join(repeated, "_id", "left")
+    named = join_repeated(
+        present.filter(F.col("_id").isNotNull()), repeated, "_id", "left", hot_rows
+    )
     unnamed = present.filter(F.col("_id").isNull())
     rows = named.unionByName(unnamed, allowMissingColumns=True)
     return rows.select(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..plans.asof import lookup_asof
 from ..plans.hot_keys import HOT_ROWS
 from ..plans.running import BLOCK_ROWS, Fold, offset_block, running
-from .enrich import enrich_current, enrichment, latest_by_key
+from .enrich import current_tiers, enrich_current, enrichment
 
 
 def _versions(history):
@@ -65,7 +65,7 @@ def enrich_replay(
     join with the newest profiles.
     """
     if table_first:
-        return enrich_current(orders, latest_by_key(history))
+        return enrich_current(orders, current_tiers(history), hot_rows)
     versions = with_clock(_versions(history), block_rows=block_rows)
     matched = lookup_asof(
         with_clock(orders, queue, block_rows),

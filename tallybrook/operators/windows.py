@@ -180,9 +180,14 @@ def as_records(windows):
 
 
 def write_windows(windows, path, mode="overwrite"):
-    """Batch sink, one folder per day of window start."""
+    """Batch sink, one folder per day of window start.
+
+    The rebalance hint lets adaptive execution size the files: small days are
+    merged, large ones split over several tasks.
+    """
     (
         windows.withColumn("window_date", F.to_date("window_start"))
+        .hint("rebalance", "window_date")
         .write.mode(mode)
         .partitionBy("window_date")
         .parquet(path)

@@ -9,7 +9,13 @@ from pyspark.sql import SparkSession
 _LOCAL_FOLDER = None
 
 
-def build_session(app_name="tallybrook", master=None, **conf):
+def build_session(app_name="tallybrook", master=None, shuffle_bytes=None, **conf):
+    """Session with the settings the operators count on.
+
+    `shuffle_bytes`, the expected size of the largest shuffle, sets the number of
+    shuffle partitions so that one holds about 128 MB; adaptive execution merges
+    those that turn out small.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
@@ -18,6 +24,9 @@ def build_session(app_name="tallybrook", master=None, **conf):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
+    if shuffle_bytes:
+        partitions = max(200, shuffle_bytes // (128 << 20))
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     if master:
         builder = builder.master(master)
     for name, value in conf.items():

@@ -23,11 +23,21 @@ EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
+# Given schemas spare a look into the files before every query.
+SCHEMAS = {
+    "events": EVENTS,
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 PARTITIONS = 6
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if name in SCHEMAS:
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def stream_events(spark, folder, files="events.parquet", files_per_trigger=None):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import RETENTION_MS, WINDOW, WINDOW_KEY
-from ..operators.enrich import drop_unmatched, enrich_current, latest_by_key, with_reason
+from ..operators.enrich import current_tiers, drop_unmatched, enrich_current, with_reason
 from ..operators.validate import validate_windows
 from ..operators.windows import aggregate_windows, judge_lateness, window_changelog
 from ..plans.running import BLOCK_ROWS
@@ -28,7 +28,7 @@ def fresh_profiles(read_history):
     """A `prepare` step: join with the newest profiles, drop unmatched orders."""
 
     def prepare(orders):
-        return drop_unmatched(enrich_current(orders, latest_by_key(read_history())))
+        return drop_unmatched(enrich_current(orders, current_tiers(read_history())))
 
     return prepare
 
@@ -37,9 +37,12 @@ def _fields(schema, names):
     return T.StructType([T.StructField(n, schema[n].dataType) for n in names])
 
 
-def _touched(state, rows, keys):
-    """State of the keys that occur in `rows`."""
+def _touched(state, rows, keys, time):
+    """State of the keys that occur in `rows`. State is stored in the order of
+    `time`, so the lower bound keeps old row groups from being read."""
     found = rows.select(*keys).distinct()
+    earliest = rows.agg(F.min(time)).scalar()
+    state = state.filter(F.col(time).isNull() | (F.col(time) >= earliest))
     same = [F.col(f"s.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
     return state.alias("s").join(found.alias("f"), same, "left_semi")
 
@@ -107,7 +110,7 @@ def changelog(orders, path, prepare, size=WINDOW, full_every=50, block_rows=BLOC
         enriched = _staged(batch, path, batch_id, prepare)
         log = _totals_log(path, enriched.schema, "changelog_state", full_every)
         seed = _touched(
-            log.before(spark, batch_id), aggregate_windows(enriched, size), WINDOW_KEY
+            log.before(spark, batch_id), aggregate_windows(enriched, size), WINDOW_KEY, "window_end"
         ).select(
             *WINDOW_KEY,
             F.col("order_count").alias("running_count"),
@@ -135,7 +138,12 @@ def _totals_log(path, enriched_schema, name, full_every):
         ]
     )
     return StateLog(
-        os.path.join(path, name), WINDOW_KEY, schema, full_every, _live_windows("window_end")
+        os.path.join(path, name),
+        WINDOW_KEY,
+        schema,
+        full_every,
+        live=_live_windows("window_end"),
+        sort_by="window_end",
     )
 
 
@@ -157,7 +165,7 @@ def totals(orders, path, prepare, size=WINDOW, full_every=50):
         enriched = _staged(batch, path, batch_id, prepare)
         log = _totals_log(path, enriched.schema, "totals_state", full_every)
         added = aggregate_windows(enriched, size)
-        prior = _touched(log.before(spark, batch_id), added, WINDOW_KEY)
+        prior = _touched(log.before(spark, batch_id), added, WINDOW_KEY, "window_end")
         updated = (
             prior.unionByName(added)
             .groupBy(*WINDOW_KEY)
@@ -181,7 +189,7 @@ def dead_letters(orders, path, read_history):
     """Write countable and rejected orders of each micro-batch, joined once."""
 
     def handle(batch, batch_id):
-        judged = with_reason(enrich_current(batch, latest_by_key(read_history())))
+        judged = with_reason(enrich_current(batch, current_tiers(read_history())))
         marked = judged.withColumn("rejected", F.col("reason").isNotNull())
         write_batch(marked, path, batch_id, ["rejected"])
 
@@ -215,8 +223,9 @@ def validated_windows(records, path, full_every=50, block_rows=BLOCK_ROWS, **rul
             keys,
             _fields(bucket.schema, [*keys, "_previous"]),
             full_every,
+            sort_by="_start",
         )
-        seed = _touched(log.before(spark, batch_id), bucket, keys)
+        seed = _touched(log.before(spark, batch_id), bucket, keys, "_start")
         checked = validate_windows(present, seed=seed, block_rows=block_rows, **rules)
         write_batch(checked, os.path.join(path, "validated"), batch_id)
         newest = bucket.groupBy(*keys).agg(F.max_by("_previous", "offset").alias("_previous"))

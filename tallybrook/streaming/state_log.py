@@ -17,14 +17,16 @@ def batch_folder(path, batch_id):
 
 
 class StateLog:
-    def __init__(self, path, keys, schema, full_every=50, live=None):
+    def __init__(self, path, keys, schema, full_every=50, live=None, sort_by=None):
         """`live` is a function from a state frame to the part worth keeping; it is
-        applied when the whole state is written."""
+        applied when the whole state is written. `sort_by` orders the rows of each
+        file, so that readers can skip parts by its value."""
         self.path = path
         self.keys = list(keys)
         self.schema = schema
         self.full_every = full_every
         self.live = live
+        self.sort_by = sort_by
 
     def _base(self, batch_id):
         return ((batch_id - 1) // self.full_every) * self.full_every
@@ -58,6 +60,8 @@ class StateLog:
             rows = kept.select(*columns).unionByName(rows)
             if self.live is not None:
                 rows = self.live(rows)
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(self.sort_by)
         rows.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
 
 

@@ -25,11 +25,11 @@ MESSAGES = "kafka_server_brokertopicmetrics_messagesin_total"
 
 
 def _first_profiles(spark, sf_dir):
-    return enrich.latest_by_key(td.profile_history(spark, sf_dir, base_only=True))
+    return enrich.current_tiers(td.profile_history(spark, sf_dir, base_only=True))
 
 
 def _newest_profiles(spark, sf_dir):
-    return enrich.latest_by_key(td.profile_history(spark, sf_dir))
+    return enrich.current_tiers(td.profile_history(spark, sf_dir))
 
 
 def _matched(orders, current):

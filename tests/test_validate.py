@@ -121,3 +121,19 @@ def test_epoch_millis_round_trip(spark):
     frame = spark.createDataFrame([(1_779_876_000_123,)], "ms bigint")
     back = frame.withColumn("ts", from_epoch_millis(F.col("ms"))).withColumn("b", to_epoch_millis("ts"))
     assert rows(back, "b") == [(1_779_876_000_123,)]
+
+
+def test_a_very_frequent_id_is_broadcast(spark):
+    frame = spark.createDataFrame(
+        [("hot", i) for i in range(50)] + [("two", 60), ("two", 61), ("one", 70)],
+        "order_id string, offset bigint",
+    )
+    plain = duplicates.duplicate_orders(frame)
+    split = duplicates.duplicate_orders(frame, hot_rows=10)
+    assert split.count() == 50
+    assert sorted(rows(plain)) == sorted(rows(split.select(*plain.columns)))
+    records = frame.selectExpr(
+        "'k' as key", "named_struct('order_id', order_id, 'customer_id', 'k') as value", "offset"
+    )
+    checked = validate.validate_orders(records, hot_rows=10)
+    assert rows(validate.tally(checked)) == [(53, 50)]
