@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..model import TIERS
-from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
+from ..plans.hot_keys import DETECT, HOT_ROWS, find_hot_keys, mark_hot
 
 
 def latest_by_key(history, key="key", order="offset", deleted="deleted"):
@@ -47,24 +47,32 @@ def enrichment(orders, tier="tier"):
     )
 
 
-def enrich_current(orders, current, hot_rows=HOT_ROWS):
-    """Orders left-joined with the current profile of their key.
+def join_profiles(orders, profiles, how, hot_rows=HOT_ROWS, hot=DETECT):
+    """Join orders with a frame that has at most one row per key.
 
-    `current` has at most one row per key. Orders of hot keys are joined where they
-    are with the profiles of just those keys, at most MAX_HOT_KEYS rows; the rest
-    is left to the planner. In a stream all orders are left to the planner.
+    Orders of hot keys are joined where they are with the profiles of just those
+    keys, at most MAX_HOT_KEYS rows; the rest is left to the planner. (Adaptive
+    execution does not split a skewed join next to an aggregate, and profiles
+    usually come out of one.) In a stream all orders are left to the planner.
     """
-    profiles = current.select("key", "tier")
-    hot = None if orders.isStreaming else find_hot_keys(orders, ["key"], hot_rows)
+    if hot is DETECT:
+        hot = None if orders.isStreaming else find_hot_keys(orders, ["key"], hot_rows)
     if hot is None:
-        return enrichment(orders.join(profiles, "key", "left"))
+        return orders.join(profiles, "key", how)
     marked = mark_hot(orders, ["key"], hot)
     of_hot_keys = F.broadcast(profiles.join(F.broadcast(hot), "key", "left_semi"))
-    return enrichment(
+    split = (
         marked.filter("_hot")
-        .join(of_hot_keys, "key", "left")
-        .unionByName(marked.filter(~F.col("_hot")).join(profiles, "key", "left"))
+        .join(of_hot_keys, "key", how)
+        .unionByName(marked.filter(~F.col("_hot")).join(profiles, "key", how))
     )
+    return split.drop("_hot")
+
+
+def enrich_current(orders, current, hot_rows=HOT_ROWS, hot=DETECT):
+    """Orders left-joined with the current profile of their key."""
+    profiles = current.select("key", "tier")
+    return enrichment(join_profiles(orders, profiles, "left", hot_rows, hot))
 
 
 def drop_unmatched(enriched):
@@ -72,9 +80,14 @@ def drop_unmatched(enriched):
     return enriched.filter(F.col("tier").isNotNull())
 
 
-def unmatched_orders(orders, current):
+def matched_orders(orders, current, hot_rows=HOT_ROWS, hot=DETECT):
+    """Orders whose key has a current profile, with their own columns only."""
+    return join_profiles(orders, current.select("key"), "left_semi", hot_rows, hot)
+
+
+def unmatched_orders(orders, current, hot_rows=HOT_ROWS, hot=DETECT):
     """Orders whose key has no current profile."""
-    return orders.join(current.select("key"), "key", "left_anti")
+    return join_profiles(orders, current.select("key"), "left_anti", hot_rows, hot)
 
 
 def with_reason(enriched):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import window_bounds, with_window
 from ..model import DIMS, RETENTION_MS, WINDOW, WINDOW_KEY
-from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
+from ..plans.hot_keys import DETECT, HOT_ROWS, find_hot_keys, mark_hot
 from ..plans.running import BLOCK_ROWS, Fold, offset_block, running
 
 
@@ -59,7 +59,7 @@ def window_changelog(
     enriched,
     size=WINDOW,
     time="timestamp",
-    counted=None,
+    hot=DETECT,
     hot_rows=HOT_ROWS,
     block_rows=BLOCK_ROWS,
     seed=None,
@@ -68,35 +68,32 @@ def window_changelog(
 
     A group lies within one customer, so a cheap count per customer finds the
     groups that may be too large for a task; those are cut into offset blocks.
-    `counted` names a cheaper frame to count the `key` of (the orders before the
-    join). `seed` holds totals from before these orders.
+    `hot` takes the hot keys of the orders before the join, where that is cheaper.
+    `seed` holds totals from before these orders.
     """
     rows = rekey(enriched, size, time)
     folds = {
         "running_count": Fold("sum", F.col("order_count")),
         "running_cents": Fold("sum", F.col("total_amount_cents")),
     }
-    hot = None
-    if seed is None:
-        keys = (enriched if counted is None else counted).select(
-            F.col("key").alias("customer_id")
-        )
-        hot = find_hot_keys(keys, ["customer_id"], hot_rows)
     if seed is not None:
         out = running(
             rows, WINDOW_KEY, ["offset"], folds, offset_block("offset", block_rows), seed=seed
         )
-    elif hot is None:
-        out = running(rows, WINDOW_KEY, ["offset"], folds)
     else:
-        out = running(
-            mark_hot(rows, ["customer_id"], hot),
-            WINDOW_KEY,
-            ["offset"],
-            folds,
-            offset_block("offset", block_rows),
-            split=F.col("_hot"),
-        )
+        if hot is DETECT:
+            hot = find_hot_keys(enriched, ["key"], hot_rows)
+        if hot is None:
+            out = running(rows, WINDOW_KEY, ["offset"], folds)
+        else:
+            out = running(
+                mark_hot(rows, ["customer_id"], hot.toDF("customer_id")),
+                WINDOW_KEY,
+                ["offset"],
+                folds,
+                offset_block("offset", block_rows),
+                split=F.col("_hot"),
+            )
     return out.select(
         *WINDOW_KEY,
         F.col("running_count").alias("order_count"),

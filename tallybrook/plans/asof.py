@@ -36,15 +36,13 @@ def lookup_asof(
     equal times a version comes before an event, and among versions of one time
     the highest `version_order` wins. `payload` is null where nothing precedes.
     """
+    columns = events.columns
+    hot = find_hot_keys(events.select(key).unionAll(versions.select(key)), [key], hot_rows)
     versions = (
         versions.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
         .groupBy(key, time)
         .agg(F.max_by(payload, version_order).alias(payload))
     )
-    columns = events.columns
-    hot = find_hot_keys(
-        events.select(key).unionAll(versions.select(key)), [key], hot_rows
-    )
     if hot is None:
         # events without a key match nothing; spread them instead of grouping them
         cell = F.when(F.col(key).isNull(), offset_block(event_offset, block_rows))

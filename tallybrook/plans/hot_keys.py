@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
+# Default of `hot` parameters: count now. Callers that run several operators over
+# the same keys count once with find_hot_keys and pass the result (a frame or None).
+DETECT = object()
+
 
 def find_hot_keys(df, keys, hot_rows=HOT_ROWS):
     """The hot keys of `df` as a small frame, or None when there are none.

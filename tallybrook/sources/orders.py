@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..functions.wire import PREFIX_BYTES, decode_key
+from ..functions.wire import decode_key
 from ..model import ORDER_FIELDS, ORDER_PAYLOAD, ORDERS
 
 
@@ -24,41 +24,6 @@ def stream_orders(spark, path, files_per_trigger=None, schema=ORDERS):
     return reader.parquet(path)
 
 
-def stream_kafka(spark, servers, topic, offsets_per_trigger=None):
-    """Raw records of a topic: from the earliest offset, committed records only.
-
-    Needs Spark's Kafka package on the class path.
-    """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .option("kafka.isolation.level", "read_committed")
-    )
-    if offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
-    return reader.load()
-
-
-def decode_avro(raw, avro_schema):
-    """Payload columns of raw topic records written with the wire prefix.
-
-    Needs Spark's Avro package on the class path.
-    """
-    from pyspark.sql.avro.functions import from_avro
-
-    body = F.substring(F.col("value"), F.lit(PREFIX_BYTES + 1), F.length("value"))
-    return raw.filter(F.col("value").isNotNull()).select(
-        decode_key("key").alias("key"),
-        "topic",
-        "partition",
-        "offset",
-        "timestamp",
-        from_avro(body, avro_schema).alias("record"),
-    )
-
-
 def scan_orders(orders):
     """One line per record: where it was read from and what it says."""
     return orders.select(

@@ -8,6 +8,7 @@ from ..functions.clock import is_window_label, window_label
 from ..functions.metric_names import normalise_metric_names
 from ..functions.wire import split_wire_prefix
 from ..operators import duplicates, enrich, metrics, registry, validate, versioned, windows
+from ..plans.hot_keys import find_hot_keys
 from ..session import new_folder
 from ..sources import testdata as td
 from ..sources.generators import as_generated_orders
@@ -32,16 +33,13 @@ def _newest_profiles(spark, sf_dir):
     return enrich.current_tiers(td.profile_history(spark, sf_dir))
 
 
-def _matched(orders, current):
-    """Orders with a profile, all order columns kept."""
-    return orders.join(current.select("key"), "key", "left_semi")
-
-
-def _enriched(spark, sf_dir, unit=False):
+def _changelog(spark, sf_dir, unit=False):
     orders = td.orders(spark, sf_dir)
+    hot = find_hot_keys(orders, ["key"])
     if unit:
         orders = td.unit_orders(orders)
-    return enrich.drop_unmatched(enrich.enrich_current(orders, _first_profiles(spark, sf_dir)))
+    enriched = enrich.enrich_current(orders, _first_profiles(spark, sf_dir), hot=hot)
+    return windows.window_changelog(enrich.drop_unmatched(enriched), DAY, hot=hot)
 
 
 def _windows(spark, sf_dir, size):
@@ -132,13 +130,11 @@ def q_orders_per_window_asof(spark, sf_dir):
 
 
 def q_window_changelog(spark, sf_dir):
-    return windows.window_changelog(
-        _enriched(spark, sf_dir), DAY, counted=td.orders(spark, sf_dir)
-    )
+    return _changelog(spark, sf_dir)
 
 
 def _kept_and_late(spark, sf_dir):
-    return _matched(td.orders(spark, sf_dir), _first_profiles(spark, sf_dir))
+    return enrich.matched_orders(td.orders(spark, sf_dir), _first_profiles(spark, sf_dir))
 
 
 def q_orders_strict_no_grace(spark, sf_dir):
@@ -180,10 +176,7 @@ def q_validate_orders(spark, sf_dir):
 
 
 def _window_records(spark, sf_dir):
-    enriched = _enriched(spark, sf_dir, unit=True)
-    return td.break_windows(
-        windows.window_changelog(enriched, DAY, counted=td.orders(spark, sf_dir))
-    )
+    return td.break_windows(_changelog(spark, sf_dir, unit=True))
 
 
 def q_validate_windows(spark, sf_dir):
@@ -335,7 +328,7 @@ def q_stream_strict_no_grace(spark, sf_dir):
     orders = _stream_orders(spark, sf_dir)
 
     def prepare(batch):
-        return _matched(batch, _first_profiles(spark, sf_dir))
+        return enrich.matched_orders(batch, _first_profiles(spark, sf_dir))
 
     folder = _run(
         spark, lambda f: batches.strict(orders, f, prepare, arrival=JITTERED), "strict"

@@ -64,6 +64,8 @@ def test_hot_keys_are_joined_without_a_shuffle(spark):
     current = enrich.current_tiers(profiles(spark, [("a", "PRO", at()), ("c", "FREE", at())]))
     plain, split = enrich.enrich_current(frame, current), enrich.enrich_current(frame, current, 10)
     assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+    for keep, kept in ((enrich.matched_orders, 31), (enrich.unmatched_orders, 2)):
+        assert keep(frame, current).count() == keep(frame, current, hot_rows=10).count() == kept
 
 
 class FakeSession:
