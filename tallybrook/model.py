@@ -57,18 +57,6 @@ PROFILES = T.StructType(
     [*ENVELOPE_FIELDS, *PROFILE_FIELDS, T.StructField("deleted", T.BooleanType())]
 )
 
-WINDOW_ROW = T.StructType(
-    [
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("tier", T.StringType()),
-        T.StructField("currency", T.StringType()),
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("order_count", T.LongType()),
-        T.StructField("total_amount_cents", T.LongType()),
-    ]
-)
-
 REGISTRY_DUMP = T.StructType(
     [
         T.StructField("subject", T.StringType()),

@@ -6,21 +6,31 @@ from ..plans.hot_keys import HOT_ROWS, MAX_HOT_KEYS, mark_hot
 from ..session import new_folder
 
 
-def repeated_ids(records, id_column="order_id", order="offset"):
+def named(records, id_column):
+    """Records whose id is neither null nor empty."""
+    return records.filter(F.col(id_column).isNotNull() & (F.col(id_column) != ""))
+
+
+def repeated_ids(records, id_column="order_id", order="offset", seen=None, folder=None):
     """Ids that occur more than once: how often (`occurrences`) and first where.
 
+    `seen` holds earlier ids and their `first_seen`. `folder` is where the result
+    is written (default: a new one).
+
     Nearly every id is unique, so counting shuffles one narrow row per record. The
     result is small in comparison; it is written to the shared folder once, which
     lets its readers see its size and not count again.
     """
+    places = named(records, id_column).select(id_column, order)
+    if seen is not None:
+        places = places.unionAll(seen.select(id_column, "first_seen"))
     found = (
-        records.filter(F.col(id_column).isNotNull() & (F.col(id_column) != ""))
-        .groupBy(id_column)
+        places.groupBy(id_column)
         .agg(F.count(F.lit(1)).alias("occurrences"), F.min(order).alias("first_seen"))
         .filter(F.col("occurrences") > 1)
     )
-    folder = new_folder(records.sparkSession, "repeated-ids")
-    found.write.parquet(folder)
+    folder = folder or new_folder(records.sparkSession, "repeated-ids")
+    found.write.mode("overwrite").parquet(folder)
     return records.sparkSession.read.schema(found.schema).parquet(folder)
 
 

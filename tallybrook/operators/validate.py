@@ -27,16 +27,17 @@ def violations(*rules):
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
 
 
-def validate_orders(records, hot_rows=HOT_ROWS):
+def validate_orders(records, hot_rows=HOT_ROWS, seen=None, folder=None):
     """Orders with `violations`. A null value is no record and is left out.
 
     `records` has a struct column `value` (order_id, customer_id, ...) and the
-    envelope columns key and offset.
+    envelope columns key and offset. `seen` (`_id`, `first_seen`) names ids from
+    before these records; `folder` takes the table of repeated ids.
     """
     present = records.filter(F.col("value").isNotNull()).withColumn(
         "_id", F.nullif(F.col("value.order_id"), F.lit(""))
     )
-    repeated = repeated_ids(present, "_id", "offset")
+    repeated = repeated_ids(present, "_id", "offset", seen, folder)
     # records without an id take no part in the join, however many there are
     named = join_repeated(
         present.filter(F.col("_id").isNotNull()), repeated, "_id", "left", hot_rows

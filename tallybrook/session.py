@@ -21,6 +21,8 @@ def build_session(app_name="tallybrook", master=None, shuffle_bytes=None, **conf
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # plans are built column by column; do not record a Python call site for each
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )

@@ -123,19 +123,20 @@ def profile_history(spark, sf_dir, base_only=False, country=False):
     ).select("key", "topic", "partition", "v.*", *(["country"] if country else []))
 
 
-def orders_with_repeats(spark, sf_dir):
+def with_repeats(rows):
     """All orders, and every hundredth once more at a later offset."""
-    rows = orders(spark, sf_dir)
-    again = rows.filter(F.col("offset") % 100 == 0).withColumn(
-        "offset", F.col("offset") + 1_000_000_000_000
+    copies = F.when(F.col("offset") % 100 == 0, 2).otherwise(1)
+    return (
+        rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        .withColumn("offset", F.col("offset") + (F.col("copy") - 1) * F.lit(1_000_000_000_000))
+        .drop("copy")
     )
-    return rows.unionByName(again)
 
 
-def order_records(spark, sf_dir):
+def as_order_records(orders_frame):
     """Orders as (key, value) records, some broken: empty ids, keys that differ
     from the customer, repeats, null values."""
-    rows = orders_with_repeats(spark, sf_dir)
+    rows = with_repeats(orders_frame)
     n = F.col("offset") % 1_000_000_000_000
     value = F.struct(
         F.when(n % 101 == 0, F.lit("")).otherwise(F.col("order_id")).alias("order_id"),

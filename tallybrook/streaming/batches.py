@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..model import RETENTION_MS, WINDOW, WINDOW_KEY
 from ..operators.enrich import current_tiers, drop_unmatched, enrich_current, with_reason
-from ..operators.validate import validate_windows
+from ..operators.validate import validate_orders, validate_windows
 from ..operators.windows import aggregate_windows, judge_lateness, window_changelog
 from ..plans.running import BLOCK_ROWS
 from .run import for_each_batch
@@ -234,5 +234,43 @@ def validated_windows(records, path, full_every=50, block_rows=BLOCK_ROWS, **rul
     return for_each_batch(records, handle)
 
 
-def read_validated(spark, path):
-    return read_batches(spark, os.path.join(path, "validated"))
+def validated_orders(records, path, remember="1 day", full_every=50):
+    """`validate_orders` over a stream of order records.
+
+    Ids are remembered for `remember` of record time: a repeat after that is not
+    reported, and the state stays bounded.
+    """
+
+    def recent(state):
+        newest = state.agg(F.max("timestamp")).scalar()
+        return state.filter(F.col("timestamp") + F.expr(f"interval {remember}") > newest)
+
+    def handle(batch, batch_id):
+        spark = batch.sparkSession
+        present = batch.filter(F.col("value").isNotNull())
+        ids = (
+            present.select(
+                F.nullif(F.col("value.order_id"), F.lit("")).alias("_id"), "offset", "timestamp"
+            )
+            .filter(F.col("_id").isNotNull())
+            .groupBy("_id")
+            .agg(F.min("offset").alias("first_seen"), F.min("timestamp").alias("timestamp"))
+        )
+        log = StateLog(
+            os.path.join(path, "seen_ids"), ["_id"], ids.schema, full_every, live=recent
+        )
+        before = log.before(spark, batch_id)
+        checked = validate_orders(
+            present,
+            seen=before.join(ids.select("_id"), "_id", "left_semi"),
+            folder=batch_folder(os.path.join(path, "repeated"), batch_id),
+        )
+        write_batch(checked, os.path.join(path, "validated_orders"), batch_id)
+        log.write(batch_id, ids.join(before.select("_id"), "_id", "left_anti"))
+
+    return for_each_batch(records, handle)
+
+
+def read_validated(spark, path, name="validated"):
+    """Records with violations; `name` is validated or validated_orders."""
+    return read_batches(spark, os.path.join(path, name))

@@ -471,6 +471,8 @@ where window_end > stream_time""",
         "stream_window_changelog": _with(ORDERS, BASE, _changelog()) + "select * from changelog",
         "stream_validate_windows": _with(ORDERS, BASE, _changelog("4242"), WINDOW_CHECKS)
         + "select * from window_checks",
+        "stream_validate_orders": _with(ORDERS, REPEATED, ORDER_CHECKS)
+        + "select * from order_checks",
         "stream_dedup": _with(ORDERS) + "select key, order_id, amount_cents, currency from f_orders",
         "stream_dead_letter": _with(ORDERS, HISTORY, LATEST)
         + """

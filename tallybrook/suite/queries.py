@@ -162,7 +162,7 @@ def q_window_string_key(spark, sf_dir):
 
 
 def q_duplicate_orders(spark, sf_dir):
-    rows = duplicates.duplicate_orders(td.orders_with_repeats(spark, sf_dir))
+    rows = duplicates.duplicate_orders(td.with_repeats(td.orders(spark, sf_dir)))
     return rows.select("key", "order_id", "offset", "first_seen")
 
 
@@ -171,8 +171,10 @@ def _violations_text():
 
 
 def q_validate_orders(spark, sf_dir):
-    checked = validate.validate_orders(td.order_records(spark, sf_dir))
-    return checked.select("key", "offset", F.col("value.order_id").alias("order_id"), _violations_text())
+    checked = validate.validate_orders(td.as_order_records(td.orders(spark, sf_dir)))
+    return checked.select(
+        "key", "offset", F.col("value.order_id").alias("order_id"), _violations_text()
+    )
 
 
 def _window_records(spark, sf_dir):
@@ -191,7 +193,7 @@ def q_validate_windows(spark, sf_dir):
 
 
 def q_validation_summary(spark, sf_dir):
-    orders = validate.tally(validate.validate_orders(td.order_records(spark, sf_dir)))
+    orders = validate.tally(validate.validate_orders(td.as_order_records(td.orders(spark, sf_dir))))
     records = validate.tally(
         validate.validate_windows(_window_records(spark, sf_dir), width_ms=DAY_MS)
     )
@@ -362,12 +364,17 @@ def q_stream_validate_windows(spark, sf_dir):
     )
 
 
+def q_stream_validate_orders(spark, sf_dir):
+    records = td.as_order_records(_stream_orders(spark, sf_dir))
+    folder = _run(spark, lambda f: batches.validated_orders(records, f), "validated-orders")
+    checked = batches.read_validated(spark, folder, "validated_orders")
+    return checked.select(
+        "key", "offset", F.col("value.order_id").alias("order_id"), _violations_text()
+    )
+
+
 def q_stream_dedup(spark, sf_dir):
-    events = _events_stream(spark, sf_dir)
-    # every hundredth event comes twice
-    copies = F.when(F.col("event_id") % 100 == 0, 2).otherwise(1)
-    repeated = events.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    orders = td.as_orders(repeated, "timestamp")
+    orders = td.with_repeats(_stream_orders(spark, sf_dir, "timestamp"))
     first = native.first_occurrences(orders, "10 minutes")
     folder = _run(
         spark,

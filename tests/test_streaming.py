@@ -269,6 +269,29 @@ def test_window_rules_across_batches(spark, tmp_path):
     assert found == dict(rows(validate_windows(records), "offset", "violations"))
 
 
+def test_order_rules_across_batches(spark, tmp_path):
+    """A repeat is reported whichever batch it comes in, until its id is forgotten."""
+    ids = ["o1", "o1", "", "o2", "o1", "o2", "o3"]
+    minutes = [0, 1, 2, 3, 4, 500, 501]
+    frame = orders(spark, [("a", o, 1, "EUR", at(m)) for o, m in zip(ids, minutes)])
+    value = F.struct("order_id", "customer_id")
+    records = frame.select("key", value.alias("value"), "offset", "timestamp")
+    feed = Feed(spark, tmp_path / "in")
+    for low, high in ((0, 1), (2, 4), (5, 6)):
+        feed.add(records.filter(F.col("offset").between(low, high)))
+    found = {}
+    for remember in ("1 day", "1 hour"):
+        out = str(tmp_path / remember.replace(" ", ""))
+        query = batches.validated_orders(feed.stream(), out, remember, full_every=1)
+        run_to_end(query, out + "-cp")
+        checked = batches.read_validated(spark, out, "validated_orders")
+        found[remember] = dict(rows(checked, "offset", "violations"))
+    again, missing = ["duplicate order id"], ["missing order id"]
+    assert found["1 day"] == {0: [], 1: again, 2: missing, 3: [], 4: again, 5: again, 6: []}
+    # ids are forgotten when a later batch is stored, not within a batch
+    assert found["1 hour"] == found["1 day"]
+
+
 def test_repeated_ids_pass_once(spark, tmp_path):
     frame = orders(spark, random_orders(40))
     feed = Feed(spark, tmp_path / "in", zoned=True)
