@@ -1,6 +1,7 @@
 """Session defaults and the shared folder for checkpoints and state tables."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     global _LOCAL_FOLDER
     if _LOCAL_FOLDER is None:
