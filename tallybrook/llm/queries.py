@@ -1,13 +1,36 @@
 """One query per corpus operator over its whole table: (spark, folder) -> DataFrame."""
 
-from . import licenses, mixing, quality, urls
+from pyspark.sql import functions as F
+
+from . import html, licenses, mixing, packing, pii, quality, repeats, urls
 from .common import table
 
 
+def op1_site_templates(spark, sf_dir):
+    return html.extract_main_text(spark, table(spark, sf_dir, "pages"))
+
+
+def op3_private_data(spark, sf_dir):
+    return pii.digest(pii.find_pii(spark, table(spark, sf_dir, "documents")))
+
+
 def op4_license_rules(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_pack_windows(spark, sf_dir):
+    pieces, placed = packing.pack_documents(spark, table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "start",
+        F.col("length").cast("bigint").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op6_mix_sources(spark, sf_dir):
     mixed = mixing.plan_mix(spark, table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -18,6 +41,11 @@ def op8_link_trust(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_compacted_repeats(spark, sf_dir):
+    kept = repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark, sf_dir):
     judged = quality.judge_documents(spark, table(spark, sf_dir, "documents"))
     return judged.select(
@@ -34,9 +62,13 @@ def op10_quality_rules(spark, sf_dir):
 
 def llm_queries():
     return {
+        "op1_site_templates": op1_site_templates,
+        "op3_private_data": op3_private_data,
         "op4_license_rules": op4_license_rules,
+        "op5_pack_windows": op5_pack_windows,
         "op6_mix_sources": op6_mix_sources,
         "op8_link_trust": op8_link_trust,
+        "op9_compacted_repeats": op9_compacted_repeats,
         "op10_quality_rules": op10_quality_rules,
     }
 
