@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import html, licenses, mixing, packing, pii, quality, repeats, urls
+from . import html, licenses, mixing, near_copies, neighbours, packing, pii, quality, repeats, urls
 from .common import table
 
 
@@ -10,6 +10,11 @@ def op1_site_templates(spark, sf_dir):
     return html.extract_main_text(spark, table(spark, sf_dir, "pages"))
 
 
+def op2_descent_graph(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(spark, vectors, lambda vec_id: vec_id % 20 == 0)
+
+
 def op3_private_data(spark, sf_dir):
     return pii.digest(pii.find_pii(spark, table(spark, sf_dir, "documents")))
 
@@ -36,6 +41,10 @@ def op6_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_weighted_samples(spark, sf_dir):
+    return near_copies.near_copy_classes(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_link_trust(spark, sf_dir):
     judged = urls.judge_urls(spark, table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -63,10 +72,12 @@ def op10_quality_rules(spark, sf_dir):
 def llm_queries():
     return {
         "op1_site_templates": op1_site_templates,
+        "op2_descent_graph": op2_descent_graph,
         "op3_private_data": op3_private_data,
         "op4_license_rules": op4_license_rules,
         "op5_pack_windows": op5_pack_windows,
         "op6_mix_sources": op6_mix_sources,
+        "op7_weighted_samples": op7_weighted_samples,
         "op8_link_trust": op8_link_trust,
         "op9_compacted_repeats": op9_compacted_repeats,
         "op10_quality_rules": op10_quality_rules,
