@@ -197,27 +197,40 @@ def robust_estimates(stats, keys, row_id):
     return fit
 
 
+def _measured(docs, text):
+    """Base statistics, the base verdict and the integer vector; the text goes."""
+    judged = text_statistics(docs, text).drop(text)
+    failed = (F.col("n_words") < MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
+    )
+    return judged.withColumn("base_failed", failed).withColumns(_vector())
+
+
+def _judged(measured, fit, keys, row_id):
+    done = salted_join(measured, fit, keys, [row_id])
+    distance = F.when(F.col("group_size") >= MIN_GROUP, _distance())
+    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)
+    return done.withColumn("distance", distance).withColumn("kept", kept)
+
+
+def _estimated(spark, measured, keys, row_id):
+    sound = measured.filter("not base_failed").select(row_id, *keys, *STATS)
+    return stage(spark, robust_estimates(sound, keys, row_id), "quality-fit")
+
+
 def judge_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text="text"):
     """Statistics and verdict for every row of `docs`.
 
     Returns `row_id`, the keys, the base statistics, `base_failed`, `distance` (null in
     groups under MIN_GROUP documents) and `kept`. Null texts count as empty, null keys
     form a group of their own, repeated rows are judged each; other columns are ignored.
-    Documents that fail the base rules do not shape the estimates.
+    Documents that fail the base rules do not shape the estimates. An empty table gives
+    no rows.
     """
     keys = list(keys)
-    judged = text_statistics(docs.select(row_id, *keys, text), text).drop(text)
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    )
-    judged = stage(spark, judged.withColumn("base_failed", failed).withColumns(_vector()), "quality")
-    fit = robust_estimates(
-        judged.filter("not base_failed").select(row_id, *keys, *STATS), keys, row_id
-    )
-    fit = stage(spark, fit, "quality-fit")
-    done = salted_join(judged, fit, keys, [row_id])
-    distance = F.when(F.col("group_size") >= MIN_GROUP, _distance())
-    return done.withColumn("distance", distance).select(
+    measured = stage(spark, _measured(docs.select(row_id, *keys, text), text), "quality")
+    done = _judged(measured, _estimated(spark, measured, keys, row_id), keys, row_id)
+    return done.select(
         row_id,
         *keys,
         "n_words",
@@ -227,5 +240,19 @@ def judge_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text=
         "n_repeat_words",
         "base_failed",
         "distance",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"),
+        "kept",
     )
+
+
+def keep_good_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text="text"):
+    """The rows of `docs` that `judge_documents` keeps, all columns kept.
+
+    The statistics are computed once more next to the text, so that the texts meet only the
+    one row of their group's estimate and are not shuffled by document.
+    """
+    keys = list(keys)
+    measured = stage(spark, _measured(docs.select(row_id, *keys, text), text), "quality")
+    fit = _estimated(spark, measured, keys, row_id)
+    whole = docs.select(row_id, *keys, text, F.struct(*docs.columns).alias("__row"))
+    done = _judged(_measured(whole, text), fit, keys, row_id)
+    return done.filter("kept").select("__row.*")

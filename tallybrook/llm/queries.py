@@ -1,5 +1,6 @@
 """One query per corpus operator over its whole table: (spark, folder) -> DataFrame."""
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from . import html, licenses, mixing, near_copies, neighbours, packing, pii, quality, repeats, urls
@@ -24,7 +25,7 @@ def op4_license_rules(spark, sf_dir):
 
 
 def op5_pack_windows(spark, sf_dir):
-    pieces, placed = packing.pack_documents(spark, table(spark, sf_dir, "documents"))
+    _, placed = packing.pack_documents(spark, table(spark, sf_dir, "documents"))
     return placed.select(
         "doc_id",
         "start",
@@ -81,6 +82,7 @@ def llm_queries():
         "op8_link_trust": op8_link_trust,
         "op9_compacted_repeats": op9_compacted_repeats,
         "op10_quality_rules": op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
