@@ -14,10 +14,16 @@ DAY_MICROS = 86_400_000_000
 
 
 def with_series(samples):
-    """Add `labels_id`, a groupable form of the label map (labels in key order)."""
-    pairs = F.array_sort(F.map_entries("labels"))
-    text = F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return samples.withColumn("labels_id", F.array_join(text, ","))
+    """Add `labels_id`, a groupable form of the label map: its entries in key order."""
+    return samples.withColumn("labels_id", F.array_sort(F.map_entries("labels")))
+
+
+def labels_text(labels_id):
+    """Readable form of `labels_id`; different labels may read alike, so never group by it."""
+    pairs = F.transform(
+        labels_id, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))
+    )
+    return F.array_join(pairs, ",")
 
 
 def _micros(column):
@@ -95,8 +101,6 @@ def relative_drop(samples, metric, trailing_seconds=600, below=0.5):
     The mean covers the sample itself and the `trailing_seconds` before it. A
     sample also joins the next block as context, so blocks can be cut anywhere.
     """
-    if trailing_seconds * 1_000_000 > DAY_MICROS:
-        raise ValueError("the trailing span must fit into one day")
     placed = (
         samples.filter(F.col("metric") == metric)
         .select("instance", "ts", "value", _day().alias("_day"), _micros("ts").alias("_at"))
@@ -118,20 +122,45 @@ def relative_drop(samples, metric, trailing_seconds=600, below=0.5):
     )
 
 
-def outage_episodes(samples, metric):
+def cluster_sum(samples, metric, step="15 seconds"):
+    """Sum of a gauge over instances per step (`ts` is its start).
+
+    Instances are not scraped at the same moments: each counts with its last value of
+    the step, or, if it has none, with that of the step before.
+    """
+    last = gauge_by_instance(samples, metric, step)
+    carried = last.select(
+        "instance", (F.col("step") + F.expr(f"interval {step}")).alias("step"), "value"
+    )
+    own = last.withColumn("own", F.lit(1)).unionByName(carried.withColumn("own", F.lit(0)))
+    filled = own.groupBy("instance", "step").agg(
+        F.max_by("value", "own").alias("value"), F.max("own").alias("own")
+    )
+    # a step that nobody was scraped in is no sample of the cluster
+    return (
+        filled.groupBy(F.col("step").alias("ts"))
+        .agg(F.sum("value").alias("value"), F.max("own").alias("own"))
+        .filter("own = 1")
+        .drop("own")
+    )
+
+
+def outage_episodes(samples, metric, step="15 seconds"):
     """Times a gauge was away from 0, per instance and for the sum of all.
 
     An episode runs from the first sample away from 0 to the last one before the
-    next 0 (`recovered_at`, null while it lasts). The instance `cluster` is the sum
-    over instances at equal times.
+    next 0 (`recovered_at`, null while it lasts). `scope` is instance or cluster; rows
+    of the cluster are those of `cluster_sum` and have no instance.
     """
     gauge = samples.filter(F.col("metric") == metric).select("instance", "ts", "value")
-    cluster = gauge.groupBy("ts").agg(F.sum("value").alias("value"))
-    both = gauge.unionByName(cluster.withColumn("instance", F.lit("cluster")))
+    both = gauge.withColumn("scope", F.lit("instance")).unionByName(
+        cluster_sum(samples, metric, step).withColumn("scope", F.lit("cluster")),
+        allowMissingColumns=True,
+    )
     # samples between two zeros share the time of the zero before them
     anchored = running(
         both,
-        ["instance"],
+        ["scope", "instance"],
         ["ts"],
         {"last_zero": Fold("max", F.when(F.col("value") == 0, F.col("ts")))},
         block=_day(),
@@ -139,7 +168,7 @@ def outage_episodes(samples, metric):
     )
     away = F.col("value") != 0
     return (
-        anchored.groupBy("instance", "last_zero")
+        anchored.groupBy("scope", "instance", "last_zero")
         .agg(
             F.min(F.when(away, F.col("ts"))).alias("started_at"),
             F.max(F.when(away, F.col("ts"))).alias("last_seen_at"),

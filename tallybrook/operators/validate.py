@@ -10,7 +10,7 @@ from ..functions.clock import millis_between
 from ..model import UNIT_AMOUNT_CENTS, WINDOW_KEY, WINDOW_MS
 from ..plans.hot_keys import HOT_ROWS, find_hot_keys, mark_hot
 from ..plans.running import BLOCK_ROWS, Fold, offset_block, running
-from .duplicates import join_repeated, repeated_ids
+from .duplicates import is_repeat, join_repeated, repeated_ids
 
 # Rule names.
 MISSING_ID = "missing order id"
@@ -49,23 +49,30 @@ def validate_orders(records, hot_rows=HOT_ROWS, seen=None, folder=None):
         violations(
             (MISSING_ID, F.col("_id").isNull()),
             (KEY_MISMATCH, ~F.col("value.customer_id").eqNullSafe(F.col("key"))),
-            (DUPLICATE_ID, F.col("offset") > F.col("first_seen")),
+            (DUPLICATE_ID, is_repeat(records)),
         ).alias("violations"),
     )
 
 
 def window_rules(previous_count, previous_total, unit_amount, width_ms):
-    """The rules of a window record as (name, broken) pairs."""
+    """The rules of a window record as (name, broken) pairs. A missing count, total or
+    bound breaks the rule that needs it; the first record of a window has none before it."""
     dims = ("customer_id", "tier", "currency")
     same_dims = F.struct(*[F.col(f"value.{d}") for d in dims]).eqNullSafe(
         F.struct(*[F.col(f"key.{d}") for d in dims])
     )
     count, total = F.col("value.order_count"), F.col("value.total_amount_cents")
     return (
-        (SUM, total != count * F.lit(unit_amount)),
+        (SUM, F.coalesce(total != count * F.lit(unit_amount), F.lit(True))),
         (DIMENSIONS, ~same_dims),
-        (WIDTH, millis_between("value.window_start", "value.window_end") != width_ms),
-        (MONOTONIC, (count < previous_count) | (total < previous_total)),
+        (WIDTH, F.coalesce(millis_between("value.window_start", "value.window_end") != width_ms, F.lit(True))),
+        (
+            MONOTONIC,
+            (count < previous_count)
+            | (total < previous_total)
+            | (count.isNull() & previous_count.isNotNull())
+            | (total.isNull() & previous_total.isNotNull()),
+        ),
     )
 
 

@@ -58,7 +58,7 @@ def conform(df, reader=ORDER_PAYLOAD):
     ]
     if missing:
         reason = "missing required field: " + ", ".join(missing)
-        accepted = df.limit(0).select(
+        accepted = df.filter(F.lit(False)).select(
             *envelope, *[F.lit(None).cast(f.dataType).alias(f.name) for f in reader.fields]
         )
         return accepted, df.withColumn("reason", F.lit(reason))
@@ -69,7 +69,7 @@ def conform(df, reader=ORDER_PAYLOAD):
             for f in reader.fields
         ],
     )
-    return accepted, df.limit(0).withColumn("reason", F.lit(None).cast("string"))
+    return accepted, df.filter(F.lit(False)).withColumn("reason", F.lit(None).cast("string"))
 
 
 def conform_all(writers, reader=ORDER_PAYLOAD):

@@ -124,12 +124,21 @@ def profile_history(spark, sf_dir, base_only=False, country=False):
 
 
 def with_repeats(rows):
-    """All orders, and every hundredth once more at a later offset."""
-    copies = F.when(F.col("offset") % 100 == 0, 2).otherwise(1)
+    """All orders, and some once more: every hundredth at a later offset, another
+    hundredth in the next partition at the same offset, another there at a lower one."""
+    n = F.col("offset") % 100
+    other = ((F.col("partition") + 1) % PARTITIONS).cast("int")
+    same = F.struct("partition", "offset")
+    copy = (
+        F.when(n == 0, F.struct("partition", (F.col("offset") + 1_000_000_000_000).alias("offset")))
+        .when(n == 50, F.struct(other.alias("partition"), "offset"))
+        .when(n == 75, F.struct(other.alias("partition"), (F.col("offset") - 25).alias("offset")))
+    )
     return (
-        rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .withColumn("offset", F.col("offset") + (F.col("copy") - 1) * F.lit(1_000_000_000_000))
-        .drop("copy")
+        rows.withColumn("_copy", F.explode(F.array_compact(F.array(same, copy))))
+        .withColumn("partition", F.col("_copy.partition"))
+        .withColumn("offset", F.col("_copy.offset"))
+        .drop("_copy")
     )
 
 

@@ -90,11 +90,17 @@ r_orders as (
   union all
   select key, order_id, amount_cents, currency, "timestamp", partition,
          "offset" + 1000000000000, arrival
-  from f_orders where "offset" % 100 = 0)"""
+  from f_orders where "offset" % 100 = 0
+  union all
+  select key, order_id, amount_cents, currency, "timestamp", (partition + 1) % 6, "offset", arrival
+  from f_orders where "offset" % 100 = 50
+  union all
+  select key, order_id, amount_cents, currency, "timestamp", (partition + 1) % 6, "offset" - 25, arrival
+  from f_orders where "offset" % 100 = 75)"""
 
 ORDER_CHECKS = """
 records as (
-  select key, "offset",
+  select key, partition, "offset",
          case when "offset" % 1000000000000 % 101 = 0 then '' else order_id end as order_id,
          case when "offset" % 1000000000000 % 103 = 0 then 'nobody' else key end as customer_id
   from r_orders where "offset" % 1000000000000 % 97 <> 0),
@@ -102,7 +108,8 @@ order_checks as (
   select key, "offset", order_id,
          concat_ws(', ', case when order_id = '' then 'missing order id' end,
            case when customer_id is distinct from key then 'key mismatch' end,
-           case when order_id <> '' and "offset" > min("offset") over (partition by order_id)
+           case when order_id <> '' and row_number() over (
+                  partition by order_id order by partition, "offset") > 1
                 then 'duplicate order id' end) as violations
   from records)"""
 
@@ -354,10 +361,11 @@ select customer_id || '@' || strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') as lab
 from a1""",
         "duplicate_orders": _with(ORDERS, REPEATED)
         + """
-select * from (
-  select key, order_id, "offset", min("offset") over (partition by order_id) as first_seen
-  from r_orders)
-where "offset" > first_seen""",
+select key, order_id, "offset", first_seen from (
+  select key, order_id, "offset", first_value("offset") over places as first_seen,
+         row_number() over places as place
+  from r_orders window places as (partition by order_id order by partition, "offset"))
+where place > 1""",
         "validate_orders": _with(ORDERS, REPEATED, ORDER_CHECKS) + "select * from order_checks",
         "validate_windows": _with(ORDERS, BASE, _changelog("4242"), WINDOW_CHECKS)
         + "select * from window_checks",
@@ -436,18 +444,26 @@ select instance, ts, value, round(of_mean, 9) as of_mean from (
 where of_mean < 0.5""",
         "outage_episodes": _with(URP)
         + """
-, series as (
-  select * from samples
+, steps as (
+  select instance, time_bucket(interval '15 seconds', ts) as step, arg_max(value, ts) as value
+  from samples group by all),
+filled as (
+  select instance, step, arg_max(value, own) as value, max(own) as own
+  from (select *, 1 as own from steps
+        union all select instance, step + interval '15 seconds', value, 0 from steps)
+  group by instance, step),
+series as (
+  select 'instance' as scope, instance, ts, value from samples
   union all
-  select 'cluster', ts, sum(value) from samples group by ts),
+  select 'cluster', null, step, sum(value) from filled group by step having max(own) = 1),
 marked as (
-  select *, count(*) filter (value = 0) over (partition by instance order by ts
+  select *, count(*) filter (value = 0) over (partition by scope, instance order by ts
               rows between unbounded preceding and 1 preceding) as zeros
   from series)
-select instance, min(ts) filter (value <> 0) as started_at,
+select scope, instance, min(ts) filter (value <> 0) as started_at,
        max(ts) filter (value <> 0) as last_seen_at, min(ts) filter (value = 0) as recovered_at,
        max(value) filter (value <> 0) as peak, count(*) filter (value <> 0) as samples
-from marked group by instance, zeros having count(*) filter (value <> 0) > 0""",
+from marked group by scope, instance, zeros having count(*) filter (value <> 0) > 0""",
         "consumer_lag": """
 with ends as (
   select event_type as topic, user_id % 6 as p, arg_max(event_id, ts) as end_offset

@@ -244,7 +244,7 @@ def q_schema_compat_diff(spark, sf_dir):
 def q_metric_normalise(spark, sf_dir):
     named = normalise_metric_names(td.bean_attribute_samples(spark, sf_dir))
     return metrics.with_series(named).select(
-        "sample_id", "metric", "kind", F.col("labels_id").alias("labels")
+        "sample_id", "metric", "kind", metrics.labels_text("labels_id").alias("labels")
     )
 
 

@@ -127,12 +127,25 @@ def test_outage_episodes(spark):
     data += [("kafka-2", 0, 0), ("kafka-2", 15, 0)]
     out = metrics.outage_episodes(samples(spark, "m", data), "m").collect()
     when = lambda i: BASE + timedelta(seconds=15 * i)
-    assert {r.instance: r.peak for r in out} == {"kafka-1": 65, "kafka-3": 65, "cluster": 130}
+    assert {r.instance: r.peak for r in out} == {"kafka-1": 65, "kafka-3": 65, None: 130}
     for r in out:
         assert (r.started_at, r.last_seen_at, r.recovered_at) == (when(2), when(5), when(6))
         assert r.samples == 4
 
 
+def test_cluster_outage_of_unaligned_scrapes(spark):
+    data = [(b, 15 * i + late, v) for b, late in (("a", 0), ("b", 3)) for i, v in enumerate(URP)]
+    out = metrics.outage_episodes(samples(spark, "m", data), "m").collect()
+    assert [r.peak for r in out if r.scope == "cluster"] == [130]
+
+
+def test_series_of_different_labels_stay_apart(spark):
+    frame = spark.createDataFrame(
+        [({"a": "1,b=2"},), ({"a": "1", "b": "2"},), ({"a": None},), ({},)], "labels map<string,string>"
+    )
+    assert metrics.with_series(frame).select("labels_id").distinct().count() == 4
+
+
 def test_outage_without_end(spark):
     out = metrics.outage_episodes(samples(spark, "m", [("a", 0, 5), ("a", 86400, 7)]), "m")
     found = [r for r in out.collect() if r.instance == "a"]

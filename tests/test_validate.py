@@ -45,6 +45,25 @@ def test_duplicates_point_to_the_first(spark):
     assert sorted(rows(duplicates.duplicate_orders(frame))) == [("x", 5, 3), ("x", 9, 3)]
 
 
+def test_duplicates_across_partitions(spark):
+    frame = spark.createDataFrame(
+        [("x", 0, 5), ("x", 1, 5), ("y", 1, 100), ("y", 0, 50), ("z", 0, 1)],
+        "order_id string, partition int, offset bigint",
+    )
+    found = sorted(rows(duplicates.duplicate_orders(frame), "order_id", "partition", "offset"))
+    assert found == [("x", 1, 5), ("y", 1, 100)]
+
+
+def test_ids_seen_before_make_every_record_a_repeat(spark):
+    frame = spark.createDataFrame(
+        [("k", ("o1", "k"), 0, 50), ("k", ("o2", "k"), 0, 51)],
+        "key string, value struct<order_id:string,customer_id:string>, partition int, offset bigint",
+    )
+    seen = spark.createDataFrame([("o1", 100)], "_id string, first_seen bigint")
+    checked = dict(rows(validate.validate_orders(frame, seen=seen), "offset", "violations"))
+    assert checked == {50: ["duplicate order id"], 51: []}
+
+
 DIMS = "struct<customer_id:string,tier:string,currency:string>"
 VALUE = (
     "struct<customer_id:string,tier:string,currency:string,window_start:timestamp_ntz,"
