@@ -242,6 +242,7 @@ def redact(spark, docs, text="text", row_id="doc_id"):
 
 def digest(found):
     """The counts, the hash of the base spans and the list of all spans."""
+
     def listed(spans):
         return F.concat_ws(
             ",",
@@ -253,8 +254,8 @@ def digest(found):
 
     base = F.filter("spans", lambda s: s["base"])
     counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}")
-        for k in KINDS
+        F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")  # noqa: B023
+        for kind in KINDS
     ]
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")

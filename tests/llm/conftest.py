@@ -2,7 +2,7 @@ import pytest
 
 
 @pytest.fixture(scope="session")
-def messy(spark):
+def messy(spark, tmp_path_factory):
     """Documents with every awkward case: nulls in each column, empty texts, repeated rows,
     a very long text, ties, and extra columns whose names operators use inside."""
     long = " ".join(f"word{i % 977} other{i % 1013}" for i in range(60_000))
@@ -22,11 +22,14 @@ def messy(spark):
         (9, "mail bob@site.example.com or +1 (212) 555-0199, ip 10.1.2.3.", "en", "c"),
     ]
     rows = [(*r, 7, "x", [1], 0.5, "t", 1) for r in rows]
-    return spark.createDataFrame(
+    frame = spark.createDataFrame(
         rows,
         "doc_id bigint, text string, lang string, source string, n_words int, key string,"
         " spans array<int>, score double, size string, id int",
     )
+    folder = str(tmp_path_factory.mktemp("messy") / "documents.parquet")
+    frame.write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 @pytest.fixture(scope="session")
