@@ -140,28 +140,52 @@ def weigh(h, idf):
     return own, (tf * rarest).astype(np.float32)
 
 
+def _gamma_table(bits):
+    """Quantiles of the Gamma(2, 1) distribution at the centres of 2**bits equal steps."""
+    p = (np.arange(1 << bits) + 0.5) / (1 << bits)
+    x = np.sqrt(2 * p) + p
+    for _ in range(60):  # Newton steps on 1 - (1 + x) exp(-x) = p
+        x = np.maximum(x - (1 - (1 + x) * np.exp(-x) - p) / (x * np.exp(-x) + 1e-12), 1e-6)
+    return x.astype(np.float32)
+
+
+_R = _gamma_table(12)
+_INVERSE_R = (1 / _R).astype(np.float32)
+_CHUNK = 128
+
+
 def samples(own, weights):
-    """SAMPLES consistent weighted samples (element and its level, hashed) of a text."""
+    """SAMPLES consistent weighted samples (element and its level, hashed) of a text.
+
+    One 64-bit hash of element and sample gives all that is random: 12 bits choose r from
+    Gamma(2, 1), 12 bits choose beta, and two times 20 bits make c, the sum of two exponential
+    variables. The element with the least c / (y exp(r)) is the sample.
+    """
     best = np.full(SAMPLES, np.inf, np.float32)
     key = np.zeros(SAMPLES, np.uint64)
-    low, unit, columns = np.uint64(0xFFFFFF), np.float32(2.0**-24), np.arange(SAMPLES)
-    for at in range(0, len(own), 256):
-        part, lw = own[at : at + 256], np.log(weights[at : at + 256])[:, None]
-        z = _mixed(part[:, None] ^ _SEEDS)
-        y = (z ^ (z >> np.uint64(29))) * _A
-        y ^= y >> np.uint64(32)
-
-        def uniform(x, shift):
-            return (((x >> np.uint64(shift)) & low).astype(np.uint32).astype(np.float32) + np.float32(0.5)) * unit
-
-        r = -np.log(uniform(z, 40) * uniform(z, 16))
-        c = np.log(np.maximum(-np.log(uniform(y, 40) * uniform(y, 16)), np.float32(1e-12)))
-        beta = (z & np.uint64(0xFFFF)).astype(np.uint32).astype(np.float32) * np.float32(2.0**-16)
-        x = lw / r + beta
+    columns = np.arange(SAMPLES)
+    logs = np.log(weights)
+    for at in range(0, len(own), _CHUNK):
+        part, lw = own[at : at + _CHUNK], logs[at : at + _CHUNK, None]
+        z = _mixed(part[:, None] ^ _SEEDS).view(np.int64)
+        pick = z & 0xFFF
+        x = lw * _INVERSE_R[pick]
+        x += ((z >> 12) & 0xFFF).astype(np.int32) * np.float32(2.0**-12)
         t = np.floor(x)
-        a = c - r * (1 + t - x) - lw
-        row = a.argmin(axis=0)
-        value = a[row, columns]
+        u = ((z >> 24) & 0xFFFFF).astype(np.int32) + np.float32(0.5)
+        u *= ((z >> 44) & 0xFFFFF).astype(np.int32) + np.float32(0.5)
+        u *= np.float32(2.0**-40)
+        np.log(u, out=u)
+        np.negative(u, out=u)
+        np.maximum(u, np.float32(1e-12), out=u)
+        np.log(u, out=u)
+        x -= t
+        x -= 1
+        x *= _R[pick]
+        u += x
+        u -= lw
+        row = u.argmin(axis=0)
+        value = u[row, columns]
         better = value < best
         best = np.where(better, value, best)
         level = t[row, columns].astype(np.int64).view(np.uint64)
