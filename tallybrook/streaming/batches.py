@@ -47,17 +47,6 @@ def _touched(state, rows, keys, time):
     return state.alias("s").join(found.alias("f"), same, "left_semi")
 
 
-def _live_windows(time_column):
-    """Drop windows that ended more than the retention before the newest one."""
-
-    def live(state):
-        newest = state.agg(F.max(time_column)).scalar()
-        keep_for = F.expr(f"interval {RETENTION_MS} milliseconds")
-        return state.filter(F.col(time_column) + keep_for > newest)
-
-    return live
-
-
 def strict(orders, path, prepare=None, scope=("partition",), full_every=50, **rule):
     """Judge every record by the strict rule; see `read_strict` for the result."""
     scope = list(scope)
@@ -70,6 +59,10 @@ def strict(orders, path, prepare=None, scope=("partition",), full_every=50, **ru
             [*_fields(rows.schema, scope).fields, T.StructField("stream_time", rows.schema[time].dataType)]
         )
         log = StateLog(os.path.join(path, "state"), scope, schema, full_every)
+        if prepare:
+            # the clock and the verdicts must see the same profiles, read once
+            write_batch(rows, os.path.join(path, "prepared"), batch_id)
+            rows = _written(spark, os.path.join(path, "prepared"), batch_id, rows.schema)
         judged = judge_lateness(rows, scope=scope, seed=log.before(spark, batch_id), **rule)
         write_batch(judged, os.path.join(path, "judged"), batch_id, ["late"])
         written = _written(spark, os.path.join(path, "judged"), batch_id, judged.schema)
@@ -78,13 +71,45 @@ def strict(orders, path, prepare=None, scope=("partition",), full_every=50, **ru
     return for_each_batch(orders, handle)
 
 
-def _staged(batch, path, batch_id, prepare):
-    """The prepared micro-batch, written down: it is read more than once, and every
-    reading must see the same profiles."""
+def _staged(batch, path, batch_id, prepare, size, full_every):
+    """The prepared micro-batch without records past the retention, and the clocks so far.
+
+    It is written down: it is read more than once, and every reading must see the same
+    profiles. Each record is judged by the strict rule, against the highest timestamp its
+    partition has seen: the verdict does not depend on how the stream is cut into batches, nor
+    on when old state is removed.
+    """
+    spark = batch.sparkSession
     prepared = prepare(batch)
+    schema = T.StructType(
+        [
+            T.StructField("partition", T.IntegerType()),
+            T.StructField("stream_time", prepared.schema["timestamp"].dataType),
+        ]
+    )
+    clock = StateLog(os.path.join(path, "clock"), ["partition"], schema, full_every)
+    before = clock.before(spark, batch_id)
+    grace = f"{RETENTION_MS} milliseconds"
+    judged = judge_lateness(prepared, size, grace=grace, seed=before)
+    judged = judged.select(*prepared.columns, "stream_time", "late")
     out = os.path.join(path, "prepared")
-    write_batch(prepared, out, batch_id)
-    return _written(batch.sparkSession, out, batch_id, prepared.schema)
+    write_batch(judged, out, batch_id)
+    rows = _written(spark, out, batch_id, judged.schema)
+    clock.write(batch_id, rows.groupBy("partition").agg(F.max("stream_time").alias("stream_time")))
+    return rows.filter(~F.col("late")).select(*prepared.columns), before
+
+
+def _live_windows(clocks):
+    """Drop windows that no partition can add to any more."""
+
+    def live(state):
+        slowest = clocks.agg(F.min("stream_time")).scalar()
+        if slowest is None:
+            return state
+        keep_for = F.expr(f"interval {RETENTION_MS} milliseconds")
+        return state.filter(F.col("window_end") + keep_for > slowest)
+
+    return live
 
 
 def _written(spark, path, batch_id, schema):
@@ -101,14 +126,13 @@ def read_strict(spark, path, late=False):
 def changelog(orders, path, prepare, size=WINDOW, full_every=50, block_rows=BLOCK_ROWS):
     """One row per order with the running totals of its window.
 
-    Totals of windows that ended a retention ago are given up, so late records
-    should be dropped before.
+    Records whose window ended a retention before the time of their partition are dropped.
     """
 
     def handle(batch, batch_id):
         spark = batch.sparkSession
-        enriched = _staged(batch, path, batch_id, prepare)
-        log = _totals_log(path, enriched.schema, "changelog_state", full_every)
+        enriched, clocks = _staged(batch, path, batch_id, prepare, size, full_every)
+        log = _totals_log(path, enriched.schema, "changelog_state", full_every, clocks)
         seed = _touched(
             log.before(spark, batch_id), aggregate_windows(enriched, size), WINDOW_KEY, "window_end"
         ).select(
@@ -124,7 +148,7 @@ def changelog(orders, path, prepare, size=WINDOW, full_every=50, block_rows=BLOC
     return for_each_batch(orders, handle)
 
 
-def _totals_log(path, enriched_schema, name, full_every):
+def _totals_log(path, enriched_schema, name, full_every, clocks):
     time_type = enriched_schema["timestamp"].dataType
     schema = T.StructType(
         [
@@ -142,7 +166,7 @@ def _totals_log(path, enriched_schema, name, full_every):
         WINDOW_KEY,
         schema,
         full_every,
-        live=_live_windows("window_end"),
+        live=_live_windows(clocks),
         sort_by="window_end",
     )
 
@@ -158,12 +182,13 @@ def read_changelog(spark, path):
 
 def totals(orders, path, prepare, size=WINDOW, full_every=50):
     """Windowed totals, one row per changed window and micro-batch, each written
-    exactly once. Profiles are as fresh as `prepare` makes them."""
+    exactly once. Profiles are as fresh as `prepare` makes them. Records whose window ended
+    a retention before the time of their partition are dropped."""
 
     def handle(batch, batch_id):
         spark = batch.sparkSession
-        enriched = _staged(batch, path, batch_id, prepare)
-        log = _totals_log(path, enriched.schema, "totals_state", full_every)
+        enriched, clocks = _staged(batch, path, batch_id, prepare, size, full_every)
+        log = _totals_log(path, enriched.schema, "totals_state", full_every, clocks)
         added = aggregate_windows(enriched, size)
         prior = _touched(log.before(spark, batch_id), added, WINDOW_KEY, "window_end")
         updated = (

@@ -350,3 +350,39 @@ def test_state_log_keeps_the_newest_row(spark, tmp_path):
         log.write(batch_id, frame(*change.items()))
         written |= change
     assert dict(rows(log.before(spark, 6))) == written
+
+
+@pytest.mark.parametrize("full_every", [1, 2, 50])
+def test_totals_past_the_retention_do_not_depend_on_pruning(spark, tmp_path, full_every):
+    """Five orders of a window, two of three days later, then one more of the first window."""
+    minutes = [0, 1, 2, 3, 4, 3 * 1440, 3 * 1440 + 1, 1]
+    frame = orders(spark, [("a", f"o{i}", 100, "EUR", at(m)) for i, m in enumerate(minutes)])
+    feed = Feed(spark, tmp_path / "in")
+    for i in range(len(minutes)):
+        feed.add(frame.filter(F.col("offset") == i))
+    history = profiles(spark, [("a", "PRO", at(-5))])
+    out = str(tmp_path / "out")
+    prepare = batches.fresh_profiles(lambda: history)
+    run_to_end(batches.totals(feed.stream(), out, prepare, full_every=full_every), str(tmp_path / "cp"))
+    found = native.latest_windows(spark, batches.updates_path(out))
+    assert sorted(rows(found, "order_count", "total_amount_cents")) == [(2, 200), (5, 500)]
+
+
+def test_results_of_an_earlier_query_are_not_mixed_in(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in")
+    for frame in late_frames(spark):
+        feed.add(frame)
+    out = str(tmp_path / "out")
+    run_to_end(batches.strict(feed.stream(), out), str(tmp_path / "cp"))
+    before = batches.read_strict(spark, out).count()
+    with pytest.raises(Exception, match="earlier query"):
+        run_to_end(batches.strict(feed.stream(), out), str(tmp_path / "cp2"))
+    assert batches.read_strict(spark, out).count() == before
+
+
+def test_no_result_is_an_empty_table(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in")
+    feed.add(orders(spark, [("a", "o1", 1, "EUR", at(1))]))
+    out = str(tmp_path / "out")
+    run_to_end(batches.strict(feed.stream(), out, lambda d: d.filter("false")), str(tmp_path / "cp"))
+    assert batches.read_strict(spark, out).count() == 0
