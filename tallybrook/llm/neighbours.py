@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-K = 30  # neighbours kept per node
-REVERSE = 15  # nodes that list a node, at most, in one round of it; others are met by their own lists
+K = 40  # neighbours kept per node
+REVERSE = 20  # nodes that list a node, at most, in one round of it; others are met by their own lists
 ROUNDS = 3
-TREES = 10
-LEAF = 160  # rows compared all with all
+TREES = 12
+LEAF = 200  # rows compared all with all
 PART = 20_000  # rows of a block before it is split in memory
 STEPS = 3
-EXPAND = 20
-KEEP = 60  # nodes a query remembers
+EXPAND = 24
+KEEP = 80  # nodes a query remembers
 TOP = 20
 SEED = 7
 
@@ -189,8 +189,14 @@ def nearest_neighbours(spark, rows, is_query, row_id="vec_id", vector="embedding
     nodes = d.groupBy("key").agg(F.min(F.struct("id", "x")).alias("m")).select("key", F.col("m.id").alias("node"), "m.x")
     nodes = nodes.withColumn("norm", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
     nodes = stage(spark, nodes, "nn-nodes")
-    most = nodes.agg(F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n")).first()
-    scale = 127.0 / np.sqrt(most["norm"]) * min(1.0, np.sqrt(dims) / 4)
+    largest = F.array_max(F.transform("x", lambda v: F.abs(v)))
+    most = nodes.agg(
+        F.max("norm").alias("norm"),
+        F.min("norm").alias("least"),
+        F.max(largest).alias("component"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    scale = 127.0 / max(most["component"], np.sqrt(most["norm"] - most["least"]))
 
     def encode(frames):
         for f in frames:
