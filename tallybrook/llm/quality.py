@@ -247,12 +247,11 @@ def judge_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text=
 def keep_good_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text="text"):
     """The rows of `docs` that `judge_documents` keeps, all columns kept.
 
-    The statistics are computed once more next to the text, so that the texts meet only the
-    one row of their group's estimate and are not shuffled by document.
+    The rows are written down next to their statistics, so that the texts are measured once and
+    meet only the one row of their group's estimate.
     """
     keys = list(keys)
-    measured = stage(spark, _measured(docs.select(row_id, *keys, text), text), "quality")
-    fit = _estimated(spark, measured, keys, row_id)
     whole = docs.select(row_id, *keys, text, F.struct(*docs.columns).alias("__row"))
-    done = _judged(_measured(whole, text), fit, keys, row_id)
+    measured = stage(spark, _measured(whole, text), "quality-rows")
+    done = _judged(measured, _estimated(spark, measured, keys, row_id), keys, row_id)
     return done.filter("kept").select("__row.*")
