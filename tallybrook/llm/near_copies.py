@@ -8,8 +8,8 @@ words are one member.
 
 A bucket of any size costs one comparison per member at first: with its smallest id. After these
 stars are joined to components, only members of a bucket that are in different components are
-compared, and of those only pairs whose samples agree often enough. So no group is expanded
-into its pairs, and no link between components is left out.
+compared, and of those only pairs whose sketches of 512 more samples are close enough. So no group
+is expanded into its pairs, and no link between components is left out.
 """
 
 import re
@@ -28,13 +28,15 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 3  # a pair at 0.8 is missed with probability 1e-5
 SAMPLES = BANDS * ROWS
-AGREE = 22  # of 48 samples; at a similarity of 0.8 fewer agree with probability 1e-7
+SKETCH = 512  # samples of one bit each, of texts whose bucket is still open after the stars
+APART = 80  # bits that may differ; at a similarity of 0.8 more do with probability 1e-5
 CELLS, BLOCKS, DEPTH = 1 << 20, 32, 2  # document-frequency sketch
 FAN_IN = 64
 
 _SPLIT = re.compile(WORD)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SEEDS = (np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+_ALL_SEEDS = (np.arange(1, SAMPLES + SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+_SEEDS, _SKETCH_SEEDS = _ALL_SEEDS[:, :SAMPLES], _ALL_SEEDS[:, SAMPLES:]
 
 
 def _mixed(x):
@@ -151,23 +153,24 @@ def _gamma_table(bits):
 
 _R = _gamma_table(12)
 _INVERSE_R = (1 / _R).astype(np.float32)
-_CHUNK = 128
+_CELLS_AT_ONCE = 6144  # fits into a core's cache
 
 
-def samples(own, weights):
-    """SAMPLES consistent weighted samples (element and its level, hashed) of a text.
+def samples(own, weights, seeds=_SEEDS):
+    """One consistent weighted sample (element and its level, hashed) of a text per seed.
 
     One 64-bit hash of element and sample gives all that is random: 12 bits choose r from
     Gamma(2, 1), 12 bits choose beta, and two times 20 bits make c, the sum of two exponential
     variables. The element with the least c / (y exp(r)) is the sample.
     """
-    best = np.full(SAMPLES, np.inf, np.float32)
-    key = np.zeros(SAMPLES, np.uint64)
-    columns = np.arange(SAMPLES)
+    width = seeds.shape[1]
+    best = np.full(width, np.inf, np.float32)
+    key = np.zeros(width, np.uint64)
+    columns, chunk = np.arange(width), _CELLS_AT_ONCE // width
     logs = np.log(weights)
-    for at in range(0, len(own), _CHUNK):
-        part, lw = own[at : at + _CHUNK], logs[at : at + _CHUNK, None]
-        z = _mixed(part[:, None] ^ _SEEDS).view(np.int64)
+    for at in range(0, len(own), chunk):
+        part, lw = own[at : at + chunk], logs[at : at + chunk, None]
+        z = _mixed(part[:, None] ^ seeds).view(np.int64)
         pick = z & 0xFFF
         x = lw * _INVERSE_R[pick]
         x += ((z >> 12) & 0xFFF).astype(np.int32) * np.float32(2.0**-12)
@@ -189,7 +192,7 @@ def samples(own, weights):
         better = value < best
         best = np.where(better, value, best)
         level = t[row, columns].astype(np.int64).view(np.uint64)
-        key = np.where(better, _mixed(part[row] ^ _mixed(level + _SEEDS[0])), key)
+        key = np.where(better, _mixed(part[row] ^ _mixed(level + seeds[0])), key)
     return key
 
 
@@ -215,8 +218,21 @@ def _sign(idf):
                 got = samples(*weigh(h, table))
                 bands = _mixed(got.reshape(BANDS, ROWS) * np.array([1, 3, 5], np.uint64))
                 bands = _mixed(bands.sum(axis=1) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                rows.append((doc_id, *(np.uint64(s).astype(np.int64) for s in same), bands, got.view(np.int8)[::8]))
-            yield pd.DataFrame(rows, columns=["id", "s1", "s2", "bands", "short"])
+                rows.append((doc_id, *(np.uint64(s).astype(np.int64) for s in same), bands))
+            yield pd.DataFrame(rows, columns=["id", "s1", "s2", "bands"])
+
+    return run
+
+
+def _sketch(idf):
+    def run(frames):
+        known, table = WordHashes(), idf.value
+        for f in frames:
+            bits = []
+            for text in f["text"]:
+                key = samples(*weigh(word_hashes(text, known), table), _SKETCH_SEEDS)
+                bits.append(np.packbits((key >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64))
+            yield pd.DataFrame({"id": f["id"], "bits": bits})
 
     return run
 
@@ -247,15 +263,15 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
     usable = d.filter("id is not null and text is not null")
     counts, n = document_frequencies(spark, usable)
     idf = spark.sparkContext.broadcast(idf_table(counts, n))  # of fixed size
-    signed = usable.mapInPandas(_sign(idf), "id bigint, s1 bigint, s2 bigint, bands array<bigint>, short array<tinyint>")
+    signed = usable.mapInPandas(_sign(idf), "id bigint, s1 bigint, s2 bigint, bands array<bigint>")
     signed = stage(spark, signed, "near-signed")
-    alike = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "bands", "short")).alias("m"))
-    reps = stage(spark, alike.select("s1", "s2", "m.id", "m.bands", "m.short"), "near-reps")
+    alike = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "bands")).alias("m"))
+    reps = stage(spark, alike.select("s1", "s2", "m.id", "m.bands"), "near-reps")
 
-    members = reps.select("id", "short", F.explode("bands").alias("key"))
+    members = reps.select("id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
     buckets = stage(spark, buckets.select("key", "a"), "near-buckets")
-    met = stage(spark, members.join(buckets, "key").select("key", "a", "id", "short"), "near-met")
+    met = stage(spark, members.join(buckets, "key").select("key", "a", "id"), "near-met")
     stars = met.filter("a < id").select("a", F.col("id").alias("b")).distinct()
     wanted = met.select("id").distinct()
     texts = stage(spark, usable.join(wanted, "id").select("id", "text"), "near-texts")
@@ -269,15 +285,35 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
 
     first = verified(stars, "near-stars")
     labels = connected(spark, first)
-    named = met.join(labels, "id", "left").select("key", "id", "short", F.coalesce("label", "id").alias("label"))
+    named = met.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     named = stage(spark, named, "near-named")
     mixed = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key")
     open_ = stage(spark, named.join(stage(spark, mixed, "near-mixed"), "key"), "near-open")
-    x = open_.select("key", F.col("id").alias("a"), F.col("short").alias("sa"), F.col("label").alias("la"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("short").alias("sb"), F.col("label").alias("lb"))
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    on = (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (agree >= AGREE)
-    cross = x.join(y, on).select("a", "b").distinct()
+    sketched = texts.join(open_.select("id").distinct(), "id").select("id", "text")
+    sketched = sketched.mapInPandas(_sketch(idf), "id bigint, bits array<bigint>")
+    sketched = stage(spark, sketched.join(reps.select("id", "bands"), "id"), "near-sketched")
+    full = stage(spark, open_.join(sketched, "id"), "near-full")
+    sides = [
+        full.select(
+            "key",
+            F.col("id").alias(x),
+            F.col("label").alias(f"l{x}"),
+            F.col("bits").alias(f"bits_{x}"),
+            F.col("bands").alias(f"bands_{x}"),
+        )
+        for x in "ab"
+    ]
+    apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    shared = F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p))
+    on = (
+        (sides[0]["key"] == sides[1]["key"])
+        & (F.col("a") < F.col("b"))
+        & (F.col("la") != F.col("lb"))
+        & (apart <= APART)
+        # each pair comes from the first bucket that it shares
+        & (F.get(F.array_compact(shared), F.lit(0)) == sides[0]["key"])
+    )
+    cross = sides[0].join(sides[1], on).select("a", "b").distinct()
     cross = cross.join(stars, ["a", "b"], "left_anti")
     second = verified(cross, "near-cross")
     classes = connected(spark, first.unionByName(second))
