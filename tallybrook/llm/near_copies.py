@@ -28,6 +28,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 3  # a pair at 0.8 is missed with probability 1e-5
 SAMPLES = BANDS * ROWS
+AGREE = 22  # of 48 samples; at a similarity of 0.8 fewer agree with probability 1e-7
 SKETCH = 512  # samples of one bit each, of texts whose bucket is still open after the stars
 APART = 80  # bits that may differ; at a similarity of 0.8 more do with probability 1e-5
 CELLS, BLOCKS, DEPTH = 1 << 20, 32, 2  # document-frequency sketch
@@ -206,7 +207,7 @@ def similarity(a, b):
 
 def _sign(idf):
     def run(frames):
-        known, table = WordHashes(), idf.value
+        known, table, done = WordHashes(), idf.value, {}  # done: copies are signed once a task
         for f in frames:
             rows = []
             for doc_id, text in zip(f["id"], f["text"]):
@@ -215,11 +216,15 @@ def _sign(idf):
                     continue
                 n = np.arange(1, len(h) + 1, dtype=np.uint64)
                 same = (int(_mixed(h * (2 * n + 1)).sum()), int(_mixed(h + _mixed(n)).sum()))
-                got = samples(*weigh(h, table))
-                bands = _mixed(got.reshape(BANDS, ROWS) * np.array([1, 3, 5], np.uint64))
-                bands = _mixed(bands.sum(axis=1) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                rows.append((doc_id, *(np.uint64(s).astype(np.int64) for s in same), bands))
-            yield pd.DataFrame(rows, columns=["id", "s1", "s2", "bands"])
+                if same not in done:
+                    if len(done) >= 20_000:
+                        done.clear()
+                    got = samples(*weigh(h, table))
+                    bands = _mixed(got.reshape(BANDS, ROWS) * np.array([1, 3, 5], np.uint64))
+                    bands = _mixed(bands.sum(axis=1) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                    done[same] = bands, got.view(np.int8)[::8]
+                rows.append((doc_id, *(np.uint64(s).astype(np.int64) for s in same), *done[same]))
+            yield pd.DataFrame(rows, columns=["id", "s1", "s2", "bands", "short"])
 
     return run
 
@@ -263,10 +268,10 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
     usable = d.filter("id is not null and text is not null")
     counts, n = document_frequencies(spark, usable)
     idf = spark.sparkContext.broadcast(idf_table(counts, n))  # of fixed size
-    signed = usable.mapInPandas(_sign(idf), "id bigint, s1 bigint, s2 bigint, bands array<bigint>")
+    signed = usable.mapInPandas(_sign(idf), "id bigint, s1 bigint, s2 bigint, bands array<bigint>, short array<tinyint>")
     signed = stage(spark, signed, "near-signed")
-    alike = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "bands")).alias("m"))
-    reps = stage(spark, alike.select("s1", "s2", "m.id", "m.bands"), "near-reps")
+    alike = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "bands", "short")).alias("m"))
+    reps = stage(spark, alike.select("s1", "s2", "m.id", "m.bands", "m.short"), "near-reps")
 
     members = reps.select("id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
@@ -289,9 +294,15 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
     named = stage(spark, named, "near-named")
     mixed = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key")
     open_ = stage(spark, named.join(stage(spark, mixed, "near-mixed"), "key"), "near-open")
-    sketched = texts.join(open_.select("id").distinct(), "id").select("id", "text")
+    # only texts with a likely partner in another component need a sketch
+    shorts = reps.select("id", "short").dropDuplicates(["id"])
+    mine = stage(spark, open_.join(shorts, "id"), "near-short")
+    other = mine.select(F.col("key").alias("k"), F.col("label").alias("l"), F.col("short").alias("s"))
+    agree = F.aggregate(F.zip_with("short", "s", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
+    likely = mine.join(other, (F.col("key") == F.col("k")) & (F.col("label") != F.col("l")) & (agree >= AGREE), "left_semi")
+    sketched = texts.join(likely.select("id").distinct(), "id").select("id", "text")
     sketched = sketched.mapInPandas(_sketch(idf), "id bigint, bits array<bigint>")
-    sketched = stage(spark, sketched.join(reps.select("id", "bands"), "id"), "near-sketched")
+    sketched = stage(spark, sketched.join(reps.select("id", "bands").dropDuplicates(["id"]), "id"), "near-sketched")
     full = stage(spark, open_.join(sketched, "id"), "near-full")
     sides = [
         full.select(
