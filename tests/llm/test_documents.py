@@ -140,6 +140,95 @@ def test_licenses(spark, messy, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+BSD_TEXT = """Copyright (c) 2020, A. Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAME = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL_TEXT = """Frobnicate is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+LGPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_whole_wrapped_licenses(spark):
+    commented = "/*\n" + "".join(f" * {x}\n" if x else " *\n" for x in MIT_TEXT.split("\n")) + " */\ncode();"
+    rows = [
+        (1, MIT_TEXT, "MIT"),
+        (2, BSD_TEXT, "BSD-2-Clause"),
+        (3, BSD_TEXT + BSD_NAME.format("the copyright holder"), "BSD-3-Clause"),
+        (4, BSD_TEXT + BSD_NAME.format("the University of Nowhere"), "BSD-3-Clause"),
+        (5, BSD_TEXT + BSD_NAME.format("Somebody Inc."), "BSD-3-Clause"),
+        (6, APACHE_TEXT, "Apache-2.0"),
+        (7, GPL_TEXT, "GPL-3.0-or-later"),
+        (8, LGPL_TEXT, "LGPL-2.1-or-later"),
+        (9, ISC_TEXT, "ISC"),
+        (10, MPL_TEXT, "MPL-2.0"),
+        (11, commented, "MIT"),
+        (12, MIT_TEXT.replace("\n", "\r\n"), "MIT"),
+        (13, " ".join(MIT_TEXT[MIT_TEXT.index("Permission") :].split()), "MIT"),
+        (14, "no end of a line***\nReleased under the MIT License\nand more", "MIT"),
+        (15, MIT_TEXT.replace("free of charge", "for a fee"), ""),
+        (16, "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert {k: r.licenses for k, r in got.items()} == {r[0]: r[2] for r in rows}
+    assert got[6].sequence == "apache-short apache-comply apache-copy apache-as-is"
+
+
 def test_mixing_targets(spark):
     rows = [("a", 100), ("b", 1), ("c", 50), (None, 10), ("d", 0)]
     sizes = spark.createDataFrame(rows, "source string, size bigint")
