@@ -1,7 +1,7 @@
 """Quality rules: fixed rules, then robust multivariate outliers per language and source.
 
-Each document becomes a short vector of transformed statistics. Per (language, source)
-the minimum-covariance-determinant estimate is found by concentration steps: distances to
+Each document becomes a short vector of transformed statistics. Per (language, source),
+per language and for the whole corpus, which small groups fall back on, the minimum-covariance-determinant estimate is found by concentration steps: distances to
 the current centre are binned, and the sums over the nearest share of the documents give
 the next centre and covariance. One step is one aggregation with map-side combine; its
 state is bounded by groups x bins, whatever share of the rows a group holds. Only
@@ -22,11 +22,15 @@ SYMBOLS = "#*$%&|<>"
 STATS = ("x_len", "x_sym", "x_dup", "x_rep")
 # Smallest spread that counts as normal for each statistic: without it the covariance of
 # a group whose documents are all alike would be singular and every difference an outlier.
-FLOORS = (0.12, 0.06, 0.16, 0.16)
+# They follow from what one event makes in a short text and leave that inside CUTOFF: the
+# standard error of the mean word length of MIN_WORDS words, a symbol every eight words (2.5%
+# of the word characters), one line said twice among eight (an eighth of the lines and a
+# quarter of the words, together under 40%). Beyond, each statistic rejects by itself.
+FLOORS = (0.08, 0.025, 0.1, 0.1)
 SCALE = 1024  # statistics are whole multiples of 1/SCALE, so that sums are exact
 SHARE = 0.75  # documents inside the concentrated part
 STEPS = 3
-MIN_GROUP = 30  # smaller groups have no estimate, and their documents no verdict
+MIN_GROUP = 30  # smaller groups are judged by their language, or else by the whole corpus
 CUTOFF = 40.0  # squared distance; the 0.9999999 quantile for 4 statistics is about 39
 
 
@@ -208,21 +212,46 @@ def _measured(docs, text):
 
 def _judged(measured, fit, keys, row_id):
     done = salted_join(measured, fit, keys, [row_id])
-    distance = F.when(F.col("group_size") >= MIN_GROUP, _distance())
+    distance = _distance()
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)
     return done.withColumn("distance", distance).withColumn("kept", kept)
 
 
+def _levels(keys):
+    """A group and the larger ones it belongs to: (level, keys), smallest first."""
+    depths = sorted({len(keys), min(1, len(keys)), 0}, reverse=True)
+
+    def group(level, depth):
+        values = [F.col(k) if i < depth else F.lit(None) for i, k in enumerate(keys)]
+        return F.struct(F.lit(level).alias("__level"), *[v.alias(k) for k, v in zip(keys, values)])
+
+    return len(depths) - 1, F.explode(F.array(*[group(i, n) for i, n in enumerate(depths)]))
+
+
 def _estimated(spark, measured, keys, row_id):
-    sound = measured.filter("not base_failed").select(row_id, *keys, *STATS)
-    return stage(spark, robust_estimates(sound, keys, row_id), "quality-fit")
+    """The estimate that judges each group: its own, or that of the first level above it
+    with MIN_GROUP documents, or that of the corpus, however small."""
+    last, groups = _levels(keys)
+    sound = measured.filter("not base_failed").select(row_id, *STATS, groups.alias("g"))
+    sound = sound.select(row_id, *STATS, "g.*")
+    fits = stage(spark, robust_estimates(sound, ["__level", *keys], row_id), "quality-fits")
+    own = [f"__own{i}" for i in range(len(keys))]
+    wanted = fits.filter("__level = 0").select(*[F.col(k).alias(o) for k, o in zip(keys, own)], groups.alias("g"))
+    on = F.col("g.__level") == F.col("__level")
+    for k in keys:
+        on = on & F.col("g")[k].eqNullSafe(F.col(k))
+    found = wanted.join(fits, on).filter((F.col("group_size") >= MIN_GROUP) | (F.col("__level") == last))
+    values = [c for c in fits.columns if c not in ("__level", *keys)]
+    chosen = found.groupBy(*own).agg(F.min_by(F.struct(*values), "__level").alias("fit"))
+    chosen = chosen.select(*[F.col(o).alias(k) for k, o in zip(keys, own)], "fit.*")
+    return stage(spark, chosen, "quality-fit")
 
 
 def judge_documents(spark, docs, keys=("lang", "source"), row_id="doc_id", text="text"):
     """Statistics and verdict for every row of `docs`.
 
     Returns `row_id`, the keys, the base statistics, `base_failed`, `distance` (null in
-    groups under MIN_GROUP documents) and `kept`. Null texts count as empty, null keys
+    groups where every document fails the base rules) and `kept`. Null texts count as empty, null keys
     form a group of their own, repeated rows are judged each; other columns are ignored.
     Documents that fail the base rules do not shape the estimates. An empty table gives
     no rows.

@@ -57,6 +57,39 @@ def test_quality_outliers(spark):
     assert {r.doc_id for r in quality.keep_good_documents(spark, docs).collect()} == set(range(300))
 
 
+def test_quality_judges_each_statistic_in_groups_of_any_size(spark):
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 8))) for _ in range(5000)]
+
+    def line(n=10):
+        return " ".join(rng.choice(vocabulary, n))
+
+    def document():
+        return "\n".join(line() for _ in range(12))
+
+    passage = line(30)
+    junk = {
+        "length": "\n".join(" ".join(f"{w}{'x' * 20}" for w in rng.choice(vocabulary, 10)) for _ in range(12)),
+        "symbols": "\n".join(f"{line(9)} *#*#" for _ in range(12)),
+        "lines": "\n".join([*["ab cd"] * 20, *[line(30) for _ in range(10)]]),
+        "words": "\n".join([f"{line(1)} {passage}", f"{passage} {line(1)}", *[line() for _ in range(7)]]),
+    }
+    twice = "\n".join([*(lines := [line() for _ in range(11)]), lines[3]])
+    groups = [("large", 60), ("small", 4)]
+    rows, names = [], {}
+    for source, size in groups:
+        for text, name in [*((document(), "plain") for _ in range(size)), (twice, "twice"), *((v, k) for k, v in junk.items())]:
+            names[len(rows)] = (source, name)
+            rows.append((len(rows), text, "en", source))
+    names[len(rows)] = ("alone", "symbols")
+    rows.append((len(rows), junk["symbols"], "xx", "alone"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    judged = quality.judge_documents(spark, docs).collect()
+    assert not any(r.base_failed for r in judged)
+    wrong = [names[r.doc_id] for r in judged if r.kept != (names[r.doc_id][1] in ("plain", "twice"))]
+    assert wrong == []
+
+
 def test_quality_messy(spark, messy, nothing):
     rows = quality.judge_documents(spark, messy).collect()
     assert len(rows) == messy.count()
