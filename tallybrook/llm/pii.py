@@ -29,13 +29,17 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Looser patterns that only propose candidates.
 LOOSE = {
     "email": re.compile(
-        r"\b[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]{1,63}"
-        r"(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]{1,63}){1,4}\b"
+        # the whole local part and every label, whatever their length
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?(?:\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]+"
+        r"(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]+)+\b"
     ),
     "ip": re.compile(r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
     "phone": re.compile(r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])"),
     "secret": re.compile(
-        r"(?i)\b(?:password|passwd|pwd|token|api[_-]?key|secret)\s?[:=]\s?[\"']?([A-Za-z0-9+/_=-]{8,128})"
+        # the whole token: to the closing quote, or to white space if none is opened or closed in
+        # the line; a full stop or comma after a bare token stays outside
+        r"(?i)\b(?:password|passwd|pwd|token|api[_-]?key|secret)\s?[:=]\s?"
+        r"(?:([\"'])(?:((?:\\.|(?!\1)[^\n\\]){8,}+)(?=\1)|(?![^\n]*\1)(\S{8,}+))|([^\s\"']\S{7,}(?<![.,;])))"
     ),
 }
 ALL_KINDS = (*KINDS, "secret")

@@ -154,6 +154,22 @@ def test_pii_messy(spark, messy, nothing):
     assert pii.find_pii(spark, nothing).count() == 0 and pii.redact(spark, nothing).count() == 0
 
 
+def test_pii_takes_whole_tokens():
+    def cut(text, kind):
+        return [text[s:e] for k, s, e, *_ in pii.candidate_spans(text) if k == kind]
+
+    long, jwt = "aB3" * 100, f"{'eyJhb9' * 5}.{'eyJzd2' * 9}.{'Sfl_-8' * 7}"
+    for secret in (long, jwt, "p@ss!w0rd$#1x", "it's4secret!"):
+        assert cut(f"the token: {secret} and more", "secret") == [secret]
+        assert cut(f"password={secret}", "secret") == [secret]
+    assert cut(f"token = '{jwt}', next", "secret") == [jwt]
+    assert cut('secret: "four words 2 keep", next', "secret") == ["four words 2 keep"]
+    assert cut('token="abc","user":"somebody else"', "secret") == []
+    assert cut("api_key: abcd1234efgh. Then", "secret") == ["abcd1234efgh"]
+    for mail in (f"{'a1.' * 40}b (at) site.org", "bob [at] a.b.c.d.e.f.org", f"bob (at) {'x' * 70}.org"):
+        assert cut(f"write to {mail} now", "email") == [mail]
+
+
 def test_pii_learns_from_all_votes():
     counts = Counter({"secret:-yyyy:5": 90, "secret:-ynny:4": 10, "secret:-yn-n:4": 40, "email:y-y--:5": 50})
     accepted = pii.accepted_patterns(counts)
