@@ -3,7 +3,21 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import html, licenses, mixing, near_copies, neighbours, packing, pii, quality, repeats, urls
+from . import (
+    byte_tokens,
+    html,
+    licenses,
+    mixing,
+    near_copies,
+    neighbours,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    repeats,
+    urls,
+    whitening,
+)
 from .common import table
 
 
@@ -70,6 +84,20 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.number_turns(spark, table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.prefix_trie(spark, prefix_trie.with_shared_openings(turns))
+    return nodes.drop("a", "b")
+
+
+def op12_whiten_slices(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_tokens(spark, sf_dir):
+    return byte_tokens.digest_documents(table(spark, sf_dir, "documents"))
+
+
 def llm_queries():
     return {
         "op1_site_templates": op1_site_templates,
@@ -82,9 +110,16 @@ def llm_queries():
         "op8_link_trust": op8_link_trust,
         "op9_compacted_repeats": op9_compacted_repeats,
         "op10_quality_rules": op10_quality_rules,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_whiten_slices": op12_whiten_slices,
+        "op13_byte_tokens": op13_byte_tokens,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def llm_oracles():
-    return {"op4_license_rules": licenses.LICENSE_SQL, "op6_mix_sources": mixing.MIX_SQL}
+    return {
+        "op4_license_rules": licenses.LICENSE_SQL,
+        "op6_mix_sources": mixing.MIX_SQL,
+        "op11_prefix_trie": prefix_trie.TRIE_SQL,
+    }
