@@ -43,7 +43,7 @@ WHITE = [
 
 DIVIDER = 0xD800  # a code point that no text holds
 CHARACTERS = 1 << 20  # texts are scanned together up to so many; a longer text is scanned alone
-CACHED, CACHED_LENGTH = 300_000, 48  # slices that a task remembers, and the longest of them
+CACHED, CACHED_LENGTH = 300_000, 48  # slices that a worker remembers, and the longest of them
 SHORT = 64  # bytes; longer slices are merged with a heap
 
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
@@ -200,12 +200,19 @@ class Coder(dict):
 
     def _merge_short(self, raw):
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            best = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
-            if best[0] == 1 << 40:
+        rank, none = self.ranks.get, 1 << 40
+        pairs = [rank(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == none:
                 break
-            i = best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            i = pairs.index(best)
+            merged = parts[i] = parts[i] + parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(merged + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + merged, none)
         return parts
 
     def _merge_long(self, raw):
@@ -253,6 +260,17 @@ class Coder(dict):
         return np.cumsum(lengths) - lengths
 
 
+_coders = {}
+
+
+def coder_of(path):
+    """The coder of a worker process: tasks that follow each other find its slices known."""
+    if path not in _coders:
+        _coders.clear()
+        _coders[path] = Coder(path)
+    return _coders[path]
+
+
 def default_vocabulary():
     import public_tokenizers
 
@@ -285,7 +303,7 @@ def encode_documents(docs, vocabulary=None, row_id="doc_id", text="text"):
     path = vocabulary or default_vocabulary()
 
     def row():
-        coder = Coder(path)
+        coder = coder_of(path)
 
         def work(texts):
             out = []
@@ -305,7 +323,7 @@ def decode_documents(encoded, vocabulary=None):
     path = vocabulary or default_vocabulary()
 
     def run(frames):
-        coder = Coder(path)
+        coder = coder_of(path)
         for f in frames:
             done = [coder.decode(np.asarray(ids, np.int64)) for ids in f["ids"]]
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "decoded": done})
@@ -320,7 +338,7 @@ def digest_documents(docs, vocabulary=None, row_id="doc_id", text="text"):
     path = vocabulary or default_vocabulary()
 
     def row():
-        coder = Coder(path)
+        coder = coder_of(path)
 
         def work(texts):
             out = []
