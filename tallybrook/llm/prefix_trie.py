@@ -18,6 +18,7 @@ a node's members are joined to texts in pieces.
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -240,12 +241,13 @@ def member_digests(spark, ends):
 
     def join(frames):
         for f in frames:
+            nodes, ids = f[NODE].to_numpy(), f["conv_id"].tolist()
+            bounds = np.flatnonzero((nodes[1:] != nodes[:-1]).any(axis=1)) + 1
             rows = []
-            same = (f[NODE] == f[NODE].shift()).all(axis=1)
-            for _, g in f.groupby((~same).cumsum(), sort=False):
-                for at in range(0, len(g), PIECE):
-                    ids = g["conv_id"].iloc[at : at + PIECE]
-                    rows.append((*g[NODE].iloc[0], int(ids.iloc[0]), ",".join(map(str, ids))))
+            for low, high in zip([0, *bounds.tolist()], [*bounds.tolist(), len(ids)]):
+                for at in range(low, high, PIECE):
+                    part = ids[at : min(at + PIECE, high)]
+                    rows.append((*nodes[low].tolist(), part[0], ",".join(map(str, part))))
             yield pd.DataFrame(rows, columns=[*NODE, "first", "ids"])
 
     pieces = sorted_ends.mapInPandas(join, "depth bigint, a bigint, b bigint, first bigint, ids string")
