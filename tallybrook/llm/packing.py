@@ -27,7 +27,9 @@ from .common import stage
 WINDOW = 2048
 END_ID = 1
 GRID = 8  # lengths are rounded up to this for the combinations; they keep their own length
-CACHE = 400_000  # words whose ids a task remembers; the rest are tokenised again
+CACHE, CORES = 400_000, 800_000  # words and words without signs whose ids a worker remembers
+LONGEST = 48  # longer ones are tokenised again each time
+SIGNS = ".,;:!?*$#%&"  # at the end of a word
 
 PIECES = (
     "doc_id bigint, start bigint, length int, doc_tokens bigint, ids binary,"
@@ -38,8 +40,10 @@ PIECES = (
 class WordIds(dict):
     """Ids of space-free words as little-endian unsigned 32-bit bytes, tokenised on demand.
 
-    The tokenizer turns white space into one space and drops it before the merges, so a
-    text's ids are those of its words in order.
+    The tokenizer turns white space into one space, drops it before the merges and divides
+    letters from other signs, so a text's ids are those of its words in order, and a word's are
+    those of the word without the signs at its end and of these signs. Both are remembered,
+    the former longer, as most new words are known ones with other signs.
     """
 
     def __init__(self, path):
@@ -47,16 +51,52 @@ class WordIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.cores, self.long = {}, []
 
     def learn(self, words):
+        """Makes the ids of all `words` known until the next call."""
+        for w in self.long:
+            self.pop(w, None)
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE:
             self.clear()
             new = list(words)
-        for at in range(0, len(new), 4096):
-            block = new[at : at + 4096]
-            for w, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                self[w] = np.asarray(e.ids, "<u4").tobytes()
+        if len(self.cores) > CORES:
+            self.cores.clear()
+        self.long = [w for w in new if len(w) > LONGEST]
+        parts, unknown = [], {}
+        for w in new:
+            core = w.rstrip(SIGNS)
+            if not core[-1:].isalpha():
+                core = w
+            end = w[len(core) :]
+            if core.isascii() and "<" not in core:
+                core = core.lower()
+            parts.append((w, core, end))
+            for part in (core, end):
+                if part not in self.cores:
+                    unknown[part] = None
+        unknown = list(unknown)
+        for at in range(0, len(unknown), 4096):
+            block = unknown[at : at + 4096]
+            for part, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
+                self.cores[part] = np.asarray(e.ids, "<u4").tobytes()
+        for w, core, end in parts:
+            self[w] = self.cores[core] + self.cores[end]
+        for part in unknown:
+            if len(part) > LONGEST:
+                del self.cores[part]
+
+
+_known = {}
+
+
+def known_words(path):
+    """The words that a worker process has met, whatever task it met them in."""
+    if path not in _known:
+        _known.clear()
+        _known[path] = WordIds(path)
+    return _known[path]
 
 
 def default_tokenizer():
@@ -73,11 +113,11 @@ def cut_pieces(docs, tokenizer=None, row_id="doc_id", text="text", window=WINDOW
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def run(batches):
-        known, part, nth = WordIds(path), TaskContext.get().partitionId(), defaultdict(int)
+        known, part, nth = known_words(path), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             out = []
             for doc_id, t in zip(batch[0], batch[1]):
-                words = (t or "").split(" ")
+                words = (t or "").replace("\n", " ").split(" ")
                 known.learn(set(words))
                 ids = b"".join(map(known.__getitem__, words)) + end
                 n = len(ids) // 4
