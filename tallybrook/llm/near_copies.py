@@ -1,18 +1,22 @@
 """Near copies by improved consistent weighted sampling.
 
-Shingles of five words are weighted by TF-IDF. Document frequencies are counted over all
-documents in a sketch of fixed size, so what the tasks need to know of the corpus does not grow
-with it. Each text gets BANDS x ROWS weighted samples; texts that agree on a whole band
-meet in a bucket, and weighted Jaccard similarity on the texts decides. Texts of equal
-words are one member.
+Shingles of five words are weighted by TF-IDF with exact document frequencies: the inverse
+frequency of a shingle is log(1 + N / df), and that of one in less than a 1/COMMON of the documents
+is the same for all, log(1 + COMMON). So weights follow shares and are alike at every size, and
+only the common shingles need to be known, of which there are at most COMMON times the shingles of
+a mean document. A sketch that never counts too low finds the shingles that may be common; those
+are counted exactly.
+
+Each text gets BANDS x ROWS weighted samples; texts that agree on a whole band meet in a bucket.
+Pairs of a bucket whose samples agree often enough for a similarity of 0.8 are compared on their
+texts. Texts of equal words are one member.
 
 A bucket of any size costs one comparison per member at first: with its smallest id. After these
 stars are joined to components, only members of a bucket that are in different components are
 compared, and of those only pairs whose sketches of 512 more samples are close enough. So no group
-is expanded into its pairs, and no link between components is left out.
+of copies is expanded into its pairs.
 """
 
-import re
 import zlib
 
 import numpy as np
@@ -20,24 +24,24 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from .common import SPACES, stage
 from .components import connected
 
 # Fixed values.
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 16, 3  # a pair at 0.8 is missed with probability 1e-5
+BANDS, ROWS = 16, 3  # a pair at 0.8 shares no band with probability 1e-5
 SAMPLES = BANDS * ROWS
 AGREE = 22  # of 48 samples; at a similarity of 0.8 fewer agree with probability 1e-7
-SKETCH = 512  # samples of one bit each, of texts whose bucket is still open after the stars
+SKETCH = 512  # samples of one bit each, of texts with a likely partner in another component
 APART = 80  # bits that may differ; at a similarity of 0.8 more do with probability 1e-5
-CELLS, BLOCKS, DEPTH = 1 << 20, 32, 2  # document-frequency sketch
+COMMON = 256  # shingles in less than this share of the documents weigh alike
+CELLS, BLOCKS, DEPTH = 1 << 20, 32, 2  # sketch
 FAN_IN = 64
+PARTNERS = 256  # texts that one task compares with a text
 
-_SPLIT = re.compile(WORD)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_ALL_SEEDS = (np.arange(1, SAMPLES + SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
-_SEEDS, _SKETCH_SEEDS = _ALL_SEEDS[:, :SAMPLES], _ALL_SEEDS[:, SAMPLES:]
+_FIRST = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x):
@@ -46,22 +50,42 @@ def _mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word):
-        if len(self) >= 500_000:
-            self.clear()
-        raw = word.encode(errors="surrogatepass")
-        value = self[word] = zlib.crc32(raw) << 32 ^ zlib.adler32(raw) ^ len(raw) << 20 ^ hash_tail(raw)
-        return value
+_ALL_SEEDS = (_mixed(np.arange(1, SAMPLES + SKETCH + 1, dtype=np.uint64) * _FIRST) >> np.uint64(32)).astype(np.uint32)
+_SEEDS, _SKETCH_SEEDS = _ALL_SEEDS[:SAMPLES, None], _ALL_SEEDS[SAMPLES:, None]
+
+
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_IS_SPACE = np.isin(np.arange(256), [ord(c) for c in SPACES])
+_POWERS = np.full(1 << 16, np.uint64(0x9E3779B97F4A7C15)).cumprod(dtype=np.uint64)
+SEGMENT = 1 << 20  # bytes of a text that are hashed at once
 
 
-def hash_tail(raw):
-    return int.from_bytes(raw[-8:], "little") * 0x9E3779B97F4A7C15 % (1 << 64) >> 7
+def word_hashes(text):
+    """One 64-bit hash per word: sums of byte values times powers of their place."""
+    raw = np.frombuffer(text.encode(errors="surrogatepass"), np.uint8)
+    if len(raw) <= SEGMENT:
+        return _segment_hashes(raw)
+    # segments end at white space, so that no word is cut
+    spaces, parts, at = np.flatnonzero(_IS_SPACE[raw]), [], 0
+    while at < len(raw):
+        i = np.searchsorted(spaces, at + SEGMENT)
+        end = int(spaces[i]) if i < len(spaces) else len(raw)
+        parts.append(_segment_hashes(raw[at:end]))
+        at = end
+    return np.concatenate(parts)
 
 
-def word_hashes(text, known):
-    words = _SPLIT.findall(text)
-    return _mixed(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+def _segment_hashes(raw):
+    inside = ~_IS_SPACE[raw]
+    edges = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts = np.flatnonzero(edges == 1)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = np.flatnonzero(edges == -1) - starts
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    value = _BYTES[raw[inside]]
+    value *= _POWERS[place & 0xFFFF] + (place >> 16).astype(np.uint64)
+    return _mixed(np.add.reduceat(value, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
 
 
 def shingles(h):
@@ -80,21 +104,35 @@ def _cells(hashes, row):
 
 
 def document_frequencies(spark, texts):
-    """The summed sketch: array (DEPTH, CELLS) of counts, and the number of documents.
+    """Number of documents, and the common shingles (sorted hashes) with their exact document
+    frequencies: those in more than 1/COMMON of the documents.
 
-    Every task counts its documents in an array of fixed size and emits it in blocks; blocks
-    are added up in rounds of at most FAN_IN, whatever the number of tasks.
+    Every task counts its documents in a sketch of fixed size and emits it in blocks; blocks
+    are added up in rounds of at most FAN_IN, whatever the number of tasks. A second scan
+    counts the shingles whose cells all are large enough.
     """
 
     def count(frames):
-        known, table, n = WordHashes(), np.zeros((DEPTH, CELLS), np.uint32), 0
+        table, n = np.zeros((DEPTH, CELLS), np.int64), 0
+        waiting, size = [], 0
+
+        def add_waiting():
+            if waiting:
+                own = np.concatenate(waiting)
+                for row in range(DEPTH):
+                    table[row] += np.bincount(_cells(own, row), minlength=CELLS)
+
         for f in frames:
             for text in f["text"]:
-                if text:
-                    own = np.unique(shingles(word_hashes(text, known)))
-                    n += len(own) > 0
-                    for row in range(DEPTH):
-                        np.add.at(table[row], _cells(own, row), 1)
+                own = np.unique(shingles(word_hashes(text))) if text else ()
+                if len(own):
+                    n += 1
+                    waiting.append(own)
+                    size += len(own)
+                    if size > CELLS:
+                        add_waiting()
+                        waiting, size = [], 0
+        add_waiting()
         part = TaskContext.get().partitionId()
         blocks = np.split(table.reshape(-1), BLOCKS)
         yield pd.DataFrame(
@@ -121,26 +159,49 @@ def document_frequencies(spark, texts):
             break
         d = stage(spark, d, "near-df")
     got = {r["block"]: np.frombuffer(zlib.decompress(r["counts"]), "<u8") for r in d.collect()}
-    if not got:
-        return np.zeros((DEPTH, CELLS), np.float32), 0
-    return np.concatenate([got[b] for b in range(BLOCKS)]).reshape(DEPTH, CELLS).astype(np.float32), int(got[-1][0])
+    n = int(got[-1][0]) if got else 0
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if not n:
+        return n, none
+    large = np.concatenate([got[b] for b in range(BLOCKS)]).reshape(DEPTH, CELLS) > n // COMMON
+    if not large.any(axis=1).all():
+        return n, none
+    large = spark.sparkContext.broadcast(large)  # of fixed size
+
+    def count_common(frames):
+        for f in frames:
+            found = []
+            for text in f["text"]:
+                own = shingles(word_hashes(text)) if text else ()
+                for row in range(DEPTH):
+                    if len(own):
+                        own = own[large.value[row][_cells(own, row)]]
+                if len(own):
+                    found.append(np.unique(own))
+            own, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            yield pd.DataFrame({"shingle": own.view(np.int64), "df": df.astype(np.int64)})
+
+    common = texts.select("text").mapInPandas(count_common, "shingle bigint, df bigint")
+    common = common.groupBy("shingle").agg(F.sum("df").alias("df")).filter(F.col("df") > n // COMMON).toPandas()
+    own = common["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(own)
+    return n, (own[order], common["df"].to_numpy(np.int64)[order])
 
 
-def idf_table(counts, documents):
-    """log(1 + N / df) per sketch cell. The expected count of a cell without its shingle is
-    taken off; what does not stand out of that noise has a frequency of one."""
-    noise = counts.sum(axis=1, keepdims=True) / CELLS
-    df = np.where(counts - noise > 6 * np.sqrt(noise + 1), counts - noise, 1.0)
-    return np.log1p(max(documents, 1) / np.maximum(df, 1.0)).astype(np.float32)
+def idf_table(n, common):
+    """(hashes, weights) of the common shingles; any other weighs 1."""
+    own, df = common
+    return own, (np.log1p(n / np.maximum(df, n / COMMON)) / np.log1p(COMMON)).astype(np.float32)
 
 
 def weigh(h, idf):
     """Distinct shingles of a text, sorted, and their TF-IDF weights."""
     own, tf = np.unique(shingles(h), return_counts=True)
-    rarest = idf[0][_cells(own, 0)]
-    for row in range(1, DEPTH):
-        rarest = np.maximum(rarest, idf[row][_cells(own, row)])
-    return own, (tf * rarest).astype(np.float32)
+    weights = tf.astype(np.float32)
+    if len(idf[0]):
+        at = np.minimum(np.searchsorted(idf[0], own), len(idf[0]) - 1)
+        weights[idf[0][at] == own] *= idf[1][at[idf[0][at] == own]]
+    return own, weights
 
 
 def _gamma_table(bits):
@@ -152,48 +213,48 @@ def _gamma_table(bits):
     return x.astype(np.float32)
 
 
-_R = _gamma_table(12)
-_INVERSE_R = (1 / _R).astype(np.float32)
-_CELLS_AT_ONCE = 6144  # fits into a core's cache
+# What 32 random bits stand for: 8 choose r from Gamma(2, 1), 8 choose beta, 16 choose c from Gamma(2, 1).
+_R = np.repeat(_gamma_table(8), 256)
+_BETA = np.tile((np.arange(256, dtype=np.float32) + np.float32(0.5)) / np.float32(256), 256)
+_PLAIN = _R * (1 - _BETA)  # what is taken off ln c at a weight of one
+_LOG_C = np.log(_gamma_table(16))
+_AT_ONCE = 24_576  # cells: element times sample
 
 
 def samples(own, weights, seeds=_SEEDS):
     """One consistent weighted sample (element and its level, hashed) of a text per seed.
 
-    One 64-bit hash of element and sample gives all that is random: 12 bits choose r from
-    Gamma(2, 1), 12 bits choose beta, and two times 20 bits make c, the sum of two exponential
-    variables. The element with the least c / (y exp(r)) is the sample.
+    A hash of element and sample gives all that is random. The level of a weight is
+    t = floor(ln w / r + beta), and the element with the least c / (exp(r (t - beta)) exp(r)) is the
+    sample. At a weight of one, which most have, t is zero and the rest a table.
     """
-    width = seeds.shape[1]
+    width = len(seeds)
     best = np.full(width, np.inf, np.float32)
     key = np.zeros(width, np.uint64)
-    columns, chunk = np.arange(width), _CELLS_AT_ONCE // width
-    logs = np.log(weights)
-    for at in range(0, len(own), chunk):
-        part, lw = own[at : at + chunk], logs[at : at + chunk, None]
-        z = _mixed(part[:, None] ^ seeds).view(np.int64)
-        pick = z & 0xFFF
-        x = lw * _INVERSE_R[pick]
-        x += ((z >> 12) & 0xFFF).astype(np.int32) * np.float32(2.0**-12)
-        t = np.floor(x)
-        u = ((z >> 24) & 0xFFFFF).astype(np.int32) + np.float32(0.5)
-        u *= ((z >> 44) & 0xFFFFF).astype(np.int32) + np.float32(0.5)
-        u *= np.float32(2.0**-40)
-        np.log(u, out=u)
-        np.negative(u, out=u)
-        np.maximum(u, np.float32(1e-12), out=u)
-        np.log(u, out=u)
-        x -= t
-        x -= 1
-        x *= _R[pick]
-        u += x
-        u -= lw
-        row = u.argmin(axis=0)
-        value = u[row, columns]
-        better = value < best
-        best = np.where(better, value, best)
-        level = t[row, columns].astype(np.int64).view(np.uint64)
-        key = np.where(better, _mixed(part[row] ^ _mixed(level + seeds[0])), key)
+    columns, chunk = np.arange(width), _AT_ONCE // width
+    plain = weights == 1
+    for is_plain, of in ((True, own[plain]), (False, own[~plain])):
+        logs = None if is_plain else np.log(weights[~plain])
+        for at in range(0, len(of), chunk):
+            part = of[at : at + chunk]
+            z = part.astype(np.uint32)[None, :] ^ seeds
+            z *= np.uint32(0x85EBCA6B)
+            z ^= z >> np.uint32(15)
+            z *= np.uint32(0xC2B2AE35)
+            z ^= z >> np.uint32(16)
+            value, low = _LOG_C[z >> np.uint32(16)], z & np.uint32(0xFFFF)
+            if is_plain:
+                value -= _PLAIN[low]
+            else:
+                r, beta = _R[low], _BETA[low]
+                t = np.floor(logs[None, at : at + chunk] / r + beta)
+                value -= r * (t - beta + 1)
+            row = value.argmin(axis=1)
+            least = value[columns, row]
+            level = np.zeros(width, np.int64) if is_plain else t[columns, row].astype(np.int64)
+            better = least < best
+            best = np.where(better, least, best)
+            key = np.where(better, _mixed(part[row] ^ _mixed(level.view(np.uint64) + _FIRST)), key)
     return key
 
 
@@ -207,11 +268,11 @@ def similarity(a, b):
 
 def _sign(idf):
     def run(frames):
-        known, table, done = WordHashes(), idf.value, {}  # done: copies are signed once a task
+        table, done = idf.value, {}  # done: copies are signed once a task
         for f in frames:
             rows = []
             for doc_id, text in zip(f["id"], f["text"]):
-                h = word_hashes(text, known) if text else ()
+                h = word_hashes(text) if text else ()
                 if not len(h):
                     continue
                 n = np.arange(1, len(h) + 1, dtype=np.uint64)
@@ -229,31 +290,59 @@ def _sign(idf):
     return run
 
 
+def _compare(idf, threshold):
+    """Over rows sorted by cell (a, part) whose text `a` comes first: links of the cell."""
+
+    def run(frames):
+        table, cell, left = idf.value, None, None
+        for f in frames:
+            out = []
+            for a, part, other, other_id, text in zip(f["a"], f["part"], f["other"], f["id"], f["text"]):
+                if not other:
+                    if cell != (a, part):  # the first text of an id counts
+                        cell, left = (a, part), weigh(word_hashes(text), table)
+                elif similarity(left, weigh(word_hashes(text), table)) >= threshold:
+                    out.append((a, other_id))
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
 def _sketch(idf):
     def run(frames):
-        known, table = WordHashes(), idf.value
+        table = idf.value
         for f in frames:
             bits = []
             for text in f["text"]:
-                key = samples(*weigh(word_hashes(text, known), table), _SKETCH_SEEDS)
+                key = samples(*weigh(word_hashes(text), table), _SKETCH_SEEDS)
                 bits.append(np.packbits((key >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64))
             yield pd.DataFrame({"id": f["id"], "bits": bits})
 
     return run
 
 
-def _verify(idf):
-    def run(frames):
-        known, table, last, left = WordHashes(), idf.value, None, None
-        for f in frames:
-            out = []
-            for a, b, ta, tb in zip(f["a"], f["b"], f["ta"], f["tb"]):
-                if a != last:
-                    last, left = a, weigh(word_hashes(ta, known), table)
-                out.append(similarity(left, weigh(word_hashes(tb, known), table)))
-            yield pd.DataFrame({"a": f["a"], "b": f["b"], "similarity": out})
+def _links(texts, pairs, idf, threshold):
+    """The pairs (a, b) whose texts are similar. A text with many partners is compared in
+    several cells of at most about PARTNERS, so that no task gets them all."""
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    others = pairs.join(counts, "a").select("a", part.alias("part"), F.lit(True).alias("other"), F.col("b").alias("id"))
+    firsts = others.select("a", "part").distinct().select("a", "part", F.lit(False).alias("other"), F.col("a").alias("id"))
+    wanted = firsts.unionByName(others).join(texts, "id").select("a", "part", "other", "id", "text")
+    dealt = wanted.repartition("a", "part").sortWithinPartitions("a", "part", "other", "id")
+    return dealt.mapInPandas(_compare(idf, threshold), "a bigint, b bigint")
 
-    return run
+
+def _agreement(x, y):
+    same = F.zip_with(x, y, lambda p, q: (p == q).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda s, v: s + v)
+
+
+def _agreeing(pairs, shorts):
+    """The pairs whose samples agree often enough."""
+    for side in "ab":
+        pairs = pairs.join(shorts.select(F.col("id").alias(side), F.col("short").alias(f"short_{side}")), side)
+    return pairs.filter(_agreement("short_a", "short_b") >= AGREE).select("a", "b")
 
 
 def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRESHOLD):
@@ -262,71 +351,54 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
     A class is a connected component of the links between texts whose weighted Jaccard
     similarity is `threshold` or more. Rows of equal words share a class. Null and empty texts
     are classes of their own; rows with a null id get a null class; rows that share an id are
-    one document. Other columns are ignored.
+    one document, whose text is the least of theirs. Other columns are ignored.
     """
     d = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     usable = d.filter("id is not null and text is not null")
-    counts, n = document_frequencies(spark, usable)
-    idf = spark.sparkContext.broadcast(idf_table(counts, n))  # of fixed size
+    n, common = document_frequencies(spark, usable)
+    idf = spark.sparkContext.broadcast(idf_table(n, common))  # at most COMMON times a mean document
     signed = usable.mapInPandas(_sign(idf), "id bigint, s1 bigint, s2 bigint, bands array<bigint>, short array<tinyint>")
     signed = stage(spark, signed, "near-signed")
     alike = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "bands", "short")).alias("m"))
     reps = stage(spark, alike.select("s1", "s2", "m.id", "m.bands", "m.short"), "near-reps")
+    own = reps.groupBy("id").agg(F.min(F.struct("short", "bands")).alias("m")).select("id", "m.short", "m.bands")
 
-    members = reps.select("id", F.explode("bands").alias("key"))
+    members = reps.select("id", F.explode("bands").alias("key")).distinct()
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    buckets = stage(spark, buckets.select("key", "a"), "near-buckets")
-    met = stage(spark, members.join(buckets, "key").select("key", "a", "id"), "near-met")
-    stars = met.filter("a < id").select("a", F.col("id").alias("b")).distinct()
-    wanted = met.select("id").distinct()
-    texts = stage(spark, usable.join(wanted, "id").select("id", "text"), "near-texts")
-    texts = texts.dropDuplicates(["id"])
-
-    def verified(pairs, name):
-        both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        both = both.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-        found = both.select("a", "b", "ta", "tb").mapInPandas(_verify(idf), "a bigint, b bigint, similarity double")
-        return stage(spark, found.filter(F.col("similarity") >= threshold).select("a", "b"), name)
-
-    first = verified(stars, "near-stars")
-    labels = connected(spark, first)
-    named = met.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    met = stage(spark, members.join(buckets.select("key", "a"), "key"), "near-met")
+    texts = usable.join(met.select("id").distinct(), "id").groupBy("id").agg(F.min("text").alias("text"))
+    texts = stage(spark, texts, "near-texts")
+    stars = _agreeing(met.filter("a < id").select("a", F.col("id").alias("b")).distinct(), own.select("id", "short"))
+    stars = stage(spark, stars, "near-stars")
+    first = stage(spark, _links(texts, stars, idf, threshold), "near-first")
+
+    named = met.join(connected(spark, first), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     named = stage(spark, named, "near-named")
     mixed = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key")
-    open_ = stage(spark, named.join(stage(spark, mixed, "near-mixed"), "key"), "near-open")
+    open_ = named.join(stage(spark, mixed, "near-mixed"), "key")
     # only texts with a likely partner in another component need a sketch
-    shorts = reps.select("id", "short").dropDuplicates(["id"])
-    mine = stage(spark, open_.join(shorts, "id"), "near-short")
+    mine = stage(spark, open_.join(own, "id"), "near-open")
     other = mine.select(F.col("key").alias("k"), F.col("label").alias("l"), F.col("short").alias("s"))
-    agree = F.aggregate(F.zip_with("short", "s", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    likely = mine.join(other, (F.col("key") == F.col("k")) & (F.col("label") != F.col("l")) & (agree >= AGREE), "left_semi")
-    sketched = texts.join(likely.select("id").distinct(), "id").select("id", "text")
-    sketched = sketched.mapInPandas(_sketch(idf), "id bigint, bits array<bigint>")
-    sketched = stage(spark, sketched.join(reps.select("id", "bands").dropDuplicates(["id"]), "id"), "near-sketched")
-    full = stage(spark, open_.join(sketched, "id"), "near-full")
+    on = (F.col("key") == F.col("k")) & (F.col("label") != F.col("l")) & (_agreement("short", "s") >= AGREE)
+    likely = mine.join(other, on, "left_semi").select("id").distinct()
+    sketched = texts.join(likely, "id").select("id", "text").mapInPandas(_sketch(idf), "id bigint, bits array<bigint>")
+    full = stage(spark, mine.join(stage(spark, sketched, "near-sketched"), "id").drop("short"), "near-full")
     sides = [
-        full.select(
-            "key",
-            F.col("id").alias(x),
-            F.col("label").alias(f"l{x}"),
-            F.col("bits").alias(f"bits_{x}"),
-            F.col("bands").alias(f"bands_{x}"),
-        )
-        for x in "ab"
+        full.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "label", "bits", "bands")]) for x in "ab"
     ]
     apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH // 64)), F.lit(0))
     shared = F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p))
     on = (
         (sides[0]["key"] == sides[1]["key"])
-        & (F.col("a") < F.col("b"))
-        & (F.col("la") != F.col("lb"))
+        & (F.col("id_a") < F.col("id_b"))
+        & (F.col("label_a") != F.col("label_b"))
         & (apart <= APART)
         # each pair comes from the first bucket that it shares
         & (F.get(F.array_compact(shared), F.lit(0)) == sides[0]["key"])
     )
-    cross = sides[0].join(sides[1], on).select("a", "b").distinct()
-    cross = cross.join(stars, ["a", "b"], "left_anti")
-    second = verified(cross, "near-cross")
+    cross = sides[0].join(sides[1], on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    cross = stage(spark, cross.join(stars, ["a", "b"], "left_anti"), "near-cross")
+    second = stage(spark, _links(texts, cross, idf, threshold), "near-second")
     classes = connected(spark, first.unionByName(second))
 
     named = reps.join(classes, "id", "left").select("s1", "s2", F.coalesce("label", "id").alias("class_id"))

@@ -1,6 +1,7 @@
 """Each document operator against a plain Python version, and on awkward rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -365,9 +366,18 @@ def test_repeats_messy(spark, messy, nothing):
     assert repeats.remove_repeats(spark, nothing).count() == 0
 
 
-def weighted_classes(texts, idf):
-    known = near_copies.WordHashes()
-    vectors = {i: near_copies.weigh(near_copies.word_hashes(t, known), idf) for i, t in texts.items() if WORD.search(t)}
+def weighted_classes(texts):
+    """Classes by plain Python: shingles as tuples of words, exact frequencies, all pairs."""
+    bags = {}
+    for i, text in texts.items():
+        words = WORD.findall(text)
+        if words:
+            size = min(5, len(words))
+            bags[i] = Counter(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+    df = Counter(s for bag in bags.values() for s in bag)
+    n = len(bags)
+    weights = {i: {s: tf * math.log(1 + n / max(df[s], n / 256)) for s, tf in bag.items()} for i, bag in bags.items()}
+    totals = {i: sum(w.values()) for i, w in weights.items()}
     parent = {i: i for i in texts}
 
     def root(i):
@@ -375,10 +385,11 @@ def weighted_classes(texts, idf):
             i = parent[i]
         return i
 
-    ids = sorted(vectors)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
-            if near_copies.similarity(vectors[a], vectors[b]) >= 0.8:
+    ids = sorted(bags)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1 :]:
+            both = sum(min(w, weights[b][s]) for s, w in weights[a].items() if s in weights[b])
+            if both >= 0.8 * (totals[a] + totals[b] - both):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: root(i) for i in texts}
@@ -386,9 +397,57 @@ def weighted_classes(texts, idf):
 
 def test_near_copies(spark, sf_dir, corpus):
     docs = table(spark, sf_dir, "documents")
-    idf = near_copies.idf_table(*near_copies.document_frequencies(spark, docs))
     got = {r.doc_id: r.class_id for r in near_copies.near_copy_classes(spark, docs).collect()}
-    assert got == weighted_classes(corpus, idf)
+    assert got == weighted_classes(corpus)
+
+
+def planted(n_plain):
+    """Copies with one stretch of words changed, so that similarities lie on both sides of 0.8,
+    and a common passage in every document."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"common{i}" for i in range(30))
+    texts = {}
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(200)]
+        for k in range(6):
+            words, changed = list(base), int(rng.integers(5, 35))
+            words[50 : 50 + changed] = [f"g{group}k{k}x{i}" for i in range(changed)]
+            texts[100 * group + k] = " ".join(words) + " " + passage
+    for i in range(n_plain):
+        texts[10_000 + i] = " ".join(f"p{i}w{j}" for j in range(60)) + " " + passage
+    return texts
+
+
+@pytest.mark.parametrize("n_plain", [20, 700])
+def test_planted_near_copies(spark, n_plain, monkeypatch):
+    monkeypatch.setattr(near_copies, "PARTNERS", 2)
+    texts = planted(n_plain)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7)
+    got = {r.doc_id: r.class_id for r in near_copies.near_copy_classes(spark, docs).collect()}
+    assert got == weighted_classes(texts)
+    assert 1 < len({c for i, c in got.items() if i < 10_000}) < 72
+
+
+def test_exact_frequencies(spark):
+    """The frequencies of common shingles are exact, at any number of documents."""
+    texts = [f"a b c d e {' '.join(f'x{i}y{k}' for k in range(40))}" + (" p q r s t" if i % 3 else "") for i in range(900)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    n, (own, df) = near_copies.document_frequencies(spark, docs)
+    known = dict(zip(own.tolist(), df.tolist()))
+    common, some = (near_copies.shingles(near_copies.word_hashes(t))[0] for t in ("a b c d e", "p q r s t"))
+    assert n == 900 and known == {int(common): 900, int(some): 600}
+    weights = dict(zip(own.tolist(), near_copies.idf_table(n, (own, df))[1].tolist()))
+    assert weights[int(some)] == pytest.approx(math.log(1 + 900 / 600) / math.log(257))
+
+
+def test_word_hashes():
+    words = ["one", "", "two", "one", "x" * 70_000, "é", "one"]
+    hashes = near_copies.word_hashes(" \t".join(words) + "\n").tolist()
+    assert len(hashes) == 6 and hashes[0] == hashes[2] == hashes[5] and len(set(hashes)) == 4
+    long = " ".join(f"w{i}" for i in range(400_000))
+    whole = near_copies.word_hashes(long)
+    assert len(np.unique(whole)) == len(whole) == 400_000
+    assert whole[-1] == near_copies.word_hashes("w399999")[0]
 
 
 def test_near_copies_in_one_bucket_group(spark):
@@ -414,13 +473,19 @@ def test_near_copies_messy(spark, messy, nothing):
     assert near_copies.near_copy_classes(spark, nothing).count() == 0
 
 
-def test_samples_estimate_similarity():
+@pytest.mark.parametrize("weight", [1.0, 2.0, 0.37])
+def test_samples_estimate_similarity(weight):
     rng = np.random.default_rng(5)
-    own = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
-    a, b = own[:2400], own[400:2800]
-    wa, wb = (np.full(len(x), 2.0, np.float32) for x in (a, b))
-    agree = (near_copies.samples(a, wa) == near_copies.samples(b, wb)).mean()
-    assert abs(agree - near_copies.similarity((a, wa), (b, wb))) < 0.22
+    estimates = []
+    for _ in range(60):
+        own = rng.permutation(np.unique(rng.integers(0, 2**63, 700, dtype=np.uint64)))
+        a, b = np.sort(own[:600]), np.sort(own[100:700])
+        # half of the shared ones weigh more in b
+        wa, wb = (np.full(len(x), weight, np.float32) for x in (a, b))
+        wb[: len(b) // 2] *= 1.5
+        agree = (near_copies.samples(a, wa) == near_copies.samples(b, wb)).mean()
+        estimates.append(agree - near_copies.similarity((a, wa), (b, wb)))
+    assert abs(np.mean(estimates)) < 0.03
 
 
 def test_pipeline(spark, sf_dir):
