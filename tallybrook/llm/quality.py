@@ -137,7 +137,7 @@ def _factor(moments, keys):
     return d.select(*keys, "group_size", *kept)
 
 
-def robust_estimates(stats, keys, row_id):
+def robust_estimates(spark, stats, keys, row_id):
     """Centre and covariance factor per group of `keys`, one row per group.
 
     `stats` holds the integer statistics. Starts from the coordinate-wise medians and
@@ -156,7 +156,7 @@ def robust_estimates(stats, keys, row_id):
             columns[f"l{i}{j}"] = F.sqrt(spread * spread + F.lit(FLOORS[i] ** 2))
         else:
             columns[f"l{i}{j}"] = F.lit(0.0)
-    fit = start.withColumns(columns).drop(*[f"q{i}" for i in range(len(STATS))])
+    fit = stage(spark, start.withColumns(columns).drop(*[f"q{i}" for i in range(len(STATS))]), "quality-start")
     for _ in range(STEPS):
         near = salted_join(stats, fit, keys, [row_id])
         # 16 bins per doubling of the distance: bounded, and the same at every size
@@ -197,7 +197,8 @@ def robust_estimates(stats, keys, row_id):
             F.sum("n").alias("n"),
             *[F.sum(k).alias(k) for k in sums],
         )
-        fit = _factor(moments, keys)
+        # one row per group: written down, so that no plan holds more than one step
+        fit = stage(spark, _factor(moments, keys), "quality-step")
     return fit
 
 
@@ -234,7 +235,7 @@ def _estimated(spark, measured, keys, row_id):
     last, groups = _levels(keys)
     sound = measured.filter("not base_failed").select(row_id, *STATS, groups.alias("g"))
     sound = sound.select(row_id, *STATS, "g.*")
-    fits = stage(spark, robust_estimates(sound, ["__level", *keys], row_id), "quality-fits")
+    fits = robust_estimates(spark, sound, ["__level", *keys], row_id)
     own = [f"__own{i}" for i in range(len(keys))]
     wanted = fits.filter("__level = 0").select(*[F.col(k).alias(o) for k, o in zip(keys, own)], groups.alias("g"))
     on = F.col("g.__level") == F.col("__level")
