@@ -9,14 +9,31 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_written = []  # folders of this process, oldest first
+
+
 def stage(spark, df, name):
     """Write `df` to the shared folder and read it back: cuts the lineage, and a lost
     executor costs a re-read instead of the work before it."""
     path = new_folder(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark, folders):
+    """Delete staged tables that nothing reads any more."""
+    for path in folders:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _written.remove(path)
+
+
+def staged():
+    """Folders of the staged tables that have not been released."""
+    return list(_written)
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
