@@ -7,9 +7,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_file
+from tallybrook.suite.oracles import all_oracles
+from tallybrook.suite.queries import all_queries
 
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
