@@ -27,18 +27,16 @@ def dangling_schema_ids(records, registry, id_column="content_id"):
 
 
 def ambiguous_schema_ids(records, registry):
-    """Numbers that mean one schema as global id and another as content id, with
-    the number of records that carry them."""
+    """Numbers that mean one schema as global id and another as content id: one row per pair of
+    subjects that a record with the number may mean, and the number of records that carry it."""
     as_global = (
-        registry.groupBy(F.col("global_id").alias("schema_id"))
-        .agg(
-            F.min("subject").alias("global_subject"), F.min("content_id").alias("global_content")
-        )
-        .filter(F.col("global_content") != F.col("schema_id"))
-    )
-    as_content = registry.groupBy(F.col("content_id").alias("schema_id")).agg(
-        F.min("subject").alias("content_subject")
+        registry.filter(F.col("content_id") != F.col("global_id"))
+        .select(F.col("global_id").alias("schema_id"), F.col("subject").alias("global_subject"))
+        .distinct()
     )
+    as_content = registry.select(
+        F.col("content_id").alias("schema_id"), F.col("subject").alias("content_subject")
+    ).distinct()
     return (
         as_global.join(as_content, "schema_id")
         .join(schema_id_counts(records), "schema_id", "left")

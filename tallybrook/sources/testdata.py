@@ -47,6 +47,21 @@ def stream_events(spark, folder, files="events.parquet", files_per_trigger=None)
     return reader.parquet(folder)
 
 
+def arrival_number():
+    """A jittered order of arrival."""
+    return F.col("event_id") + (F.col("event_id") * 7919) % 50
+
+
+def write_slices(spark, sf_dir, folder, numbers, of=8, by=None):
+    """The slices `numbers` of the events, cut `of` ways along `by` (a Column, default the event
+    id), as one file each and in this order: what a stream of files finds one after the other."""
+    e = table(spark, sf_dir, "events").withColumn("_at", F.col("event_id") if by is None else by)
+    top = e.agg(F.max("_at")).scalar()
+    slice_of = F.floor(F.col("_at") * of / (top + 1))
+    for i in numbers:
+        e.filter(slice_of == i).drop("_at").coalesce(1).write.parquet(os.path.join(folder, f"slice={i}"))
+
+
 def as_orders(events, time_type="timestamp_ntz"):
     """One order per event. `arrival` is a jittered arrival number."""
     at = F.col("ts").cast(time_type)
@@ -62,7 +77,7 @@ def as_orders(events, time_type="timestamp_ntz"):
         F.round(F.col("value") * 100).cast("bigint").alias("amount_cents"),
         F.col("event_type").alias("currency"),
         at.alias("placed_at"),
-        (F.col("event_id") + (F.col("event_id") * 7919) % 50).alias("arrival"),
+        arrival_number().alias("arrival"),
     )
 
 
@@ -90,10 +105,10 @@ def _version(when, base, at, tier, deleted):
     return F.when(when, version)
 
 
-def profile_history(spark, sf_dir, base_only=False, country=False):
+def profile_history(spark, sf_dir, country=False):
     """Up to three versions per customer: a first tier by market segment (none for
     MACHINERY), an upgrade of every third, a deletion of every seventh.
-    `base_only` keeps the first versions; `country` adds the nation name."""
+    `country` adds the nation name."""
     customers = table(spark, sf_dir, "customer")
     c = F.col("c_custkey")
     versions = [
@@ -101,12 +116,11 @@ def profile_history(spark, sf_dir, base_only=False, country=False):
             F.col("c_mktsegment") != "MACHINERY", 0, "2023-12-31", _segment_tier(), False
         )
     ]
-    if not base_only:
-        upgrade = F.lit("ENTERPRISE")
-        versions += [
-            _version(c % 3 == 0, 10_000_000, "2024-01-10", upgrade, False),
-            _version(c % 7 == 0, 20_000_000, "2024-01-20", F.lit(None), True),
-        ]
+    upgrade = F.lit("ENTERPRISE")
+    versions += [
+        _version(c % 3 == 0, 10_000_000, "2024-01-10", upgrade, False),
+        _version(c % 7 == 0, 20_000_000, "2024-01-20", F.lit(None), True),
+    ]
     rest = []
     if country:
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

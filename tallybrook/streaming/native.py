@@ -38,6 +38,13 @@ def latest_windows(spark, path):
     )
 
 
+def write_rows(rows, path, partition_by=()):
+    """Append sink of the rows of a stateful operator. The folder's own log names the files of
+    finished batches, so that a repeated batch changes nothing and readers see whole ones."""
+    writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
 def write_final(totals, path):
     """Each window once, when the watermark has passed its end."""
     return (

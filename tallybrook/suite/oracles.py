@@ -29,13 +29,6 @@ versions as (
          tier, deleted
   from f_history)"""
 
-BASE = """
-base as (
-  select cast(c_custkey as varchar) as key,
-         case c_mktsegment when 'AUTOMOBILE' then 'FREE' when 'BUILDING' then 'FREE'
-              when 'FURNITURE' then 'PRO' when 'HOUSEHOLD' then 'ENTERPRISE' end as tier
-  from customer where c_mktsegment <> 'MACHINERY')"""
-
 LATEST = """
 latest as (
   select * from (
@@ -44,6 +37,10 @@ latest as (
     from versions group by key)
   where not gone)"""
 
+# newest profile of every customer, upgrades and deletions included
+BASE = f"""{HISTORY},{LATEST},
+base as (select key, newest_tier as tier from latest)"""
+
 
 def _with(*parts):
     return "with " + ",".join(parts) + "\n"
@@ -402,13 +399,11 @@ where w.order_count is null or w.order_count <> e.order_count""",
         + "select * from id_counts where schema_id not in (select content_id from registry)",
         "ambiguous_schema_ids": _with(RAW, REGISTRY)
         + """
-select g.global_id as schema_id, g.subject as global_subject, c.content_subject,
+select g.global_id as schema_id, g.subject as global_subject, c.subject as content_subject,
        coalesce(records, 0) as records
-from (select distinct global_id, content_id, subject from registry) g
-join (select content_id, min(subject) as content_subject from registry group by 1) c
-  on g.global_id = c.content_id
-left join id_counts on schema_id = g.global_id
-where g.content_id <> g.global_id""",
+from (select distinct global_id, subject from registry where content_id <> global_id) g
+join (select distinct content_id, subject from registry) c on g.global_id = c.content_id
+left join id_counts on schema_id = g.global_id""",
         "schema_compat_diff": _with(REGISTRY)
         + """
 select coalesce(n.subject, o.subject) as subject, 1 as old_version, 2 as version,

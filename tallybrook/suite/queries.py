@@ -14,7 +14,7 @@ from ..sources import testdata as td
 from ..sources.generators import as_generated_orders
 from ..sources.orders import conform_all, scan_orders
 from ..sources.profiles import seed_profiles
-from ..streaming import batches, native
+from ..streaming import batches, native, stateful
 from ..streaming.run import run_to_end
 
 DAY = "1 day"
@@ -25,10 +25,6 @@ IDLE = "kafka_server_kafkarequesthandlerpool_requesthandleravgidle_percent"
 MESSAGES = "kafka_server_brokertopicmetrics_messagesin_total"
 
 
-def _first_profiles(spark, sf_dir):
-    return enrich.current_tiers(td.profile_history(spark, sf_dir, base_only=True))
-
-
 def _newest_profiles(spark, sf_dir):
     return enrich.current_tiers(td.profile_history(spark, sf_dir))
 
@@ -38,13 +34,13 @@ def _changelog(spark, sf_dir, unit=False):
     hot = find_hot_keys(orders, ["key"])
     if unit:
         orders = td.unit_orders(orders)
-    enriched = enrich.enrich_current(orders, _first_profiles(spark, sf_dir), hot=hot)
+    enriched = enrich.enrich_current(orders, _newest_profiles(spark, sf_dir), hot=hot)
     return windows.window_changelog(enrich.drop_unmatched(enriched), DAY, hot=hot)
 
 
 def _windows(spark, sf_dir, size):
     return windows.orders_per_window(
-        td.orders(spark, sf_dir), _first_profiles(spark, sf_dir), size
+        td.orders(spark, sf_dir), _newest_profiles(spark, sf_dir), size
     )
 
 
@@ -134,7 +130,7 @@ def q_window_changelog(spark, sf_dir):
 
 
 def _kept_and_late(spark, sf_dir):
-    return enrich.matched_orders(td.orders(spark, sf_dir), _first_profiles(spark, sf_dir))
+    return enrich.matched_orders(td.orders(spark, sf_dir), _newest_profiles(spark, sf_dir))
 
 
 def q_orders_strict_no_grace(spark, sf_dir):
@@ -290,23 +286,36 @@ def _run(spark, writer, name):
     return folder
 
 
-def _fresh(spark, sf_dir):
-    return batches.fresh_profiles(lambda: td.profile_history(spark, sf_dir, base_only=True))
-
-
 def _without_zone(df, *columns):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def _run_sliced(spark, sf_dir, name, writer, by=None):
+    """Eight micro-batches in order, with a stop and a restart from the checkpoint between the
+    fourth and the fifth."""
+    folder = new_folder(spark, name)
+    source = os.path.join(folder, "source")
+    for numbers in (range(4), range(4, 8)):
+        td.write_slices(spark, sf_dir, source, numbers, by=by)
+        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=1))
+        run_to_end(writer(orders, os.path.join(folder, "out")), os.path.join(folder, "checkpoint"), state_partitions=4)
+    return os.path.join(folder, "out")
+
+
+def _matched(spark, sf_dir, orders):
+    return enrich.drop_unmatched(enrich.enrich_current(orders, _newest_profiles(spark, sf_dir)))
+
+
 def q_stream_orders_per_window(spark, sf_dir):
-    orders, prepare = _stream_orders(spark, sf_dir), _fresh(spark, sf_dir)
-    folder = _run(spark, lambda f: batches.totals(orders, f, prepare), "totals")
-    return native.latest_windows(spark, batches.updates_path(folder))
+    def writer(orders, out):
+        return native.write_updates(stateful.totals(_matched(spark, sf_dir, orders)), out)
+
+    return native.latest_windows(spark, _run_sliced(spark, sf_dir, "totals", writer))
 
 
 def _watermarked(spark, sf_dir):
     orders = _stream_orders(spark, sf_dir, "timestamp")
-    current = _first_profiles(spark, sf_dir)
+    current = _newest_profiles(spark, sf_dir)
     return native.windowed(enrich.drop_unmatched(enrich.enrich_current(orders, current)))
 
 
@@ -327,22 +336,19 @@ def q_stream_final_windows(spark, sf_dir):
 
 
 def q_stream_strict_no_grace(spark, sf_dir):
-    orders = _stream_orders(spark, sf_dir)
+    def writer(orders, out):
+        matched = enrich.matched_orders(orders, _newest_profiles(spark, sf_dir))
+        return native.write_rows(stateful.drop_late(matched, arrival=JITTERED), out)
 
-    def prepare(batch):
-        return enrich.matched_orders(batch, _first_profiles(spark, sf_dir))
-
-    folder = _run(
-        spark, lambda f: batches.strict(orders, f, prepare, arrival=JITTERED), "strict"
-    )
-    rows = batches.read_strict(spark, folder)
+    rows = spark.read.parquet(_run_sliced(spark, sf_dir, "strict", writer, td.arrival_number()))
     return rows.select("key", "partition", "order_id", "amount_cents", "arrival", "timestamp")
 
 
 def q_stream_window_changelog(spark, sf_dir):
-    orders, prepare = _stream_orders(spark, sf_dir), _fresh(spark, sf_dir)
-    folder = _run(spark, lambda f: batches.changelog(orders, f, prepare, DAY), "changelog")
-    return batches.read_changelog(spark, folder).drop("batch_id")
+    def writer(orders, out):
+        return native.write_rows(stateful.changelog(_matched(spark, sf_dir, orders), DAY), out)
+
+    return spark.read.parquet(_run_sliced(spark, sf_dir, "changelog", writer))
 
 
 def q_stream_validate_windows(spark, sf_dir):

@@ -150,7 +150,7 @@ def test_summing_before_the_join_changes_nothing(spark, sf_dir, size):
     from tallybrook.sources import testdata as td
 
     frame = td.orders(spark, sf_dir)
-    current = enrich.latest_by_key(td.profile_history(spark, sf_dir, base_only=True))
+    current = enrich.latest_by_key(td.profile_history(spark, sf_dir))
     joined = enrich.drop_unmatched(enrich.enrich_current(frame, current))
     after = windows.aggregate_windows(joined, size)
     assert windows.orders_per_window(frame, current, size).exceptAll(after).isEmpty()
