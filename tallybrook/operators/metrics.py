@@ -122,30 +122,47 @@ def relative_drop(samples, metric, trailing_seconds=600, below=0.5):
     )
 
 
-def cluster_sum(samples, metric, step="15 seconds"):
-    """Sum of a gauge over instances per step (`ts` is its start).
+def cluster_sum(samples, metric, staleness="5 minutes"):
+    """Sum of a gauge over instances at every time that one was scraped.
 
-    Instances are not scraped at the same moments: each counts with its last value of
-    the step, or, if it has none, with that of the step before.
+    Instances are not scraped at the same moments: a sample holds until the next of its
+    instance, but no longer than `staleness`. Only changes are added up along time, so no
+    sample is repeated. Of samples of one instance and time the largest counts.
     """
-    last = gauge_by_instance(samples, metric, step)
-    carried = last.select(
-        "instance", (F.col("step") + F.expr(f"interval {step}")).alias("step"), "value"
-    )
-    own = last.withColumn("own", F.lit(1)).unionByName(carried.withColumn("own", F.lit(0)))
-    filled = own.groupBy("instance", "step").agg(
-        F.max_by("value", "own").alias("value"), F.max("own").alias("own")
-    )
-    # a step that nobody was scraped in is no sample of the cluster
-    return (
-        filled.groupBy(F.col("step").alias("ts"))
-        .agg(F.sum("value").alias("value"), F.max("own").alias("own"))
-        .filter("own = 1")
-        .drop("own")
+    hold = F.expr(f"interval {staleness}")
+    gauge = samples.filter(F.col("metric") == metric).groupBy("instance", "ts")
+    gauge = gauge.agg(F.max("value").alias("value"))
+    last = {"before": Fold("last", F.struct("ts", "value"))}
+    steps = running(gauge, ["instance"], ["ts"], last, block=_day(), inclusive=False)
+    ends = F.col("before.ts") + hold
+    holds = F.coalesce(ends > F.col("ts"), F.lit(False))
+    one = F.lit(1).cast("bigint")
+
+    def change(at, value, own):
+        away = F.when(value != 0, one).otherwise(F.lit(0).cast("bigint"))
+        return F.struct(at.alias("ts"), value.alias("change"), away.alias("away"), F.lit(own).alias("own"))
+
+    def less(at, value):
+        return change(at, value, 0).withField("change", -value).withField(
+            "away", F.when(value != 0, -one).otherwise(F.lit(0).cast("bigint"))
+        )
+
+    # a sample takes the place of the one before, at once or when that one has run out
+    gone = F.when(F.col("before").isNotNull(), less(F.when(holds, F.col("ts")).otherwise(ends), F.col("before.value")))
+    changes = steps.select(F.explode(F.array_compact(F.array(change(F.col("ts"), F.col("value"), 1), gone))).alias("c"))
+    newest = gauge.groupBy("instance").agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+    changes = changes.unionByName(newest.select(less(F.col("ts") + hold, F.col("value")).alias("c"))).select("c.*")
+    at_once = changes.groupBy("ts").agg(
+        F.sum("change").alias("change"), F.sum("away").alias("away"), F.max("own").alias("own")
     )
+    sums = {"value": Fold("sum", F.col("change")), "instances_away": Fold("sum", F.col("away"))}
+    summed = running(at_once.withColumn("scope", F.lit(0)), ["scope"], ["ts"], sums, block=_day())
+    # counted, so that rounding leaves no remainder of a sum that is zero
+    value = F.when(F.col("instances_away") > 0, F.col("value")).otherwise(F.lit(0.0))
+    return summed.filter("own = 1").select("ts", value.alias("value"))
 
 
-def outage_episodes(samples, metric, step="15 seconds"):
+def outage_episodes(samples, metric, staleness="5 minutes"):
     """Times a gauge was away from 0, per instance and for the sum of all.
 
     An episode runs from the first sample away from 0 to the last one before the
@@ -154,7 +171,7 @@ def outage_episodes(samples, metric, step="15 seconds"):
     """
     gauge = samples.filter(F.col("metric") == metric).select("instance", "ts", "value")
     both = gauge.withColumn("scope", F.lit("instance")).unionByName(
-        cluster_sum(samples, metric, step).withColumn("scope", F.lit("cluster")),
+        cluster_sum(samples, metric, staleness).withColumn("scope", F.lit("cluster")),
         allowMissingColumns=True,
     )
     # samples between two zeros share the time of the zero before them

@@ -298,15 +298,18 @@ class _Versions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         known, waiting, times = None, [], set()
+        if key[0] is None:  # a heartbeat
+            return iter([])
         for f in rows:
             for r in f.itertuples(index=False):
                 at = _stored(r.timestamp)
                 if r.is_order:
-                    waiting.append((at, r.partition, r.offset, r.order_id, r.currency, r.amount_cents))
+                    cents = None if pd.isna(r.amount_cents) else int(r.amount_cents)
+                    waiting.append((at, int(r.partition), int(r.offset), r.order_id, r.currency, cents))
                     times.add(_millis(at))
                 else:
                     known = self._known() if known is None else known
-                    known.append((at, r.offset, r.tier))
+                    known.append((at, int(r.offset), r.tier))
         if known is not None:
             known = sorted(known, key=lambda v: v[:2])
             self.versions.update(tuple(list(c) for c in zip(*known)))
@@ -345,6 +348,7 @@ class _Versions(StatefulProcessor):
         if out:
             f = pd.DataFrame(out, columns=_ENRICHED.fieldNames())
             f["timestamp"] = pd.to_datetime(f["timestamp"])
+            f["total_amount_cents"] = f["total_amount_cents"].astype("Int64")
             yield f
 
     def close(self):
@@ -372,8 +376,8 @@ def enrich_asof(orders, history, lag="1 hour"):
 
     An order waits until both streams have passed its time, then it is joined and given out once.
     A deletion is a version without a tier. Versions that no later order can ask for are dropped.
-    The last orders come out when later records, or a heartbeat (a row of a null key in
-    either stream), move the time on.
+    The last orders come out when later records of both streams, or heartbeats (rows of a
+    null key, which give nothing out), move the time on.
     """
     order = orders.select(
         "key", F.lit(True).alias("is_order"), F.col("timestamp").cast("timestamp").alias("timestamp"),
@@ -387,5 +391,4 @@ def enrich_asof(orders, history, lag="1 hour"):
     )
     # each stream has its own watermark, and the slower one counts
     both = order.withWatermark("timestamp", lag).unionByName(version.withWatermark("timestamp", lag))
-    both = both.filter(F.col("key").isNotNull())
     return both.groupBy("key").transformWithStateInPandas(_Versions(), _ENRICHED, "Append", "EventTime")

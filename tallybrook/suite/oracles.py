@@ -439,18 +439,17 @@ select instance, ts, value, round(of_mean, 9) as of_mean from (
 where of_mean < 0.5""",
         "outage_episodes": _with(URP)
         + """
-, steps as (
-  select instance, time_bucket(interval '15 seconds', ts) as step, arg_max(value, ts) as value
-  from samples group by all),
+, held as (
+  select instance, ts, max(value) as value from samples group by all),
+places as (
+  select p.ts, i.instance from (select distinct ts from held) p, (select distinct instance from held) i),
 filled as (
-  select instance, step, arg_max(value, own) as value, max(own) as own
-  from (select *, 1 as own from steps
-        union all select instance, step + interval '15 seconds', value, 0 from steps)
-  group by instance, step),
+  select p.ts, s.value from places p asof join held s on p.instance = s.instance and p.ts >= s.ts
+  where s.ts + interval '5 minutes' > p.ts),
 series as (
   select 'instance' as scope, instance, ts, value from samples
   union all
-  select 'cluster', null, step, sum(value) from filled group by step having max(own) = 1),
+  select 'cluster', null, ts, sum(value) from filled group by ts),
 marked as (
   select *, count(*) filter (value = 0) over (partition by scope, instance order by ts
               rows between unbounded preceding and 1 preceding) as zeros

@@ -139,6 +139,23 @@ def test_cluster_outage_of_unaligned_scrapes(spark):
     assert [r.peak for r in out if r.scope == "cluster"] == [130]
 
 
+def test_cluster_outage_of_slow_scrapes(spark):
+    """Scraped every 60 s, a at 0 and b at 65 all the time: one episode that lasts."""
+    data = [("a", 60 * i, 0) for i in range(10)] + [("b", 60 * i + 31, 65) for i in range(10)]
+    out = metrics.outage_episodes(samples(spark, "m", data), "m").collect()
+    found = [(r.peak, r.started_at, r.recovered_at) for r in out if r.scope == "cluster"]
+    assert found == [(65, BASE + timedelta(seconds=31), None)]
+
+
+def test_cluster_sum_forgets_silent_instances(spark):
+    data = [("a", 60 * i, 1) for i in range(10)] + [("b", 30, 5.0), ("b", 450, 7.0)]
+    out = metrics.cluster_sum(samples(spark, "m", data), "m")
+    found = {int((r.ts - BASE).total_seconds()): r.value for r in out.collect()}
+    # b holds for 300 s after 30 and from 450 on
+    want = {60 * i: 1 + 5 * (30 <= 60 * i < 330) + 7 * (60 * i >= 450) for i in range(10)} | {30: 6, 450: 8}
+    assert found == want
+
+
 def test_series_of_different_labels_stay_apart(spark):
     frame = spark.createDataFrame(
         [({"a": "1,b=2"},), ({"a": "1", "b": "2"},), ({"a": None},), ({},)], "labels map<string,string>"

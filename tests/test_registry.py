@@ -47,6 +47,16 @@ def test_id_audits(spark):
     ]
 
 
+def test_every_subject_of_an_ambiguous_id(spark):
+    entries = dump(
+        spark,
+        [("A", 1, 7, 70, "x", False), ("D", 1, 7, 7, "x", False)]
+        + [(s, 1, 100 + i, 7, "x", False) for i, s in enumerate("BC")],
+    )
+    found = rows(registry.ambiguous_schema_ids(raw(spark, "0000000007AA"), entries))
+    assert sorted(found) == [(7, "A", "B", 1), (7, "A", "C", 1), (7, "A", "D", 1)]
+
+
 def version(subject, number, **fields):
     return [(subject, number, number, number, f, default) for f, default in fields.items()]
 
