@@ -52,6 +52,36 @@ def arrival_number():
     return F.col("event_id") + (F.col("event_id") * 7919) % 50
 
 
+HEARTBEAT = "2100-01-01"
+
+
+def write_heartbeat(spark, sf_dir, folder):
+    """An event without a user, far ahead: what waits for time to pass comes out."""
+    e = table(spark, sf_dir, "events").filter("false")
+    row = spark.range(1).select(
+        F.lit(0).cast("bigint").alias("event_id"), F.lit(HEARTBEAT).cast("timestamp_ntz").alias("ts")
+    )
+    e.unionByName(row, allowMissingColumns=True).coalesce(1).write.parquet(os.path.join(folder, "slice=end"))
+
+
+def write_profile_stream(spark, sf_dir, folder):
+    """The profile history in the order of its times: one file per round of versions."""
+    history = profile_history(spark, sf_dir)
+    for i in range(3):
+        part = history.filter(F.floor(F.col("offset") / 10_000_000) == i)
+        part.coalesce(1).write.parquet(os.path.join(folder, f"slice={i}"))
+    return history.schema
+
+
+def write_profile_heartbeat(spark, sf_dir, folder, name):
+    """A version without a customer, far ahead."""
+    row = spark.range(1).select(
+        F.lit(HEARTBEAT).cast("timestamp_ntz").alias("timestamp"), F.lit(0).cast("bigint").alias("offset")
+    )
+    beat = profile_history(spark, sf_dir).filter("false").unionByName(row, allowMissingColumns=True)
+    beat.coalesce(1).write.parquet(os.path.join(folder, f"slice={name}"))
+
+
 def write_slices(spark, sf_dir, folder, numbers, of=8, by=None):
     """The slices `numbers` of the events, cut `of` ways along `by` (a Column, default the event
     id), as one file each and in this order: what a stream of files finds one after the other."""

@@ -377,7 +377,8 @@ def enrich_asof(orders, history, lag="1 hour"):
     An order waits until both streams have passed its time, then it is joined and given out once.
     A deletion is a version without a tier. Versions that no later order can ask for are dropped.
     The last orders come out when later records of both streams, or heartbeats (rows of a
-    null key, which give nothing out), move the time on.
+    null key, which give nothing out), move the time on. After a restart time stands still
+    until both streams have brought a record.
     """
     order = orders.select(
         "key", F.lit(True).alias("is_order"), F.col("timestamp").cast("timestamp").alias("timestamp"),

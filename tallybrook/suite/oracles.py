@@ -478,6 +478,8 @@ select * from a1 where window_end <= (select max("timestamp") from f_orders)""",
         + """
 select key, partition, order_id, amount_cents, arrival, "timestamp" from timed
 where window_end > stream_time""",
+        "stream_enrich_asof": _with(ORDERS, HISTORY, ASOF)
+        + f"select {ENRICHED_COLUMNS} from matched o",
         "stream_window_changelog": _with(ORDERS, BASE, _changelog()) + "select * from changelog",
         "stream_validate_windows": _with(ORDERS, BASE, _changelog("4242"), WINDOW_CHECKS)
         + "select * from window_checks",

@@ -344,6 +344,24 @@ def q_stream_strict_no_grace(spark, sf_dir):
     return rows.select("key", "partition", "order_id", "amount_cents", "arrival", "timestamp")
 
 
+def q_stream_enrich_asof(spark, sf_dir):
+    folder = new_folder(spark, "asof")
+    source, profiles = os.path.join(folder, "source"), os.path.join(folder, "profiles")
+    schema = td.write_profile_stream(spark, sf_dir, profiles)
+    out = os.path.join(folder, "out")
+    for numbers in (range(4), range(4, 8)):
+        td.write_slices(spark, sf_dir, source, numbers)
+        # after a restart each stream must be heard of once before time moves on
+        td.write_profile_heartbeat(spark, sf_dir, profiles, f"end{numbers[0]}")
+        if 7 in numbers:
+            td.write_heartbeat(spark, sf_dir, source)
+        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=1))
+        history = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(profiles)
+        joined = stateful.enrich_asof(orders, history)
+        run_to_end(native.write_rows(joined, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+    return spark.read.parquet(out)
+
+
 def q_stream_window_changelog(spark, sf_dir):
     def writer(orders, out):
         return native.write_rows(stateful.changelog(_matched(spark, sf_dir, orders), DAY), out)
