@@ -509,6 +509,6 @@ def test_pipeline_on_nothing(spark, sf_dir, nothing):
     import corpus_pipeline
 
     docs = table(spark, sf_dir, "documents").filter("false")
-    for _, step in corpus_pipeline.STAGES:
-        docs = step(spark, docs, sf_dir)
+    for name, step in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(spark, step(spark, docs, sf_dir), name)
     assert docs.count() == 0
