@@ -7,6 +7,8 @@ blocked when its distrust outweighs its trust. Only DataFrame functions run; the
 aggregated to one row per pair of hosts before the first step.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .common import salted_join, stage
@@ -21,9 +23,10 @@ RULES = (
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-STEPS = 8
 BLOCK_ABOVE = 1.0  # distrust over trust, plus the floor
-FLOOR = 1e-9
+FLOOR = 1e-2  # in units of the restart mass of one seed host, as are all scores
+REST = 1e-3  # gain of a host in a step that is not followed further
+EDGES = 1_000_000  # links of a host in one part
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -63,51 +66,70 @@ def host_edges(pages, url="url", html="html"):
     return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
+def shares(spark, edges, name):
+    """`src`, `part`, `dst`, `share`: the share of a host's links that goes to each target.
+
+    The links of a host are cut into parts of about EDGES rows, so that a host which holds
+    any share of all links is spread over tasks, and the others are not copied.
+    """
+    out = edges.groupBy("src").agg(F.sum("weight").alias("all"), F.count(F.lit(1)).alias("n"))
+    out = out.withColumn("parts", F.ceil(F.col("n") / EDGES).cast("bigint"))
+    whole = salted_join(edges, out, ["src"], ["dst"])
+    part = F.pmod(F.xxhash64("dst"), F.col("parts")).alias("part")
+    rows = whole.select("src", part, "dst", (F.col("weight") / F.col("all")).alias("share"))
+    parts = out.select(F.col("src").alias("host"), "parts")
+    return stage(spark, rows, f"{name}-links"), stage(spark, parts, f"{name}-parts")
+
+
 def propagate(spark, hosts, edges, seed, name):
-    """Personalised PageRank of `hosts` (column `host`, `seed`) over edges (src, dst, share).
+    """Personalised PageRank of `hosts` (column `host`, `seed`) along `edges` (src, dst, weight).
 
-    Mass without an outgoing edge returns to the seeds at the next step only through the
-    restart term, so scores are bounded by the seed shares. STEPS joins on the host; the
-    edges of a host may be many, so they are spread by target.
+    A step moves what the step before moved, so that only hosts the seeds reach take part; a
+    score is the sum over the steps. They end when no host gains more than REST of a seed
+    host's restart mass, or nothing moves at all. Mass on a host without outgoing links is lost.
+    A step shrinks the mass by DAMPING, so the number of steps grows with the logarithm of the
+    number of seed hosts at most.
     """
-    rank = hosts.select("host", F.col(seed).alias("score"))
-    for step in range(STEPS):
-        moved = salted_join(edges, rank.withColumnRenamed("host", "src"), ["src"], ["dst"])
-        flow = moved.groupBy("dst").agg(F.sum(F.col("score") * F.col("share")).alias("flow"))
-        rank = hosts.join(flow.withColumnRenamed("dst", "host"), "host", "left").select(
-            "host",
-            ((1 - DAMPING) * F.col(seed) + DAMPING * F.coalesce("flow", F.lit(0.0))).alias("score"),
-        )
-        if step % 4 == 3:
-            rank = stage(spark, rank, f"{name}-{step}")
-    return rank
+    links, parts = shares(spark, edges, name)
+    gains = [hosts.filter(F.col(seed) > 0).select("host", F.col(seed).alias("gain"))]
+    while True:
+        open_parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+        moving = gains[-1].join(parts, "host").select(F.col("host").alias("src"), "gain", open_parts.alias("part"))
+        flow = links.join(moving, ["src", "part"]).groupBy(F.col("dst").alias("host"))
+        gain = flow.agg((DAMPING * F.sum(F.col("gain") * F.col("share"))).alias("gain"))
+        gain = stage(spark, gain, f"{name}-{len(gains)}")
+        most = gain.agg(F.max("gain").alias("m")).first()["m"]
+        if most is None:
+            break
+        gains.append(gain)
+        if most <= REST:
+            break
+    total = reduce(lambda a, b: a.unionByName(b), gains).groupBy("host").agg(F.sum("gain").alias("score"))
+    total = hosts.select("host").join(total, "host", "left")
+    return stage(spark, total.select("host", F.coalesce("score", F.lit(0.0)).alias("score")), f"{name}-scores")
 
 
 def judge_hosts(spark, judged, edges):
     """`host`, `trust`, `distrust`, `host_verdict` for every host of `judged` (host, verdict)
-    and every host that is linked."""
+    and every host that is linked.
+
+    Each seed host has a mass of one, divided between trust and distrust like its judged urls.
+    So scores are in units of a seed host's restart mass, and what lies elsewhere in the
+    corpus, linked to neither side of a host, does not move its verdict.
+    """
     seeds = judged.groupBy("host").agg(
-        F.count_if(F.col("verdict") == "allow").cast("double").alias("good"),
-        F.count_if(F.col("verdict") == "block").cast("double").alias("bad"),
+        F.count_if(F.col("verdict") == "allow").cast("double").alias("allowed"),
+        F.count_if(F.col("verdict") == "block").cast("double").alias("blocked"),
     )
+    own = F.col("allowed") + F.col("blocked")
+    part = lambda c: F.when(own > 0, F.col(c) / own).otherwise(0.0)
+    seeds = seeds.select("host", part("allowed").alias("good"), part("blocked").alias("bad"))
     linked = edges.select(F.explode(F.array("src", "dst")).alias("host")).distinct()
     hosts = seeds.join(linked, "host", "full").na.fill(0.0, ["good", "bad"])
     hosts = stage(spark, hosts, "url-hosts")
-    sums = hosts.agg(F.sum("good").alias("sg"), F.sum("bad").alias("sb")).first()
-    good, bad = max(sums["sg"] or 0.0, 1.0), max(sums["sb"] or 0.0, 1.0)
-    hosts = hosts.select("host", (F.col("good") / good).alias("good"), (F.col("bad") / bad).alias("bad"))
-
-    def shares(e):
-        out = e.groupBy("src").agg(F.sum("weight").alias("all"))
-        return stage(
-            spark,
-            salted_join(e, out, ["src"], ["dst"]).select("src", "dst", (F.col("weight") / F.col("all")).alias("share")),
-            "url-edges",
-        )
-
-    trust = propagate(spark, hosts, shares(edges), "good", "url-trust")
+    trust = propagate(spark, hosts, edges, "good", "url-trust")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    distrust = propagate(spark, hosts, shares(back), "bad", "url-distrust")
+    distrust = propagate(spark, hosts, back, "bad", "url-distrust")
     both = trust.withColumnRenamed("score", "trust").join(
         distrust.withColumnRenamed("score", "distrust"), "host"
     )

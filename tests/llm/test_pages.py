@@ -1,5 +1,11 @@
 """Main text and url verdicts of pages."""
 
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from tallybrook.llm import html, queries, urls
 from tallybrook.llm.common import table
 
@@ -81,3 +87,65 @@ def test_trust_follows_links(spark):
     assert [v for _, v, _ in got] == ["allow", "allow", "block", "block", "allow", "allow", "allow", "block", "block"]
     assert got[-1][2] == "bad.net"
     assert urls.judge_urls(spark, pages.filter("false")).count() == 0
+
+
+def link_page(*hosts):
+    return "".join(f'<a href="http://{h}/x">l</a>' for h in hosts)
+
+
+def test_scores_equal_plain_pagerank(spark, monkeypatch):
+    """A graph with cycles, a hub in several parts and mixed seeds, against sums in plain Python."""
+    monkeypatch.setattr(urls, "EDGES", 4)
+    rng = random.Random(5)
+    hosts = [f"h{i}.org" for i in range(25)] + ["a.com", "b.com", "c.net", "d.net"]
+    rows = []
+    for i, h in enumerate(hosts):
+        to = rng.sample(hosts, 20 if i == 3 else rng.randrange(4))
+        path = "es/" if h.endswith(".net") else ""
+        rows.append((i, f"http://{h}/{path}", link_page(*to)))
+    rows.append((99, "http://c.net/other", link_page("h1.org", "a.com")))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+    weight = Counter()
+    for _, url, page in rows:
+        host = plain_parts(url)[0]
+        weight.update((host, t) for t in set(re.findall("http://([^/]+)/x", page)) if t != host)
+
+    def scores(seeds, links):
+        out = Counter()
+        for (s, _), w in links.items():
+            out[s] += w
+        total, gain = Counter(seeds), dict(seeds)
+        for _ in range(400):
+            moved = Counter()
+            for (s, t), w in links.items():
+                moved[t] += 0.85 * gain.get(s, 0.0) * w / out[s]
+            gain = moved
+            total.update(moved)
+        return total
+
+    trust = scores({"a.com": 1.0, "b.com": 1.0}, weight)
+    distrust = scores({"c.net": 1.0, "d.net": 1.0}, {(t, s): w for (s, t), w in weight.items()})
+    for r in urls.judge_urls(spark, pages).collect():
+        assert abs(r.trust - trust[r.host]) < 0.02 and abs(r.distrust - distrust[r.host]) < 0.02
+        if not r.rule and abs(distrust[r.host] - trust[r.host] - urls.FLOOR) > 0.02:
+            assert r.verdict == ("block" if distrust[r.host] > trust[r.host] else "allow")
+
+
+def test_verdicts_do_not_depend_on_the_rest_of_the_corpus(spark):
+    """A chain of twelve hosts that leads to a blocked one, alone and beside many blocked urls."""
+    chain = [(0, "http://bad.net/es/", "")]
+    chain += [(i, f"http://s{i}.org/", link_page("bad.net" if i == 1 else f"s{i - 1}.org")) for i in range(1, 13)]
+    chain += [(20, "http://good.com/", link_page("friend.org")), (21, "http://friend.org/", link_page("s1.org"))]
+    alone = spark.createDataFrame(chain, "page_id bigint, url string, html string")
+    many = spark.range(100, 50_100).select(
+        F.col("id").alias("page_id"),
+        F.concat(F.lit("http://x"), F.col("id") % 20_000, F.lit(".net/fr/")).alias("url"),
+        F.lit("").alias("html"),
+    )
+    verdicts = [
+        sorted((r.page_id, r.verdict) for r in urls.judge_urls(spark, p).filter("page_id < 100").collect())
+        for p in (alone, alone.unionByName(many))
+    ]
+    assert verdicts[0] == verdicts[1]
+    assert dict(verdicts[0]) == {**{i: "block" for i in range(13)}, 20: "allow", 21: "allow"}
