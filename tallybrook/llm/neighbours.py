@@ -3,11 +3,13 @@
 Equal vectors are one node. Random-projection blocks give every node its first neighbours.
 Then, round by round, each node joins its neighbours and the nodes that list it, compares
 these with each other, and offers them what it found: neighbours of neighbours. A query walks
-the graph from its own node, always expanding its best unexpanded nodes. Graph work uses
-8-bit codes; the scores that are returned come from the original vectors in double precision.
+the graph from its own node and from the longest vectors, always expanding its best unexpanded
+nodes. Graph work uses 8-bit codes of the directions; the scores that are returned come from the
+original vectors in double precision.
 
-Inner product is no metric, so nodes carry one more component that gives all the same norm;
-the graph is built on these, the search ranks by the inner product itself.
+Inner product is no metric, so the graph joins vectors of near directions, whatever their
+lengths; a code holds a direction on a scale of its own and the length as a number, and the search
+ranks by direction times length. So no vector, however long, coarsens the codes of others.
 """
 
 import numpy as np
@@ -26,12 +28,36 @@ PART = 20_000  # rows of a block before it is split in memory
 STEPS = 3
 EXPAND = 24
 KEEP = 80  # nodes a query remembers
+LONGEST = 64  # longest vectors, where every query starts as well
 TOP = 20
 SEED = 7
 
 
+def _code_type(dims):
+    """Length relative to the longest vector, scale of the components, and the components."""
+    return np.dtype([("length", "<f8"), ("scale", "<f4"), ("at", "i1", (dims,))])
+
+
+def _encoded(rows, longest):
+    """Codes of vectors (an array with one row each)."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    codes = np.zeros(len(rows), _code_type(rows.shape[1]))
+    most = np.abs(rows).max(axis=1)
+    codes["length"], codes["scale"] = longest, most / 127
+    codes["at"] = np.rint(rows / most[:, None] * 127)
+    return [c.tobytes() for c in codes]
+
+
+def _read(codes, dims):
+    return np.frombuffer(b"".join(codes), _code_type(dims))
+
+
 def _matrix(codes, dims):
-    return np.frombuffer(b"".join(codes), np.int8).reshape(-1, dims).astype(np.float32)
+    """The directions, one unit row per code."""
+    own = _read(codes, dims)
+    rows = own["at"].astype(np.float32) * own["scale"][:, None]
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
 def _top(df, by, score, limit, tie):
@@ -138,21 +164,26 @@ def build_graph(spark, nodes, dims, count):
 def _scored(pairs, codes, queries, dims):
     """Adds the inner product of query and node, from the codes."""
 
-    @F.pandas_udf("float")
+    @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
-            return pd.Series([], dtype="float32")
-        return pd.Series(np.einsum("ij,ij->i", _matrix(a, dims)[:, :-1], _matrix(b, dims)[:, :-1]))
+            return pd.Series([], dtype="float64")
+        near = np.einsum("ij,ij->i", _matrix(a, dims), _matrix(b, dims), dtype=np.float64)
+        return pd.Series(near * _read(b, dims)["length"])
 
     d = pairs.join(queries, "q").join(codes.withColumnRenamed("node", "v"), "v")
     return d.select("q", "v", score("qcode", "code").alias("score"))
 
 
-def search_graph(spark, graph, codes, queries, dims):
-    """`q`, `v`: the KEEP best nodes found for each of `queries` (q, qcode); q is a node."""
+def search_graph(spark, graph, codes, queries, longest, dims):
+    """`q`, `v`: the KEEP best nodes found for each of `queries` (q, qcode); q is a node.
+    `longest` (v) holds at most LONGEST nodes, where every query starts as well."""
     lists = stage(spark, graph.groupBy("u").agg(F.collect_list("v").alias("vs")), "nn-lists")
     start = queries.select("q").join(graph.select(F.col("u").alias("q"), "v"), "q")
     start = start.unionByName(queries.select("q", F.col("q").alias("v")))
+    few = longest.agg(F.collect_list("v").alias("vs"))
+    every = queries.select("q", F.lit(1).alias("one")).join(few.withColumn("one", F.lit(1)), "one")
+    start = start.unionByName(every.select("q", F.explode("vs").alias("v"))).distinct()
     best = _scored(start, codes, queries, dims).withColumn("open", F.lit(True))
     best = stage(spark, best, "nn-beam-start")
     for step in range(STEPS):
@@ -187,32 +218,28 @@ def nearest_neighbours(spark, rows, is_query, row_id="vec_id", vector="embedding
     d = stage(spark, d.filter(F.size("x") == dims).withColumn("key", F.sha2(F.to_json("x"), 256)), "nn-rows")
     # a node is the smallest id of a vector; the smallest ids of a node are all a query can want
     nodes = d.groupBy("key").agg(F.min(F.struct("id", "x")).alias("m")).select("key", F.col("m.id").alias("node"), "m.x")
-    nodes = nodes.withColumn("norm", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    nodes = stage(spark, nodes, "nn-nodes")
+    # the length as largest component times the length of the rest, which no square overflows
     largest = F.array_max(F.transform("x", lambda v: F.abs(v)))
-    most = nodes.agg(
-        F.max("norm").alias("norm"),
-        F.min("norm").alias("least"),
-        F.max(largest).alias("component"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    scale = 127.0 / max(most["component"], np.sqrt(most["norm"] - most["least"]))
+    nodes = nodes.withColumn("largest", largest)
+    squares = F.aggregate("x", F.lit(0.0), lambda s, v: s + (v / F.col("largest")) * (v / F.col("largest")))
+    nodes = stage(spark, nodes.withColumn("unit", F.sqrt(squares)), "nn-nodes")
+    most = nodes.agg(F.max("largest").alias("largest"), F.count(F.lit(1)).alias("n")).first()
+    length = F.col("largest") / most["largest"] * F.col("unit")
 
     def encode(frames):
         for f in frames:
             x = np.stack(f["x"].to_numpy()).astype(np.float64)
-            rest = np.sqrt(np.maximum(most["norm"] - (x * x).sum(axis=1), 0))
-            code = np.clip(np.rint(np.column_stack([x, rest]) * scale), -127, 127).astype(np.int8)
-            yield pd.DataFrame({"node": f["node"], "code": [c.tobytes() for c in code]})
+            yield pd.DataFrame({"node": f["node"], "code": _encoded(x, f["length"].to_numpy())})
 
-    codes = stage(spark, nodes.select("node", "x").mapInPandas(encode, "node bigint, code binary"), "nn-codes")
-    width = dims + 1
-    graph = build_graph(spark, codes, width, most["n"])
+    codes = nodes.select("node", "x", length.alias("length")).mapInPandas(encode, "node bigint, code binary")
+    codes = stage(spark, codes, "nn-codes")
+    graph = build_graph(spark, codes, dims, most["n"])
+    longest = nodes.orderBy(length.desc(), "node").limit(LONGEST).select(F.col("node").alias("v"))
     asked = d.filter(is_query(F.col("id"))).select("id", "key").distinct()
     asked = stage(spark, asked.join(nodes.select("key", "node"), "key").select("id", "node").distinct(), "nn-asked")
     queries = asked.select(F.col("node").alias("q")).distinct()
     queries = queries.join(codes.select(F.col("node").alias("q"), F.col("code").alias("qcode")), "q")
-    found = search_graph(spark, graph, codes, stage(spark, queries, "nn-queries"), width)
+    found = search_graph(spark, graph, codes, stage(spark, queries, "nn-queries"), longest, dims)
 
     vectors = nodes.select("node", "x")
     exact = found.join(vectors.select(F.col("node").alias("q"), F.col("x").alias("qx")), "q")

@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force, and on awkward rows."""
 
 import numpy as np
+import pytest
 
 from tallybrook.llm import neighbours, queries
 from tallybrook.llm.common import table
@@ -50,3 +51,25 @@ def test_awkward_rows(spark, tmp_path):
     assert got[0][0] == 42 and got[0][1:] == list(range(1, 20))
     assert got[20] == [42, *range(19)]
     assert neighbours.nearest_neighbours(spark, frame.filter("false"), lambda i: i % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("lengths", ["one outlier", "mixed", "far apart"])
+def test_recall_with_other_lengths(spark, sf_dir, tmp_path, lengths):
+    """One vector of norm 100, norms spread like exp(N(0, 0.7)), and norms between 1e-120 and 1e120."""
+    rng = np.random.default_rng(3)
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in table(spark, sf_dir, "embeddings").collect()]
+    if lengths == "one outlier":
+        rows = [(i, x * (100 / np.linalg.norm(x) if i == 7 else 1)) for i, x in rows]
+    elif lengths == "mixed":
+        rows = [(i, x * np.exp(0.7 * rng.standard_normal())) for i, x in rows]
+    else:
+        rows = [(i, x * 10.0 ** rng.integers(-120, 121)) for i, x in rows]
+    vectors = {i: x.tolist() for i, x in rows}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    frame.write.parquet(str(tmp_path / "e"))
+    frame = spark.read.parquet(str(tmp_path / "e"))
+    asked = [i for i in vectors if i % 20 == 0]
+    want = brute(vectors, asked)
+    got = found(neighbours.nearest_neighbours(spark, frame, lambda i: i % 20 == 0))
+    hits = sum(len(set(got[q]) & set(want[q])) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values())), hits / sum(map(len, want.values()))
