@@ -1,15 +1,16 @@
 """Main text of web pages: structural rules and removal of site templates.
 
 Elements that are never article text (menus, page headers and footers, sidebars, forms,
-notices, adverts, comments, scripts) are left out by tag, role, class or id. If a page marks
-its article, only that element is read. For pages that do not, the element subtrees are hashed,
-Spark counts per host on how many pages each hash occurs, and subtrees that recur across many
-pages of the host are deleted. Inside a marked article nothing recurs away: pages of a host
-may well share passages or be copies of each other, and that is content.
+notices, adverts, comments, scripts) are left out by tag, role, class or id. On every page the
+subtrees of the other elements are hashed, Spark counts per host on how many pages of different
+content each hash occurs, and subtrees that recur across many pages of the host are deleted. Inside
+a marked article this takes half of the host's pages, as a box of the site has, because pages may
+well share passages, which are content. If a page marks articles, only these are read.
 """
 
 import hashlib
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -20,6 +21,7 @@ from .urls import host_and_path
 
 MIN_PAGES = 5  # pages of different content that must share a subtree
 MIN_SHARE = 0.1  # of the host's pages of different content
+INNER_SHARE = 0.5  # the same for subtrees inside a marked article
 
 # The vocabulary of HTML, and names that mark page furniture.
 TOKEN = re.compile(
@@ -76,32 +78,52 @@ def _skipped(tag, attributes, in_article):
     return not (NOT_ARTICLES if tag == "article" else SKIP_NAMES).isdisjoint(names)
 
 
+def _digest(*parts):
+    key = hashlib.blake2b("\x00".join(parts).encode(errors="replace"), digest_size=8)
+    return int.from_bytes(key.digest(), "little", signed=True)
+
+
 def read_page(html, drop=frozenset()):
-    """(main text, subtree hashes, article was marked) of one page.
+    """(main text, hashes of the subtrees outside of articles, of those inside) of one page.
 
-    `drop` holds the hashes of the subtrees to delete; hashes are given only for pages
-    without a marked article.
+    `drop` holds the hashes of the subtrees to delete. The hash of an element covers its tag,
+    its attributes, its own text and the hashes of its elements, so every character is hashed
+    once however deep the page is.
     """
-    pieces, stack, hashes, regions = [], [], [], []
+    pieces, stack, regions = [], [], []
+    outer, inner = set(), set()
+    blocks = [[0, []]]  # per open block: where its own text goes on, texts and hashes so far
+    open_tags = Counter()
     skip = at = inside = 0  # depth of left-out elements, position, depth of marked articles
 
+    def own_text():
+        text = " ".join("".join(pieces[blocks[-1][0] :]).split())
+        if text:
+            blocks[-1][1].append(text)
+        blocks[-1][0] = len(pieces)
+
     def close():
         nonlocal skip, inside
         tag, attributes, start, skipped = stack.pop()
+        open_tags[tag] -= 1
         skip -= skipped
         if tag not in INLINE:
             pieces.append(" ")
-        if tag in ("article", "main") and not skip and not skipped:
-            inside -= 1
-            regions.append((tag, inside, start, len(pieces)))
-        elif not skip and not skipped and not inside and tag not in INLINE and tag not in KEEP and tag != "article":
-            text = " ".join("".join(pieces[start:]).split())
-            if text:
-                key = hashlib.blake2b(f"{tag}\x00{attributes.strip()}\x00{text}".encode(errors="replace"), digest_size=8)
-                value = int.from_bytes(key.digest(), "little", signed=True)
-                hashes.append(value)
+        if skip or skipped or tag in INLINE:
+            return
+        own_text()
+        parts = blocks.pop()[1]
+        if parts:
+            value = _digest(tag, attributes.strip(), *parts)
+            blocks[-1][1].append(f"\x01{value}")
+            if tag not in ("article", "main") and tag not in KEEP:
+                (inner if inside else outer).add(value)
                 if value in drop:
                     pieces[start:] = [" "]
+        blocks[-1][0] = len(pieces)
+        if tag in ("article", "main"):
+            inside -= 1
+            regions.append((tag, start, len(pieces)))
 
     for m in TOKEN.finditer(html):
         if m.start() < at:
@@ -113,7 +135,7 @@ def read_page(html, drop=frozenset()):
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(e[0] == tag for e in stack):
+            if open_tags[tag]:
                 while stack[-1][0] != tag:
                     close()
                 close()
@@ -140,7 +162,11 @@ def read_page(html, drop=frozenset()):
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             at = end.start() if end else len(html)
+        if tag not in INLINE and not skip and not skipped:
+            own_text()
+            blocks.append([len(pieces), []])
         stack.append((tag, m[3], len(pieces), skipped))
+        open_tags[tag] += 1
         skip += skipped
         inside += tag in ("article", "main") and not skip
     if not skip and at < len(html):
@@ -148,18 +174,17 @@ def read_page(html, drop=frozenset()):
     while stack:
         close()
 
-    def joined(a, b):
-        return " ".join("".join(pieces[a:b]).split())
-
-    found = ""
     for wanted in ("article", "main"):
-        # the longest one that is not inside another of its kind; the first of equals
-        own = [r for r in regions if r[0] == wanted]
-        own = [r for r in own if not any(o is not r and o[2] <= r[2] and r[3] <= o[3] for o in own)]
-        found = max((joined(a, b) for _, _, a, b in sorted(own, key=lambda r: r[2])), key=len, default="")
+        # those that are not inside another of their kind, in page order
+        texts, end = [], -1
+        for _, low, high in sorted((r for r in regions if r[0] == wanted), key=lambda r: (r[1], -r[2])):
+            if high > end:
+                texts.append(" ".join("".join(pieces[low:high]).split()))
+                end = high
+        found = " ".join(t for t in texts if t)
         if found:
-            return found, [], True
-    return joined(0, len(pieces)), hashes, False
+            return found, outer, inner
+    return " ".join("".join(pieces).split()), outer, inner
 
 
 def extract_main_text(spark, pages, row_id="page_id", url="url", html="html"):
@@ -174,25 +199,33 @@ def extract_main_text(spark, pages, row_id="page_id", url="url", html="html"):
 
     def outline(frames):
         for f in frames:
-            read = [read_page(h) if h else ("", [], True) for h in f["html"]]
+            read = [read_page(h or "") for h in f["html"]]
             yield pd.DataFrame(
                 {
                     "page_id": f["page_id"],
                     "host": f["host"],
                     "content": [hashlib.blake2b(t.encode(errors="replace"), digest_size=12).hexdigest() for t, _, _ in read],
-                    "hashes": [sorted(set(h)) for _, h, _ in read],
+                    "outer": [sorted(o - i) for _, o, i in read],
+                    "inner": [sorted(i) for _, _, i in read],
                 }
-            )[[not marked for _, _, marked in read]]
+            )
 
     seen = slim.select("page_id", "host", "html").mapInPandas(
-        outline, "page_id bigint, host string, content string, hashes array<bigint>"
+        outline, "page_id bigint, host string, content string, outer array<bigint>, inner array<bigint>"
     )
     seen = stage(spark, seen, "html-subtrees")
-    each = seen.select("page_id", "host", "content", F.explode("hashes").alias("hash"))
-    counts = each.groupBy("host", "hash").agg(F.count_distinct("content").alias("n"))
+    # what stands inside an article on one page counts as inside for the whole host
+    marks = F.concat(
+        F.transform("outer", lambda h: F.struct(h.alias("hash"), F.lit(False).alias("inner"))),
+        F.transform("inner", lambda h: F.struct(h.alias("hash"), F.lit(True).alias("inner"))),
+    )
+    each = seen.select("page_id", "host", "content", F.explode(marks).alias("m"))
+    each = each.select("page_id", "host", "content", "m.hash", "m.inner")
+    counts = each.groupBy("host", "hash").agg(F.count_distinct("content").alias("n"), F.max("inner").alias("inner"))
     sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("pages"))
     often = salted_join(counts.filter(F.col("n") >= MIN_PAGES), sizes, ["host"], ["hash"])
-    often = often.filter(F.col("n") >= F.col("pages") * MIN_SHARE).select("host", "hash", F.lit(True).alias("hit"))
+    share = F.when(F.col("inner"), INNER_SHARE).otherwise(MIN_SHARE)
+    often = often.filter(F.col("n") >= F.col("pages") * share).select("host", "hash", F.lit(True).alias("hit"))
     often = stage(spark, often, "html-templates")
     drops = (
         salted_join(each.select("page_id", "host", "hash"), often, ["host", "hash"], ["page_id"])

@@ -19,6 +19,7 @@ def test_structure():
     assert read("<body><nav>menu</nav><article><h1>T</h1><p>a <b>b</b>c\n d<p>e</article><footer>f</footer>") == "T a bc d e"
     assert read("<main>x<aside>y</aside><form>z</form><div class='comments'>c</div></main>") == "x"
     assert read("<article><p>long text here</p></article><article class='comment'>a longer text than that</article>") == "long text here"
+    assert read("<article>one</article>x<article>two</article>") == "one two"
     assert read("<p>a<script>if (a < b) { '</p>' }</script>b<!-- c --></p><div hidden>d</div>") == "ab"
     assert read("<title>t</title><ul><li>a<li>b</ul><div id=cookie-notice>n</div><br>c") == "a b c"
 
@@ -149,3 +150,43 @@ def test_verdicts_do_not_depend_on_the_rest_of_the_corpus(spark):
     ]
     assert verdicts[0] == verdicts[1]
     assert dict(verdicts[0]) == {**{i: "block" for i in range(13)}, 20: "allow", 21: "allow"}
+
+
+def test_boxes_of_the_site_inside_articles(spark):
+    """A box on all articles of a host goes, a passage on a third of them stays, and so do
+    all articles of a page, but not the text between."""
+    box = "<section><h2>About us</h2><p>We are a site.</p></section>"
+    page = lambda i: (
+        f"<p>out</p><article><p>story {i}</p>{box}{'<p>shared passage</p>' if i % 3 == 0 else ''}</article>"
+        f"<p>between</p><article><div><p>second {i}</p></div></article>"
+    )
+    rows = [(i, f"http://a.com/{i}", page(i)) for i in range(18)]
+    rows.append((50, "http://b.com/", page(50)))
+    done = html.extract_main_text(spark, spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    text = {r.page_id: r.text for r in done.collect()}
+    for i in range(18):
+        assert text[i] == f"story {i}{' shared passage' if i % 3 == 0 else ''} second {i}"
+    assert text[50] == "story 50 About us We are a site. second 50"
+
+
+def test_deep_pages_take_linear_time():
+    deep = "<div>x" * 40_000 + "</div>" * 40_000
+    text, outer, inner = html.read_page(deep)
+    assert text == " ".join("x" * 40_000) and len(outer) == 40_000 and not inner
+
+
+def test_given_pages_equal_brute_force(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", "html").collect()
+    read = {r.page_id: (plain_parts(r.url)[0], *html.read_page(r.html or "")) for r in rows}
+    drop = {}
+    for host in {v[0] for v in read.values()}:
+        own = [v for v in read.values() if v[0] == host]
+        texts = {v[1] for v in own}
+        inner = set().union(*[v[3] for v in own])
+        for h in set().union(*[v[2] | v[3] for v in own]):
+            n = len({v[1] for v in own if h in v[2] | v[3]})
+            if n >= html.MIN_PAGES and n >= len(texts) * (html.INNER_SHARE if h in inner else html.MIN_SHARE):
+                drop.setdefault(host, set()).add(h)
+    want = {r.page_id: html.read_page(r.html or "", frozenset(drop.get(read[r.page_id][0], ())))[0] for r in rows}
+    got = {r.page_id: r.text for r in queries.op1_site_templates(spark, sf_dir).collect()}
+    assert got == want
