@@ -83,13 +83,18 @@ def write_profile_heartbeat(spark, sf_dir, folder, name):
 
 
 def write_slices(spark, sf_dir, folder, numbers, of=8, by=None):
-    """The slices `numbers` of the events, cut `of` ways along `by` (a Column, default the event
-    id), as one file each and in this order: what a stream of files finds one after the other."""
-    e = table(spark, sf_dir, "events").withColumn("_at", F.col("event_id") if by is None else by)
-    top = e.agg(F.max("_at")).scalar()
+    """`slices` of the events, by event id if nothing else is given."""
+    slices(table(spark, sf_dir, "events"), folder, numbers, F.col("event_id") if by is None else by, of)
+
+
+def slices(frame, folder, numbers, by, of=8):
+    """The slices `numbers` of a frame, cut `of` ways along `by` (a Column), as one file each and
+    in this order: what a stream of files finds one after the other."""
+    cut = frame.withColumn("_at", by)
+    top = cut.agg(F.max("_at")).scalar()
     slice_of = F.floor(F.col("_at") * of / (top + 1))
     for i in numbers:
-        e.filter(slice_of == i).drop("_at").coalesce(1).write.parquet(os.path.join(folder, f"slice={i}"))
+        cut.filter(slice_of == i).drop("_at").coalesce(1).write.parquet(os.path.join(folder, f"slice={i}"))
 
 
 def as_orders(events, time_type="timestamp_ntz"):

@@ -1,218 +1,18 @@
-"""Streaming forms of the order-dependent operators.
-
-Each micro-batch runs the batch operator on its own rows, seeded with the state
-the batches before it left. The work inside a micro-batch is an ordinary Spark
-job: a scope or customer that fills a micro-batch is cut into blocks like in batch
-mode. Micro-batches must follow the order of offsets; their size is bounded by the
-reader (files or offsets per trigger).
-
-`prepare` is called on every micro-batch, so that a profile table it reads is the
-table of that moment.
-"""
-
-import os
+"""Streams that keep nothing from one micro-batch to the next."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..model import RETENTION_MS, WINDOW, WINDOW_KEY
-from ..operators.enrich import current_tiers, drop_unmatched, enrich_current, with_reason
-from ..operators.validate import validate_orders, validate_windows
-from ..operators.windows import aggregate_windows, judge_lateness, window_changelog
-from ..plans.running import BLOCK_ROWS
+from ..operators.enrich import current_tiers, enrich_current, with_reason
+from .batch_folders import read_batches, write_batch
 from .run import for_each_batch
-from .state_log import StateLog, batch_folder, read_batches, write_batch
-
-
-def fresh_profiles(read_history):
-    """A `prepare` step: join with the newest profiles, drop unmatched orders."""
-
-    def prepare(orders):
-        return drop_unmatched(enrich_current(orders, current_tiers(read_history())))
-
-    return prepare
-
-
-def _fields(schema, names):
-    return T.StructType([T.StructField(n, schema[n].dataType) for n in names])
-
-
-def _touched(state, rows, keys, time):
-    """State of the keys that occur in `rows`. State is stored in the order of
-    `time`, so the lower bound keeps old row groups from being read."""
-    found = rows.select(*keys).distinct()
-    earliest = rows.agg(F.min(time)).scalar()
-    state = state.filter(F.col(time).isNull() | (F.col(time) >= earliest))
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
-    return state.alias("s").join(found.alias("f"), same, "left_semi")
-
-
-def strict(orders, path, prepare=None, scope=("partition",), full_every=50, **rule):
-    """Judge every record by the strict rule; see `read_strict` for the result."""
-    scope = list(scope)
-
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        rows = prepare(batch) if prepare else batch
-        time = rule.get("time", "timestamp")
-        schema = T.StructType(
-            [*_fields(rows.schema, scope).fields, T.StructField("stream_time", rows.schema[time].dataType)]
-        )
-        log = StateLog(os.path.join(path, "state"), scope, schema, full_every)
-        if prepare:
-            # the clock and the verdicts must see the same profiles, read once
-            write_batch(rows, os.path.join(path, "prepared"), batch_id)
-            rows = _written(spark, os.path.join(path, "prepared"), batch_id, rows.schema)
-        judged = judge_lateness(rows, scope=scope, seed=log.before(spark, batch_id), **rule)
-        write_batch(judged, os.path.join(path, "judged"), batch_id, ["late"])
-        written = _written(spark, os.path.join(path, "judged"), batch_id, judged.schema)
-        log.write(batch_id, written.groupBy(*scope).agg(F.max("stream_time").alias("stream_time")))
-
-    return for_each_batch(orders, handle)
 
 
-def _staged(batch, path, batch_id, prepare, size, full_every):
-    """The prepared micro-batch without records past the retention, and the clocks so far.
-
-    It is written down: it is read more than once, and every reading must see the same
-    profiles. Each record is judged by the strict rule, against the highest timestamp its
-    partition has seen: the verdict does not depend on how the stream is cut into batches, nor
-    on when old state is removed.
-    """
-    spark = batch.sparkSession
-    prepared = prepare(batch)
-    schema = T.StructType(
-        [
-            T.StructField("partition", T.IntegerType()),
-            T.StructField("stream_time", prepared.schema["timestamp"].dataType),
-        ]
-    )
-    clock = StateLog(os.path.join(path, "clock"), ["partition"], schema, full_every)
-    before = clock.before(spark, batch_id)
-    grace = f"{RETENTION_MS} milliseconds"
-    judged = judge_lateness(prepared, size, grace=grace, seed=before)
-    judged = judged.select(*prepared.columns, "stream_time", "late")
-    out = os.path.join(path, "prepared")
-    write_batch(judged, out, batch_id)
-    rows = _written(spark, out, batch_id, judged.schema)
-    clock.write(batch_id, rows.groupBy("partition").agg(F.max("stream_time").alias("stream_time")))
-    return rows.filter(~F.col("late")).select(*prepared.columns), before
-
-
-def _live_windows(clocks):
-    """Drop windows that no partition can add to any more."""
-
-    def live(state):
-        slowest = clocks.agg(F.min("stream_time")).scalar()
-        if slowest is None:
-            return state
-        keep_for = F.expr(f"interval {RETENTION_MS} milliseconds")
-        return state.filter(F.col("window_end") + keep_for > slowest)
-
-    return live
-
-
-def _written(spark, path, batch_id, schema):
-    """What the batch has just written, so that it is not computed twice."""
-    return spark.read.schema(schema).parquet(batch_folder(path, batch_id))
-
-
-def read_strict(spark, path, late=False):
-    """Records in time, or the late ones."""
-    judged = read_batches(spark, os.path.join(path, "judged"))
-    return judged.filter(F.col("late").cast("boolean") == F.lit(late)).drop("late")
-
-
-def changelog(orders, path, prepare, size=WINDOW, full_every=50, block_rows=BLOCK_ROWS):
-    """One row per order with the running totals of its window.
+def dead_letters(orders, path, read_history):
+    """Write countable and rejected orders of each micro-batch, joined once.
 
-    Records whose window ended a retention before the time of their partition are dropped.
+    `read_history` is called on every micro-batch, so that the profiles are those of that moment.
     """
 
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        enriched, clocks = _staged(batch, path, batch_id, prepare, size, full_every)
-        log = _totals_log(path, enriched.schema, "changelog_state", full_every, clocks)
-        seed = _touched(
-            log.before(spark, batch_id), aggregate_windows(enriched, size), WINDOW_KEY, "window_end"
-        ).select(
-            *WINDOW_KEY,
-            F.col("order_count").alias("running_count"),
-            F.col("total_amount_cents").alias("running_cents"),
-        )
-        rows = window_changelog(enriched, size, seed=seed, block_rows=block_rows)
-        out = os.path.join(path, "changelog")
-        write_batch(rows, out, batch_id)
-        log.write(batch_id, _newest_totals(_written(spark, out, batch_id, rows.schema)))
-
-    return for_each_batch(orders, handle)
-
-
-def _totals_log(path, enriched_schema, name, full_every, clocks):
-    time_type = enriched_schema["timestamp"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("customer_id", T.StringType()),
-            T.StructField("tier", T.StringType()),
-            T.StructField("currency", T.StringType()),
-            T.StructField("window_start", time_type),
-            T.StructField("window_end", time_type),
-            T.StructField("order_count", T.LongType()),
-            T.StructField("total_amount_cents", T.LongType()),
-        ]
-    )
-    return StateLog(
-        os.path.join(path, name),
-        WINDOW_KEY,
-        schema,
-        full_every,
-        live=_live_windows(clocks),
-        sort_by="window_end",
-    )
-
-
-def _newest_totals(rows):
-    last = F.max_by(F.struct("order_count", "total_amount_cents"), "offset")
-    return rows.groupBy(*WINDOW_KEY).agg(last.alias("_last")).select(*WINDOW_KEY, "_last.*")
-
-
-def read_changelog(spark, path):
-    return read_batches(spark, os.path.join(path, "changelog"))
-
-
-def totals(orders, path, prepare, size=WINDOW, full_every=50):
-    """Windowed totals, one row per changed window and micro-batch, each written
-    exactly once. Profiles are as fresh as `prepare` makes them. Records whose window ended
-    a retention before the time of their partition are dropped."""
-
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        enriched, clocks = _staged(batch, path, batch_id, prepare, size, full_every)
-        log = _totals_log(path, enriched.schema, "totals_state", full_every, clocks)
-        added = aggregate_windows(enriched, size)
-        prior = _touched(log.before(spark, batch_id), added, WINDOW_KEY, "window_end")
-        updated = (
-            prior.unionByName(added)
-            .groupBy(*WINDOW_KEY)
-            .agg(
-                F.sum("order_count").alias("order_count"),
-                F.sum("total_amount_cents").alias("total_amount_cents"),
-            )
-        )
-        out = os.path.join(path, "updates")
-        write_batch(updated, out, batch_id)
-        log.write(batch_id, _written(spark, out, batch_id, updated.schema))
-
-    return for_each_batch(orders, handle)
-
-
-def updates_path(path):
-    return os.path.join(path, "updates")
-
-
-def dead_letters(orders, path, read_history):
-    """Write countable and rejected orders of each micro-batch, joined once."""
-
     def handle(batch, batch_id):
         judged = with_reason(enrich_current(batch, current_tiers(read_history())))
         marked = judged.withColumn("rejected", F.col("reason").isNotNull())
@@ -223,79 +23,3 @@ def dead_letters(orders, path, read_history):
 
 def read_dead_letters(spark, path):
     return read_batches(spark, path).filter(F.col("rejected").cast("boolean")).drop("rejected")
-
-
-def validated_windows(records, path, full_every=50, block_rows=BLOCK_ROWS, **rules):
-    """`validate_windows` over a stream of window records."""
-    keys = ["_customer", "_tier", "_currency", "_start"]
-
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        present = batch.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
-        bucket = present.select(
-            F.col("key.customer_id").alias("_customer"),
-            F.col("key.tier").alias("_tier"),
-            F.col("key.currency").alias("_currency"),
-            F.col("value.window_start").alias("_start"),
-            F.struct(
-                F.col("value.order_count").alias("order_count"),
-                F.col("value.total_amount_cents").alias("total_amount_cents"),
-            ).alias("_previous"),
-            "offset",
-        )
-        log = StateLog(
-            os.path.join(path, "validated_state"),
-            keys,
-            _fields(bucket.schema, [*keys, "_previous"]),
-            full_every,
-            sort_by="_start",
-        )
-        seed = _touched(log.before(spark, batch_id), bucket, keys, "_start")
-        checked = validate_windows(present, seed=seed, block_rows=block_rows, **rules)
-        write_batch(checked, os.path.join(path, "validated"), batch_id)
-        newest = bucket.groupBy(*keys).agg(F.max_by("_previous", "offset").alias("_previous"))
-        log.write(batch_id, newest)
-
-    return for_each_batch(records, handle)
-
-
-def validated_orders(records, path, remember="1 day", full_every=50):
-    """`validate_orders` over a stream of order records.
-
-    Ids are remembered for `remember` of record time: a repeat after that is not
-    reported, and the state stays bounded.
-    """
-
-    def recent(state):
-        newest = state.agg(F.max("timestamp")).scalar()
-        return state.filter(F.col("timestamp") + F.expr(f"interval {remember}") > newest)
-
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        present = batch.filter(F.col("value").isNotNull())
-        ids = (
-            present.select(
-                F.nullif(F.col("value.order_id"), F.lit("")).alias("_id"), "offset", "timestamp"
-            )
-            .filter(F.col("_id").isNotNull())
-            .groupBy("_id")
-            .agg(F.min("offset").alias("first_seen"), F.min("timestamp").alias("timestamp"))
-        )
-        log = StateLog(
-            os.path.join(path, "seen_ids"), ["_id"], ids.schema, full_every, live=recent
-        )
-        before = log.before(spark, batch_id)
-        checked = validate_orders(
-            present,
-            seen=before.join(ids.select("_id"), "_id", "left_semi"),
-            folder=batch_folder(os.path.join(path, "repeated"), batch_id),
-        )
-        write_batch(checked, os.path.join(path, "validated_orders"), batch_id)
-        log.write(batch_id, ids.join(before.select("_id"), "_id", "left_anti"))
-
-    return for_each_batch(records, handle)
-
-
-def read_validated(spark, path, name="validated"):
-    """Records with violations; `name` is validated or validated_orders."""
-    return read_batches(spark, os.path.join(path, name))

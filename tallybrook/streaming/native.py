@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..model import WINDOW, WINDOW_KEY
 from ..operators.windows import aggregate_windows
+from .batch_folders import read_batches, write_batch
 from .run import for_each_batch
-from .state_log import read_batches, write_batch
 
 
 def windowed(enriched, delay="0 seconds", size=WINDOW, time="timestamp"):

@@ -283,6 +283,42 @@ def validated_orders(records, remember="1 day", lag=LAG):
     )
 
 
+class _Newest(StatefulProcessor):
+    """The newest profile version of a customer."""
+
+    def init(self, handle):
+        self.newest = handle.getValueState("newest", "nth bigint, tier string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        f = pd.concat(list(rows), ignore_index=True)
+        orders, versions = f[f["is_order"]], f[~f["is_order"]]
+        nth, tier = self.newest.get() if self.newest.exists() else (None, None)
+        if key[0] is not None and len(versions):
+            last = versions.loc[versions["offset"].idxmax()]
+            if nth is None or last["offset"] >= nth:
+                nth, tier = int(last["offset"]), None if pd.isna(last["tier"]) else last["tier"]
+                self.newest.update((nth, tier))
+        if len(orders):
+            out = orders.rename(columns={"amount_cents": "total_amount_cents"}).assign(tier=tier, order_count=1)
+            yield out[_ENRICHED.fieldNames()]
+
+    def close(self):
+        pass
+
+
+def enrich_current(orders, history):
+    """`enrich_current` of two streams: each order with the newest profile that has arrived by
+    its micro-batch, whatever their times. (`enrich_asof` goes by time and waits.)
+
+    A customer's newest version is kept in the state, so a micro-batch reads the profiles of
+    its own customers only and no history is read again. Newest is the highest offset; a
+    deletion is a version without a tier, and an order without a profile has a null tier. What
+    comes out can feed `totals` and the other operators.
+    """
+    both = _one_stream(orders, history, lambda df, time: df.withColumn("timestamp", time.cast("timestamp_ntz")))
+    return both.groupBy("key").transformWithStateInPandas(_Newest(), _ENRICHED, "Append", "None")
+
+
 class _Versions(StatefulProcessor):
     """Profile versions of a customer, and the orders that wait for the stream to pass them."""
 
@@ -370,6 +406,22 @@ _ENRICHED = T.StructType(
 )
 
 
+def _one_stream(orders, history, timed):
+    """Orders and profile versions in rows of one form; `timed` sets the time of either."""
+    order = orders.select(
+        "key", F.lit(True).alias("is_order"), "timestamp", "partition", "offset", "order_id", "currency",
+        "amount_cents", F.lit(None).cast("string").alias("tier"),
+    )
+    tier = F.when(~F.coalesce(F.col("deleted"), F.lit(False)), F.col("tier"))
+    version = history.select(
+        "key", F.lit(False).alias("is_order"), "timestamp", "partition", "offset",
+        F.lit(None).cast("string").alias("order_id"), F.lit(None).cast("string").alias("currency"),
+        F.lit(None).cast("bigint").alias("amount_cents"), tier.alias("tier"),
+    )
+    time = F.col("timestamp")
+    return timed(order, time).unionByName(timed(version, time))
+
+
 def enrich_asof(orders, history, lag="1 hour"):
     """`enrich_asof` of two streams: each order with the profile version valid at its record
     time, whichever of the two arrives first, as long as neither is more than `lag` behind.
@@ -380,16 +432,9 @@ def enrich_asof(orders, history, lag="1 hour"):
     null key, which give nothing out), move the time on. After a restart time stands still
     until both streams have brought a record.
     """
-    order = orders.select(
-        "key", F.lit(True).alias("is_order"), F.col("timestamp").cast("timestamp").alias("timestamp"),
-        "partition", "offset", "order_id", "currency", "amount_cents", F.lit(None).cast("string").alias("tier"),
-    )
-    tier = F.when(~F.coalesce(F.col("deleted"), F.lit(False)), F.col("tier"))
-    version = history.select(
-        "key", F.lit(False).alias("is_order"), F.col("timestamp").cast("timestamp").alias("timestamp"),
-        "partition", "offset", F.lit(None).cast("string").alias("order_id"), F.lit(None).cast("string").alias("currency"),
-        F.lit(None).cast("bigint").alias("amount_cents"), tier.alias("tier"),
-    )
+    def timed(df, time):
+        return df.withColumn("timestamp", time.cast("timestamp")).withWatermark("timestamp", lag)
+
     # each stream has its own watermark, and the slower one counts
-    both = order.withWatermark("timestamp", lag).unionByName(version.withWatermark("timestamp", lag))
+    both = _one_stream(orders, history, timed)
     return both.groupBy("key").transformWithStateInPandas(_Versions(), _ENRICHED, "Append", "EventTime")

@@ -480,6 +480,14 @@ select key, partition, order_id, amount_cents, arrival, "timestamp" from timed
 where window_end > stream_time""",
         "stream_enrich_asof": _with(ORDERS, HISTORY, ASOF)
         + f"select {ENRICHED_COLUMNS} from matched o",
+        "stream_enrich_current": _with(ORDERS, HISTORY)
+        + f"""
+select {ENRICHED_COLUMNS}
+from (select *, "offset" * 8 // ((select max("offset") from f_orders) + 1) as nth from f_orders) o
+left join (
+  select key, i, arg_max(struct_pack(t := tier), "offset").t as tier
+  from versions v join range(8) r(i) on v."offset" // 10000000 <= i
+  group by key, i) l on o.key = l.key and o.nth = l.i""",
         "stream_window_changelog": _with(ORDERS, BASE, _changelog()) + "select * from changelog",
         "stream_validate_windows": _with(ORDERS, BASE, _changelog("4242"), WINDOW_CHECKS)
         + "select * from window_checks",

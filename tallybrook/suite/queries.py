@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import is_window_label, window_label
 from ..functions.metric_names import normalise_metric_names
 from ..functions.wire import split_wire_prefix
+from ..model import UNIT_AMOUNT_CENTS
 from ..operators import duplicates, enrich, metrics, registry, validate, versioned, windows
 from ..plans.hot_keys import find_hot_keys
 from ..session import new_folder
@@ -369,17 +370,31 @@ def q_stream_window_changelog(spark, sf_dir):
     return spark.read.parquet(_run_sliced(spark, sf_dir, "changelog", writer))
 
 
+def q_stream_enrich_current(spark, sf_dir):
+    """Orders in eight micro-batches, with the profiles that have arrived by then."""
+    folder = new_folder(spark, "current")
+    profiles = os.path.join(folder, "profiles")
+    schema = td.write_profile_stream(spark, sf_dir, profiles)
+
+    def writer(orders, out):
+        history = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(profiles)
+        return native.write_rows(stateful.enrich_current(orders, history), out)
+
+    return spark.read.parquet(_run_sliced(spark, sf_dir, "enriched", writer))
+
+
 def q_stream_validate_windows(spark, sf_dir):
     folder = new_folder(spark, "records")
-    source = os.path.join(folder, "source")
-    _window_records(spark, sf_dir).write.parquet(source)
-    records = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-    run_to_end(
-        batches.validated_windows(records, folder, width_ms=DAY_MS),
-        os.path.join(folder, "checkpoint"),
-    )
-    checked = batches.read_validated(spark, folder)
-    return checked.select(
+    source, out = os.path.join(folder, "source"), os.path.join(folder, "out")
+    whole = os.path.join(folder, "whole")
+    _window_records(spark, sf_dir).write.parquet(whole)
+    records = spark.read.parquet(whole)
+    for numbers in (range(4), range(4, 8)):
+        td.slices(records, source, numbers, F.col("offset"))
+        stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        checked = stateful.validated_windows(stream, UNIT_AMOUNT_CENTS, DAY_MS)
+        run_to_end(native.write_rows(checked, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+    return spark.read.parquet(out).select(
         F.col("key.customer_id").alias("customer_id"),
         "offset",
         F.col("value.order_count").alias("order_count"),
@@ -389,9 +404,10 @@ def q_stream_validate_windows(spark, sf_dir):
 
 
 def q_stream_validate_orders(spark, sf_dir):
-    records = td.as_order_records(_stream_orders(spark, sf_dir))
-    folder = _run(spark, lambda f: batches.validated_orders(records, f), "validated-orders")
-    checked = batches.read_validated(spark, folder, "validated_orders")
+    def writer(orders, out):
+        return native.write_rows(stateful.validated_orders(td.as_order_records(orders)), out)
+
+    checked = spark.read.parquet(_run_sliced(spark, sf_dir, "validated-orders", writer))
     return checked.select(
         "key", "offset", F.col("value.order_id").alias("order_id"), _violations_text()
     )
@@ -410,14 +426,10 @@ def q_stream_dedup(spark, sf_dir):
 
 
 def q_stream_dead_letter(spark, sf_dir):
-    orders = _stream_orders(spark, sf_dir)
-    history = lambda: td.profile_history(spark, sf_dir)
-    folder = _run(
-        spark,
-        lambda f: batches.dead_letters(orders, os.path.join(f, "judged"), history),
-        "dead-letter",
-    )
-    rejected = batches.read_dead_letters(spark, os.path.join(folder, "judged"))
+    def writer(orders, out):
+        return batches.dead_letters(orders, out, lambda: td.profile_history(spark, sf_dir))
+
+    rejected = batches.read_dead_letters(spark, _run_sliced(spark, sf_dir, "dead-letter", writer))
     return rejected.select("key", "order_id", "offset", "reason")
 
 

@@ -8,14 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import enrich, windows
-from tallybrook.operators.validate import validate_windows
 from tallybrook.sources.generators import generate_orders_stream
 from tallybrook.sources.orders import stream_orders
-from tallybrook.streaming import batches, native
+from tallybrook.streaming import batches, native, stateful
+from tallybrook.streaming.batch_folders import read_batches, write_batch
 from tallybrook.streaming.run import for_each_batch, run_to_end, start
-from tallybrook.streaming.state_log import StateLog
 from tests.helpers import at, orders, profiles, rows
-from tests.test_validate import CASES, window_records
 
 # Minutes after 10:00 of one key's orders; one inner list per micro-batch.
 LATE = [[1], [7, 2], [3, 8], [12, 4], [4, 13], [6, 14]]
@@ -87,10 +85,12 @@ def test_strict_rule_as_stream(spark, tmp_path):
     for frame in late_frames(spark):
         feed.add(frame)
     out = str(tmp_path / "out")
-    run_to_end(batches.strict(feed.stream(), out, full_every=2), str(tmp_path / "cp"))
-    kept = batches.read_strict(spark, out)
+    judged = native.write_rows(stateful.judge(feed.stream()), out)
+    run_to_end(judged, str(tmp_path / "cp"), state_partitions=2)
+    judged = spark.read.parquet(out)
+    kept = judged.filter("not late")
     assert counts(windows.aggregate_windows(as_enriched(kept))) == {at(): 1, at(5): 2, at(10): 3}
-    assert batches.read_strict(spark, out, late=True).count() == 5
+    assert judged.filter("late").count() == 5
 
 
 def test_watermark_is_looser(spark, tmp_path):
@@ -125,10 +125,9 @@ def test_strict_result_does_not_depend_on_batches(spark, tmp_path, seed):
     for low, high in zip([0, *cuts], [*cuts, 60]):
         feed.add(frame.filter((F.col("offset") >= low) & (F.col("offset") < high)))
     out = str(tmp_path / "out")
-    run_to_end(
-        batches.strict(feed.stream(), out, full_every=2, block_rows=7), str(tmp_path / "cp")
-    )
-    streamed = rows(batches.read_strict(spark, out), "order_id")
+    kept = native.write_rows(stateful.drop_late(feed.stream()), out)
+    run_to_end(kept, str(tmp_path / "cp"), state_partitions=2)
+    streamed = rows(spark.read.parquet(out), "order_id")
     assert sorted(streamed) == sorted(rows(windows.drop_late(frame), "order_id"))
 
 
@@ -152,92 +151,61 @@ def filled_feed(spark, path, frame, parts=4, zoned=False):
     return feed
 
 
+def totals_of(feed, told, out):
+    """Totals of two streams, orders and profiles."""
+    enriched = enrich.drop_unmatched(stateful.enrich_current(feed.stream(), told.stream()))
+    return native.write_updates(stateful.totals(enriched), out)
+
+
 def test_restart_goes_on_without_double_counting(spark, tmp_path):
     frame, history = orders(spark, random_orders(40)), profiles(spark, PEOPLE)
-    prepare = batches.fresh_profiles(lambda: history)
-    feed = Feed(spark, tmp_path / "in")
+    feed, told = Feed(spark, tmp_path / "in"), Feed(spark, tmp_path / "profiles")
+    told.add(history)
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     for i in range(4):
         feed.add(frame.filter(F.floor(F.col("offset") / 10) == i))
         # every run stops when its input is used up; the next one resumes
-        run_to_end(batches.totals(feed.stream(), out, prepare, full_every=2), cp)
-    streamed = native.latest_windows(spark, batches.updates_path(out))
+        run_to_end(totals_of(feed, told, out), cp, state_partitions=2)
+    streamed = native.latest_windows(spark, out)
     whole = windows.orders_per_window(frame, enrich.latest_by_key(history))
     assert sorted(rows(streamed)) == sorted(rows(whole))
-    # a new checkpoint starts from the beginning
+    # a new checkpoint starts from the beginning: all profiles with the first orders
     again = str(tmp_path / "again")
-    run_to_end(batches.totals(feed.stream(), again, prepare), str(tmp_path / "cp2"))
-    fresh = native.latest_windows(spark, batches.updates_path(again))
-    assert sorted(rows(fresh)) == sorted(rows(whole))
+    run_to_end(totals_of(feed, told, again), str(tmp_path / "cp2"), state_partitions=2)
+    assert sorted(rows(native.latest_windows(spark, again))) == sorted(rows(whole))
+
+
+def test_profiles_that_arrive_later_count_from_then_on(spark, tmp_path):
+    """A profile comes, one changes, an older one comes too late, one is deleted: each holds for
+    the orders from its micro-batch on, and a change of tier splits a window."""
+    feed, told = Feed(spark, tmp_path / "in"), Feed(spark, tmp_path / "profiles")
+    versions = profiles(spark, [
+        ("alice", "FREE", at()), ("alice", "GONE", at()), ("bob", "PRO", at()), ("alice", "PRO", at(1)), ("bob", None, at(2)),
+    ])
+    for part in ([0], [2, 3], [1, 4]):
+        told.add(versions.filter(F.col("offset").isin(part)))
+    for i in range(4):
+        both = [("alice", f"x{i}", 1, "EUR", at(i)), ("bob", f"y{i}", 1, "EUR", at(i)), (None, f"z{i}", 1, "EUR", at(i))]
+        feed.add(orders(spark, both).withColumn("offset", F.col("offset") + 10 * i))
+    out = str(tmp_path / "rows")
+    joined = native.write_rows(stateful.enrich_current(feed.stream(), told.stream()), out)
+    run_to_end(joined, str(tmp_path / "cp"), state_partitions=2)
+    tier = dict(rows(spark.read.parquet(out), "order_id", "tier"))
+    assert [tier[f"x{i}"] for i in range(4)] == ["FREE", "PRO", "PRO", "PRO"]
+    assert [tier[f"y{i}"] for i in range(4)] == [None, "PRO", None, None]
+    assert [tier[f"z{i}"] for i in range(4)] == [None] * 4
+    out = str(tmp_path / "totals")
+    run_to_end(totals_of(feed, told, out), str(tmp_path / "cp2"), state_partitions=2)
+    found = rows(native.latest_windows(spark, out), "customer_id", "tier", "order_count")
+    assert sorted(found) == [("alice", "FREE", 1), ("alice", "PRO", 3), ("bob", "PRO", 1)]
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
-    frame, history = orders(spark, random_orders(40)), profiles(spark, PEOPLE)
-    prepare = batches.fresh_profiles(lambda: history)
-    handlers = []
-    original = batches.for_each_batch
-    batches.for_each_batch = lambda df, handle, *a: handlers.append(handle)
-    try:
-        batches.totals(None, str(tmp_path / "t"), prepare, full_every=2)
-        batches.changelog(None, str(tmp_path / "c"), prepare, full_every=2)
-    finally:
-        batches.for_each_batch = original
-    for batch_id in (0, 0, 1, 1, 2, 2, 2, 3):
-        part = frame.filter(F.floor(F.col("offset") / 10) == batch_id)
-        for handle in handlers:
-            handle(part, batch_id)
-    current = enrich.latest_by_key(history)
-    whole = windows.orders_per_window(frame, current)
-    streamed = native.latest_windows(spark, batches.updates_path(str(tmp_path / "t")))
-    assert sorted(rows(streamed)) == sorted(rows(whole))
-    steps = windows.window_changelog(enrich.drop_unmatched(enrich.enrich_current(frame, current)))
-    logged = batches.read_changelog(spark, str(tmp_path / "c")).select(*steps.columns)
-    assert sorted(rows(logged)) == sorted(rows(steps))
-
-
-def test_changelog_stream_equals_batch(spark, tmp_path):
-    frame, history = orders(spark, random_orders(40)), profiles(spark, PEOPLE)
-    feed = filled_feed(spark, tmp_path / "in", frame)
-    out = str(tmp_path / "out")
-    prepare = batches.fresh_profiles(lambda: history)
-    query = batches.changelog(feed.stream(), out, prepare, full_every=2, block_rows=3)
-    run_to_end(query, str(tmp_path / "cp"))
-    enriched = enrich.drop_unmatched(enrich.enrich_current(frame, enrich.latest_by_key(history)))
-    steps = windows.window_changelog(enriched)
-    assert sorted(rows(batches.read_changelog(spark, out).select(*steps.columns))) == sorted(rows(steps))
-
-
-def test_profiles_are_read_again_for_every_batch(spark, tmp_path):
-    table = str(tmp_path / "profiles")
-    profiles(spark, [("alice", "FREE", at())]).write.parquet(table)
-    feed = Feed(spark, tmp_path / "in")
-    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
-    seen = []
-
-    def history():
-        if seen:
-            profiles(spark, [("bob", "PRO", at())]).write.mode("append").parquet(table)
-        seen.append(1)
-        return spark.read.parquet(table)
-
-    both = [("alice", "x", 1, "EUR", at()), ("bob", "y", 1, "EUR", at())]
-    for i in range(2):
-        feed.add(orders(spark, both))
-    run_to_end(batches.totals(feed.stream(), out, batches.fresh_profiles(history)), cp)
-    found = native.latest_windows(spark, batches.updates_path(out))
-    assert sorted(rows(found, "customer_id", "order_count")) == [("alice", 2), ("bob", 1)]
-
-
-def test_tier_change_splits_a_window(spark, tmp_path):
-    versions = iter([[("alice", "FREE", at())], [("alice", "PRO", at(1))]])
-    prepare = batches.fresh_profiles(lambda: profiles(spark, next(versions)))
-    feed = Feed(spark, tmp_path / "in")
-    for i in range(2):
-        feed.add(orders(spark, [("alice", f"o{i}", 1, "EUR", at(i))]))
-    out = str(tmp_path / "out")
-    run_to_end(batches.totals(feed.stream(), out, prepare), str(tmp_path / "cp"))
-    found = native.latest_windows(spark, batches.updates_path(out))
-    assert sorted(rows(found, "tier", "order_count")) == [("FREE", 1), ("PRO", 1)]
+    frame = spark.range(10).withColumn("n", F.col("id") * 2)
+    path = str(tmp_path / "out")
+    for batch_id in (0, 0, 1, 1, 2, 2, 2):
+        write_batch(frame.filter(F.col("id") % 3 == batch_id), path, batch_id)
+    assert sorted(rows(read_batches(spark, path), "id")) == [(i,) for i in range(10)]
 
 
 def test_dead_letters_are_set_aside(spark, tmp_path):
@@ -250,48 +218,6 @@ def test_dead_letters_are_set_aside(spark, tmp_path):
     assert sorted(rows(rejected, "order_id")) == sorted(rows(carol, "order_id"))
 
 
-def test_window_rules_across_batches(spark, tmp_path):
-    source = str(tmp_path / "in")
-    records = window_records(spark)
-    os.makedirs(source)
-    for i in range(len(CASES) + 2):
-        target = os.path.join(source, f"n={i:02d}")
-        records.filter(F.col("offset") == i).coalesce(1).write.parquet(target)
-        for name in os.listdir(target):
-            os.utime(os.path.join(target, name), (1_000_000 + i,) * 2)
-    stream = (
-        spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    out = str(tmp_path / "out")
-    run_to_end(batches.validated_windows(stream, out, full_every=3), str(tmp_path / "cp"))
-    checked = batches.read_validated(spark, out)
-    found = dict(rows(checked, "offset", "violations"))
-    assert found == dict(rows(validate_windows(records), "offset", "violations"))
-
-
-def test_order_rules_across_batches(spark, tmp_path):
-    """A repeat is reported whichever batch it comes in, until its id is forgotten."""
-    ids = ["o1", "o1", "", "o2", "o1", "o2", "o3"]
-    minutes = [0, 1, 2, 3, 4, 500, 501]
-    frame = orders(spark, [("a", o, 1, "EUR", at(m)) for o, m in zip(ids, minutes)])
-    value = F.struct("order_id", "customer_id")
-    records = frame.select("key", value.alias("value"), "offset", "timestamp")
-    feed = Feed(spark, tmp_path / "in")
-    for low, high in ((0, 1), (2, 4), (5, 6)):
-        feed.add(records.filter(F.col("offset").between(low, high)))
-    found = {}
-    for remember in ("1 day", "1 hour"):
-        out = str(tmp_path / remember.replace(" ", ""))
-        query = batches.validated_orders(feed.stream(), out, remember, full_every=1)
-        run_to_end(query, out + "-cp")
-        checked = batches.read_validated(spark, out, "validated_orders")
-        found[remember] = dict(rows(checked, "offset", "violations"))
-    again, missing = ["duplicate order id"], ["missing order id"]
-    assert found["1 day"] == {0: [], 1: again, 2: missing, 3: [], 4: again, 5: again, 6: []}
-    # ids are forgotten when a later batch is stored, not within a batch
-    assert found["1 hour"] == found["1 day"]
-
-
 def test_repeated_ids_pass_once(spark, tmp_path):
     frame = orders(spark, random_orders(40))
     feed = Feed(spark, tmp_path / "in", zoned=True)
@@ -340,49 +266,20 @@ def test_rate_stream_makes_orders(spark, tmp_path):
         query.stop()
 
 
-def test_state_log_keeps_the_newest_row(spark, tmp_path):
-    frame = lambda *data: spark.createDataFrame(list(data), "k string, v bigint")
-    log = StateLog(str(tmp_path), ["k"], frame(("a", 1)).schema, full_every=2)
-    written = {}
-    for batch_id in range(6):
-        assert dict(rows(log.before(spark, batch_id))) == written
-        change = {"abc"[batch_id % 3]: batch_id, None: -batch_id}
-        log.write(batch_id, frame(*change.items()))
-        written |= change
-    assert dict(rows(log.before(spark, 6))) == written
-
-
-@pytest.mark.parametrize("full_every", [1, 2, 50])
-def test_totals_past_the_retention_do_not_depend_on_pruning(spark, tmp_path, full_every):
-    """Five orders of a window, two of three days later, then one more of the first window."""
-    minutes = [0, 1, 2, 3, 4, 3 * 1440, 3 * 1440 + 1, 1]
-    frame = orders(spark, [("a", f"o{i}", 100, "EUR", at(m)) for i, m in enumerate(minutes)])
-    feed = Feed(spark, tmp_path / "in")
-    for i in range(len(minutes)):
-        feed.add(frame.filter(F.col("offset") == i))
-    history = profiles(spark, [("a", "PRO", at(-5))])
-    out = str(tmp_path / "out")
-    prepare = batches.fresh_profiles(lambda: history)
-    run_to_end(batches.totals(feed.stream(), out, prepare, full_every=full_every), str(tmp_path / "cp"))
-    found = native.latest_windows(spark, batches.updates_path(out))
-    assert sorted(rows(found, "order_count", "total_amount_cents")) == [(2, 200), (5, 500)]
-
-
 def test_results_of_an_earlier_query_are_not_mixed_in(spark, tmp_path):
-    feed = Feed(spark, tmp_path / "in")
-    for frame in late_frames(spark):
-        feed.add(frame)
+    frame, history = orders(spark, random_orders(40)), profiles(spark, PEOPLE)
+    feed = filled_feed(spark, tmp_path / "in", frame)
     out = str(tmp_path / "out")
-    run_to_end(batches.strict(feed.stream(), out), str(tmp_path / "cp"))
-    before = batches.read_strict(spark, out).count()
+    run_to_end(batches.dead_letters(feed.stream(), out, lambda: history), str(tmp_path / "cp"))
+    before = batches.read_dead_letters(spark, out).count()
     with pytest.raises(Exception, match="earlier query"):
-        run_to_end(batches.strict(feed.stream(), out), str(tmp_path / "cp2"))
-    assert batches.read_strict(spark, out).count() == before
+        run_to_end(batches.dead_letters(feed.stream(), out, lambda: history), str(tmp_path / "cp2"))
+    assert batches.read_dead_letters(spark, out).count() == before
 
 
 def test_no_result_is_an_empty_table(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in")
-    feed.add(orders(spark, [("a", "o1", 1, "EUR", at(1))]))
-    out = str(tmp_path / "out")
-    run_to_end(batches.strict(feed.stream(), out, lambda d: d.filter("false")), str(tmp_path / "cp"))
-    assert batches.read_strict(spark, out).count() == 0
+    feed.add(orders(spark, [("alice", "o1", 1, "EUR", at(1))]))
+    out, history = str(tmp_path / "out"), profiles(spark, PEOPLE)
+    run_to_end(batches.dead_letters(feed.stream(), out, lambda: history), str(tmp_path / "cp"))
+    assert batches.read_dead_letters(spark, out).count() == 0
