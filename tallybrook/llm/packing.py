@@ -29,7 +29,10 @@ END_ID = 1
 GRID = 8  # lengths are rounded up to this for the combinations; they keep their own length
 CACHE, CORES = 400_000, 800_000  # words and words without signs whose ids a worker remembers
 LONGEST = 48  # longer ones are tokenised again each time
+BLOCK = 4096  # words given to the tokenizer at once
 SIGNS = ".,;:!?*$#%&"  # at the end of a word
+WORD_END = "</w>"  # at the end of tokens that end a word
+FOLDED = "\u0130"  # letters before it have one lower-case letter, wherever they stand
 
 PIECES = (
     "doc_id bigint, start bigint, length int, doc_tokens bigint, ids binary,"
@@ -37,13 +40,14 @@ PIECES = (
 )
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of space-free words as little-endian unsigned 32-bit bytes, tokenised on demand.
 
     The tokenizer turns white space into one space, drops it before the merges and divides
     letters from other signs, so a text's ids are those of its words in order, and a word's are
     those of the word without the signs at its end and of these signs. Both are remembered,
-    the former longer, as most new words are known ones with other signs.
+    the former longer, as most new words are known ones with other signs. New words of letters
+    go to the tokenizer in one text, as only the last id of each ends a word.
     """
 
     def __init__(self, path):
@@ -51,41 +55,68 @@ class WordIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores, self.long = {}, []
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.ids, self.cores, self.long = {}, {"": b""}, []
 
     def learn(self, words):
-        """Makes the ids of all `words` known until the next call."""
+        """Makes the ids of the set `words` known until the next call."""
         for w in self.long:
-            self.pop(w, None)
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = list(words)
+            self.ids.pop(w, None)
+        new = words.difference(self.ids)
+        if len(self.ids) + len(new) > CACHE:
+            self.ids.clear()
+            new = words
         if len(self.cores) > CORES:
-            self.cores.clear()
+            self.cores = {"": b""}
         self.long = [w for w in new if len(w) > LONGEST]
-        parts, unknown = [], {}
+        cores, ids, parts, letters, others = self.cores, self.ids, [], {}, {}
         for w in new:
             core = w.rstrip(SIGNS)
-            if not core[-1:].isalpha():
-                core = w
+            simple = core.isalpha()
+            if not core[-1:].isalpha() or core[-1] >= FOLDED:
+                core, simple = w, False
             end = w[len(core) :]
-            if core.isascii() and "<" not in core:
+            if "<" not in core and (core.isascii() or max(core) < FOLDED):
                 core = core.lower()
+            else:
+                simple = False
+            if core in cores and end in cores:
+                ids[w] = cores[core] + cores[end]
+                continue
             parts.append((w, core, end))
-            for part in (core, end):
-                if part not in self.cores:
-                    unknown[part] = None
-        unknown = list(unknown)
-        for at in range(0, len(unknown), 4096):
-            block = unknown[at : at + 4096]
+            if core not in cores:
+                (letters if simple else others)[core] = None
+            if end not in cores:
+                others[end] = None
+        self._encode_letters(list(letters), others)
+        self._encode(list(others))
+        for w, core, end in parts:
+            ids[w] = cores[core] + cores[end]
+        for unknown in (letters, others):
+            for part in unknown:
+                if len(part) > LONGEST:
+                    cores.pop(part, None)
+
+    def _encode(self, parts):
+        for at in range(0, len(parts), BLOCK):
+            block = parts[at : at + BLOCK]
             for part, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
                 self.cores[part] = np.asarray(e.ids, "<u4").tobytes()
-        for w, core, end in parts:
-            self[w] = self.cores[core] + self.cores[end]
-        for part in unknown:
-            if len(part) > LONGEST:
-                del self.cores[part]
+
+    def _encode_letters(self, parts, others):
+        """Words of letters, in one text; to `others` if their ends are not to be seen in it."""
+        for at in range(0, len(parts), BLOCK):
+            block = parts[at : at + BLOCK]
+            encoded = self.tokenizer.encode_batch_fast([" ".join(block)], add_special_tokens=False)
+            found = np.asarray(encoded[0].ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
+            whole = found.tobytes()
+            if len(stops) == len(block) and stops[-1] == len(whole):
+                self.cores.update(zip(block, [whole[i:j] for i, j in zip([0, *stops], stops)]))
+            else:
+                others.update(dict.fromkeys(block))
 
 
 _known = {}
@@ -119,7 +150,7 @@ def cut_pieces(docs, tokenizer=None, row_id="doc_id", text="text", window=WINDOW
             for doc_id, t in zip(batch[0], batch[1]):
                 words = (t or "").replace("\n", " ").split(" ")
                 known.learn(set(words))
-                ids = b"".join(map(known.__getitem__, words)) + end
+                ids = b"".join(map(known.ids.__getitem__, words)) + end
                 n = len(ids) // 4
                 for at in range(0, n, window):
                     piece = ids[4 * at : 4 * (at + window)]

@@ -512,3 +512,16 @@ def test_pipeline_on_nothing(spark, sf_dir, nothing):
     for name, step in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(spark, step(spark, docs, sf_dir), name)
     assert docs.count() == 0
+
+
+def test_packing_words():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer, known = Tokenizer.from_file(path), packing.WordIds(path)
+    words = ["", "...", "Ab.", "Übel,", "bNİ.", "क़.", "it's", "<|endoftext|>", "x<y", "ΣΑΣ.", "a1", "éa!", "µ", "z" * 60 + "?"]
+    for _ in range(2):
+        known.learn(set(words))
+        for w in words:
+            ids = tokenizer.encode(w, add_special_tokens=False).ids
+            assert known.ids[w] == np.asarray(ids, "<u4").tobytes(), w
