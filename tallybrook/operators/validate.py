@@ -146,6 +146,19 @@ def window_value_conflicts(windows):
     )
 
 
+def differing(is_written, is_expected):
+    """What is wrong between the written and the expected totals of a window, or null."""
+    return (
+        F.when(~F.coalesce(is_written, F.lit(False)), F.lit("missing"))
+        .when(~F.coalesce(is_expected, F.lit(False)), F.lit("unexpected"))
+        .when(
+            (F.col("written_count") != F.col("expected_count"))
+            | (F.col("written_cents") != F.col("expected_cents")),
+            F.lit("different"),
+        )
+    )
+
+
 def reconcile_windows(windows, expected):
     """Windows where the written totals differ from the recomputed ones.
 
@@ -165,13 +178,5 @@ def reconcile_windows(windows, expected):
         .groupBy(*WINDOW_KEY)
         .agg(*[F.max(m).alias(m) for m in measures])
     )
-    verdict = (
-        F.when(F.col("written_count").isNull(), F.lit("missing"))
-        .when(F.col("expected_count").isNull(), F.lit("unexpected"))
-        .when(
-            (F.col("written_count") != F.col("expected_count"))
-            | (F.col("written_cents") != F.col("expected_cents")),
-            F.lit("different"),
-        )
-    )
+    verdict = differing(F.col("written_count").isNotNull(), F.col("expected_count").isNotNull())
     return both.withColumn("verdict", verdict).filter(F.col("verdict").isNotNull())

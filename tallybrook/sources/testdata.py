@@ -64,6 +64,14 @@ def write_heartbeat(spark, sf_dir, folder):
     e.unionByName(row, allowMissingColumns=True).coalesce(1).write.parquet(os.path.join(folder, "slice=end"))
 
 
+def write_window_heartbeat(windows, folder):
+    """A window total without a customer, far ahead."""
+    spark = windows.sparkSession
+    times = [F.lit(HEARTBEAT).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    beat = windows.filter("false").unionByName(spark.range(1).select(*times), allowMissingColumns=True)
+    beat.coalesce(1).write.parquet(os.path.join(folder, "slice=end"))
+
+
 def write_profile_stream(spark, sf_dir, folder):
     """The profile history in the order of its times: one file per round of versions."""
     history = profile_history(spark, sf_dir)

@@ -277,6 +277,20 @@ with beans as (
 select * from (select sample_id, {columns} from beans) where metric is not null"""
 
 
+RECONCILED = """
+, damaged as (
+  select * replace (order_count + case when cast(customer_id as bigint) % 51 = 0 then 1 else 0 end
+                    as order_count)
+  from a1 where cast(customer_id as bigint) % 50 <> 0)
+select e.customer_id, e.tier, e.currency, e.window_start, e.window_end,
+       coalesce(w.order_count, 0) as written_count,
+       coalesce(w.total_amount_cents, 0) as written_cents,
+       e.order_count as expected_count, e.total_amount_cents as expected_cents,
+       case when w.order_count is null then 'missing' else 'different' end as verdict
+from a1 e left join damaged w using (customer_id, tier, currency, window_start, window_end)
+where w.order_count is null or w.order_count <> e.order_count"""
+
+
 def all_oracles():
     a1, a1_day = _a1("5 minutes"), _a1("1 day")
     return {
@@ -380,19 +394,8 @@ select customer_id, tier, currency, window_start, window_end,
        min(total_amount_cents) as lowest_cents, max(total_amount_cents) as highest_cents,
        count(*) as occurrences
 from changelog group by all having count(distinct total_amount_cents) > 1""",
-        "reconcile_windows": _with(ORDERS, BASE, a1_day)
-        + """
-, damaged as (
-  select * replace (order_count + case when cast(customer_id as bigint) % 51 = 0 then 1 else 0 end
-                    as order_count)
-  from a1 where cast(customer_id as bigint) % 50 <> 0)
-select e.customer_id, e.tier, e.currency, e.window_start, e.window_end,
-       coalesce(w.order_count, 0) as written_count,
-       coalesce(w.total_amount_cents, 0) as written_cents,
-       e.order_count as expected_count, e.total_amount_cents as expected_cents,
-       case when w.order_count is null then 'missing' else 'different' end as verdict
-from a1 e left join damaged w using (customer_id, tier, currency, window_start, window_end)
-where w.order_count is null or w.order_count <> e.order_count""",
+        "reconcile_windows": _with(ORDERS, BASE, a1_day) + RECONCILED,
+        "stream_reconcile_windows": _with(ORDERS, BASE, a1_day) + RECONCILED,
         "wire_prefix": _with(RAW)
         + "select * replace (coalesce(schema_id, -1) as schema_id) from split",
         "dangling_schema_ids": _with(RAW, REGISTRY)

@@ -15,7 +15,7 @@ from ..sources import testdata as td
 from ..sources.generators import as_generated_orders
 from ..sources.orders import conform_all, scan_orders
 from ..sources.profiles import seed_profiles
-from ..streaming import batches, native, stateful
+from ..streaming import batches, native, reconcile, stateful
 from ..streaming.run import run_to_end
 
 DAY = "1 day"
@@ -403,6 +403,31 @@ def q_stream_validate_windows(spark, sf_dir):
     )
 
 
+def q_stream_reconcile_windows(spark, sf_dir):
+    """Totals in eight micro-batches by window; a fifth of the customers' are written two days late."""
+    folder = new_folder(spark, "reconcile")
+    out, sides = os.path.join(folder, "out"), {}
+    whole = os.path.join(folder, "whole")
+    _windows(spark, sf_dir, DAY).write.parquet(whole)
+    expected = spark.read.parquet(whole)
+    day = F.datediff("window_start", F.lit(expected.agg(F.min("window_start")).scalar()))
+    late = F.when(F.col("customer_id").cast("bigint") % 5 == 0, 2).otherwise(0)
+    sides["expected"] = expected, day
+    sides["written"] = td.damaged_windows(expected), day + late
+    for numbers in (range(4), range(4, 8)):
+        streams = {}
+        for name, (frame, by) in sides.items():
+            source = os.path.join(folder, name)
+            td.slices(frame, source, numbers, by)
+            if 7 in numbers:
+                td.write_window_heartbeat(frame, source)
+            reader = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1)
+            streams[name] = reader.option("pathGlobFilter", "*.parquet").parquet(source)
+        found = reconcile.reconcile_windows(**streams, lag="7 days")
+        run_to_end(native.write_rows(found, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+    return spark.read.parquet(out).fillna(0, ["written_count", "written_cents"])
+
+
 def q_stream_validate_orders(spark, sf_dir):
     def writer(orders, out):
         return native.write_rows(stateful.validated_orders(td.as_order_records(orders)), out)
