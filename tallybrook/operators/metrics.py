@@ -1,7 +1,8 @@
 """Queries over metric samples (metric, labels, instance, ts, value).
 
-A series is one (metric, labels, instance). Series are cut into days, so a task
-never holds more than one day of one series, however much of the table it fills.
+A series is one (metric, labels, instance). Series are cut into hours, so a task never
+holds more than one hour of one series, however much of the table it fills. An hour costs one
+small row more, which carries the value before it on.
 """
 
 from pyspark.sql import Window
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 from ..plans.running import Fold, running
 
 SERIES = ["metric", "labels_id", "instance"]
-DAY_MICROS = 86_400_000_000
+HOUR_MICROS = 3_600_000_000
+# A block of `relative_drop` is at least so many trailing spans long: an eighth of the rows are
+# context of the next block as well, and a task holds at most nine spans or an hour.
+SPANS = 8
 
 
 def with_series(samples):
@@ -31,8 +35,8 @@ def _micros(column):
     return F.timestamp_diff("MICROSECOND", epoch.cast("timestamp_ntz"), F.col(column))
 
 
-def _day(column="ts"):
-    return F.floor(_micros(column) / F.lit(DAY_MICROS))
+def _hour(column="ts"):
+    return F.floor(_micros(column) / F.lit(HOUR_MICROS))
 
 
 def gauge_by_instance(samples, metric, step="15 seconds"):
@@ -76,7 +80,7 @@ def counter_rate(samples, metric, width="1 minute"):
         SERIES,
         ["ts"],
         {"previous": Fold("last", F.col("value"))},
-        block=_day(),
+        block=_hour(),
         inclusive=False,
     )
     grown = F.when(
@@ -101,20 +105,23 @@ def relative_drop(samples, metric, trailing_seconds=600, below=0.5):
     The mean covers the sample itself and the `trailing_seconds` before it. A
     sample also joins the next block as context, so blocks can be cut anywhere.
     """
+    trailing = trailing_seconds * 1_000_000
+    width = max(HOUR_MICROS, SPANS * trailing)
     placed = (
         samples.filter(F.col("metric") == metric)
-        .select("instance", "ts", "value", _day().alias("_day"), _micros("ts").alias("_at"))
-        .withColumn("_ahead", F.floor((F.col("_at") + trailing_seconds * 1_000_000) / DAY_MICROS))
-        .withColumn("_block", F.explode(F.sequence("_day", "_ahead")))
+        .select("instance", "ts", "value", _micros("ts").alias("_at"))
+        .withColumn("_own", F.floor(F.col("_at") / width))
+        .withColumn("_ahead", F.floor((F.col("_at") + trailing) / width))
+        .withColumn("_block", F.explode(F.sequence("_own", "_ahead")))
     )
     span = (
         Window.partitionBy("instance", "_block")
         .orderBy("_at")
-        .rangeBetween(-trailing_seconds * 1_000_000, 0)
+        .rangeBetween(-trailing, 0)
     )
     return (
         placed.withColumn("mean", F.avg("value").over(span))
-        .filter(F.col("_block") == F.col("_day"))
+        .filter(F.col("_block") == F.col("_own"))
         .select(
             "instance", "ts", "value", (F.col("value") / F.col("mean")).alias("of_mean")
         )
@@ -133,7 +140,7 @@ def cluster_sum(samples, metric, staleness="5 minutes"):
     gauge = samples.filter(F.col("metric") == metric).groupBy("instance", "ts")
     gauge = gauge.agg(F.max("value").alias("value"))
     last = {"before": Fold("last", F.struct("ts", "value"))}
-    steps = running(gauge, ["instance"], ["ts"], last, block=_day(), inclusive=False)
+    steps = running(gauge, ["instance"], ["ts"], last, block=_hour(), inclusive=False)
     ends = F.col("before.ts") + hold
     holds = F.coalesce(ends > F.col("ts"), F.lit(False))
     one = F.lit(1).cast("bigint")
@@ -156,7 +163,7 @@ def cluster_sum(samples, metric, staleness="5 minutes"):
         F.sum("change").alias("change"), F.sum("away").alias("away"), F.max("own").alias("own")
     )
     sums = {"value": Fold("sum", F.col("change")), "instances_away": Fold("sum", F.col("away"))}
-    summed = running(at_once.withColumn("scope", F.lit(0)), ["scope"], ["ts"], sums, block=_day())
+    summed = running(at_once.withColumn("scope", F.lit(0)), ["scope"], ["ts"], sums, block=_hour())
     # counted, so that rounding leaves no remainder of a sum that is zero
     value = F.when(F.col("instances_away") > 0, F.col("value")).otherwise(F.lit(0.0))
     return summed.filter("own = 1").select("ts", value.alias("value"))
@@ -180,7 +187,7 @@ def outage_episodes(samples, metric, staleness="5 minutes"):
         ["scope", "instance"],
         ["ts"],
         {"last_zero": Fold("max", F.when(F.col("value") == 0, F.col("ts")))},
-        block=_day(),
+        block=_hour(),
         inclusive=False,
     )
     away = F.col("value") != 0

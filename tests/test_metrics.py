@@ -177,6 +177,24 @@ def test_relative_drop_sees_across_days(spark):
     assert [(r.value, round(r.of_mean, 6)) for r in out.collect()] == [(0.5, round(0.5 / 1.75, 6))]
 
 
+def test_one_busy_series_is_cut(spark):
+    """Every second of three hours, with resets and dips at the edges of the blocks."""
+    steps = range(3 * 3600)
+    values = [float(i % 3600 * 2 + 1) for i in steps]
+    frame = samples(spark, "m", [("a", i, v) for i, v in zip(steps, values)])
+    grown = [b - a if b >= a else b for a, b in zip(values, values[1:])]
+    want = [sum(grown[max(0, 60 * m - 1) : 60 * m + 59]) / 60 for m in range(180)]
+    out = metrics.counter_rate(frame, "m").orderBy("window_start")
+    assert rows(out, "per_second") == [(pytest.approx(w),) for w in want]
+    low = []
+    for i, v in enumerate(values):
+        span = values[max(0, i - 600) : i + 1]
+        if v / (sum(span) / len(span)) < 0.5:
+            low.append((BASE + timedelta(seconds=i), pytest.approx(v / (sum(span) / len(span)))))
+    dips = metrics.relative_drop(frame, "m", trailing_seconds=600).orderBy("ts")
+    assert rows(dips, "ts", "of_mean") == low and low
+
+
 def test_gauge_takes_the_last_value_of_a_step(spark):
     out = metrics.gauge_by_instance(samples(spark, "m", [("a", 1, 5), ("a", 9, 7), ("a", 16, 1)]), "m")
     assert sorted(rows(out, "value")) == [(1.0,), (7.0,)]
