@@ -1,17 +1,25 @@
 """Order-dependent operators on Spark's keyed state (transformWithState).
 
-Each operator keeps one small value per scope, window, id or customer in Spark's own state
+Each operator keeps one small row per scope, window, id or customer in Spark's own state
 store. A micro-batch brings the rows of a key together, sorted here by their arrival, so the
 answer for a record depends on the records before it and not on how the stream is cut into
 batches. Micro-batches must follow the order of arrival; their size is bounded by the reader
 (files or offsets per trigger), and with it what one key holds in a task.
 
-State goes by event time: a timer removes it when the stream has passed the time that it can
+Windows, ids and customers are many and have few rows each: calling Python and the state store
+for each of them costs far more than its rows. So they are dealt by hash into `buckets`, which
+Spark groups by. The state of a bucket is one table with a row per key, and all its keys are
+handled by column operations. A micro-batch writes the tables anew that it has rows for, so take
+more buckets for more keys (some ten thousand each). Their number holds for the life of a
+checkpoint and does not change the answer.
+
+State goes by event time: it is removed when the stream has passed the time that it can
 matter, plus `lag`. Records that are more than `lag` older than the newest record are late for
 Spark itself and dropped.
 """
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -21,11 +29,12 @@ from ..operators.validate import DUPLICATE_ID, KEY_MISMATCH, MISSING_ID, violati
 from ..operators.windows import aggregate_windows, rekey
 
 LAG = "7 days"
+BUCKETS = 64
 
 
-def _millis(at):
-    """Epoch milliseconds of a timestamp without zone, which is UTC."""
-    return int(pd.Timestamp(at).timestamp() * 1000)
+def _millis(times):
+    """Epoch milliseconds of a column of timestamps without zone, which are UTC."""
+    return times.astype("datetime64[ns]").astype("int64") // 1_000_000
 
 
 def _plain(at):
@@ -80,6 +89,46 @@ def _rebuilt(schema):
     ]
 
 
+def _bucketed(df, keys, buckets):
+    """With the bucket of the key columns."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _packed(frame):
+    """A frame as one binary value, in Arrow's stream format."""
+    table, sink = pa.Table.from_pandas(frame, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpacked(value):
+    return pa.ipc.open_stream(bytes(value[0])).read_pandas()
+
+
+class _Buckets(StatefulProcessor):
+    """Keeps one row per key, for all the keys of a bucket."""
+
+    def init(self, handle):
+        self.table = handle.getValueState("table", "rows binary")
+
+    def _after_kept(self, frame, columns, keys):
+        """Some columns of the kept rows and then of a frame, the number of the former, and the
+        key of every row as a number."""
+        both, n = frame[columns], 0
+        if self.table.exists():
+            kept = _unpacked(self.table.get())
+            both, n = pd.concat([kept, both], ignore_index=True), len(kept)
+        return both, n, both.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+
+    def _keep(self, rows, until, timerValues):
+        """Keeps the rows that can matter after the watermark; `until` are milliseconds."""
+        self.table.update(_packed(rows[(until > timerValues.getCurrentWatermarkInMs()).to_numpy()]))
+
+    def close(self):
+        pass
+
+
 class _Clock(StatefulProcessor):
     """Stream time of a scope: the highest timestamp seen, this record included."""
 
@@ -90,14 +139,21 @@ class _Clock(StatefulProcessor):
         self.seen = handle.getValueState("stream_time", "at timestamp_ntz")
 
     def handleInputRows(self, key, rows, timerValues):
-        f = _whole(rows, self.order)
-        clock = f[self.time].cummax()
+        frames = list(rows)
+        # a scope is large: only what its clock needs is brought together
+        needed = list(dict.fromkeys((self.time, *self.order)))
+        arrived = pd.concat([f[needed] for f in frames], ignore_index=True)
+        clock = arrived.sort_values(list(self.order), kind="stable")[self.time].cummax()
         if self.seen.exists():
             clock = clock.clip(lower=_plain(self.seen.get()[0]))
-        end = f[self.time].dt.floor(self.size) + self.size
-        f["window_end"], f["stream_time"], f["late"] = end, clock, end + self.grace <= clock
-        self.seen.update((_stored(clock.iloc[-1]),))
-        yield f
+        if clock.notna().any():
+            self.seen.update((_stored(clock.max()),))
+        clock, at = clock.sort_index(), 0
+        for f in frames:
+            upto = clock.iloc[at : at + len(f)].set_axis(f.index)
+            end = f[self.time].dt.floor(self.size) + self.size
+            yield f.assign(window_end=end, stream_time=upto, late=end + self.grace <= upto)
+            at += len(f)
 
     def close(self):
         pass
@@ -137,141 +193,109 @@ def totals(enriched, size=WINDOW, lag=LAG):
     """Windowed totals of a stream of enriched orders within their retention, in update mode:
     each micro-batch gives the new totals of the windows it changed. Sums are combined before
     the shuffle, so a window or customer may be of any size; the watermark removes windows."""
-    windowed = aggregate_windows(in_retention(enriched, size, lag, mode="Update"), size)
+    windowed = aggregate_windows(in_retention(enriched.drop("order_id"), size, lag, mode="Update"), size)
     return _as_given(windowed, enriched.schema["timestamp"].dataType)
 
 
-class _Running(StatefulProcessor):
-    """Running count and sum of a window, kept until its retention has passed."""
-
-    def init(self, handle):
-        self.handle = handle
-        self.sums = handle.getValueState("totals", "order_count bigint, total_amount_cents bigint")
+class _Running(_Buckets):
+    """Running count and sum of each window, kept until its retention has passed."""
 
     def handleInputRows(self, key, rows, timerValues):
         f = _whole(rows, ("offset",))
-        if self.sums.exists():
-            count, cents = self.sums.get()
-        else:
-            count, cents = 0, 0
-            self.handle.registerTimer(_millis(key[-1]) + RETENTION_MS)
-        f["order_count"] = count + f["order_count"].cumsum()
-        f["total_amount_cents"] = cents + f["total_amount_cents"].cumsum()
-        last = f.iloc[-1]
-        self.sums.update((int(last["order_count"]), int(last["total_amount_cents"])))
+        totals = ["order_count", "total_amount_cents"]
+        both, n, window = self._after_kept(f, [*WINDOW_KEY, *totals], WINDOW_KEY)
+        cents = both["total_amount_cents"].astype("Int64")
+        known = cents.notna().groupby(window).cummax()
+        both["order_count"] = both["order_count"].groupby(window).cumsum()
+        both["total_amount_cents"] = cents.fillna(0).groupby(window).cumsum().where(known)
+        kept = both[~pd.Series(window).duplicated(keep="last").to_numpy()]
+        self._keep(kept, _millis(kept["window_end"]) + RETENTION_MS, timerValues)
+        f[totals] = both[totals].iloc[n:].set_axis(f.index)
         yield f
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.sums.clear()
-        return iter([])
-
-    def close(self):
-        pass
 
-
-def changelog(enriched, size=WINDOW, lag=LAG):
+def changelog(enriched, size=WINDOW, lag=LAG, buckets=BUCKETS):
     """`window_changelog` of a stream: one row per order with the totals of its window right
     after it. Records past the retention are dropped by the rule of `in_retention`."""
     kept = in_retention(enriched, size, lag)
     columns = [*WINDOW_KEY, "order_count", "total_amount_cents", "order_id", "partition", "offset", "timestamp"]
     rows = rekey(kept, size).select(*columns)
-    steps = rows.groupBy(*WINDOW_KEY).transformWithStateInPandas(_Running(), rows.schema, "Append", "EventTime")
+    dealt = _bucketed(rows, WINDOW_KEY, buckets).groupBy("bucket")
+    steps = dealt.transformWithStateInPandas(_Running(), rows.schema, "Append", "EventTime")
     return _as_given(steps, enriched.schema["timestamp"].dataType)
 
 
-class _Previous(StatefulProcessor):
+class _Previous(_Buckets):
     """Totals of the record before, per key and window start."""
 
-    def init(self, handle):
-        self.handle = handle
-        self.previous = handle.getValueState("previous", "order_count bigint, total_amount_cents bigint")
+    def __init__(self, keys):
+        self.keys = keys
 
     def handleInputRows(self, key, rows, timerValues):
         f = _whole(rows, ("offset",))
-        pair = ("value__order_count", "value__total_amount_cents")
-        own = list(zip(*[[None if pd.isna(v) else int(v) for v in f[c]] for c in pair]))
-        known = self.previous.exists()
-        earlier = [tuple(self.previous.get()) if known else (None, None), *own[:-1]]
-        if not known and not pd.isna(key[-1]):
-            self.handle.registerTimer(_millis(key[-1]) + WINDOW_MS + RETENTION_MS)
-        for i, name in enumerate(("previous_count", "previous_cents")):
-            f[name] = pd.array([p[i] for p in earlier], dtype="Int64")
-        self.previous.update(own[-1])
+        pair = ["value__order_count", "value__total_amount_cents"]
+        f[pair] = f[pair].astype("Int64")
+        both, n, window = self._after_kept(f, [*self.keys, *pair], self.keys)
+        f[["previous_count", "previous_cents"]] = both[pair].groupby(window).shift().iloc[n:].set_axis(f.index)
+        kept = both[~pd.Series(window).duplicated(keep="last").to_numpy()]
+        start = kept["start_key"]
+        until = (_millis(start) + WINDOW_MS + RETENTION_MS).where(start.notna(), 2**62)
+        self._keep(kept, until, timerValues)
         yield f
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.previous.clear()
-        return iter([])
-
-    def close(self):
-        pass
-
 
-def validated_windows(records, unit_amount, width_ms=WINDOW_MS, lag=LAG):
+def validated_windows(records, unit_amount, width_ms=WINDOW_MS, lag=LAG, buckets=BUCKETS):
     """`validate_windows` of a stream of window records. What is known of a window is kept until
     its retention has passed."""
     present = records.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
     rows = _timed(_flat(present).withColumn("start_key", F.col("value__window_start")), lag, "start_key")
     out = _fields(rows.schema, ("previous_count", T.LongType()), ("previous_cents", T.LongType()))
-    keys = [f"key__{c}" for c in records.schema["key"].dataType.fieldNames()]
-    timed = rows.groupBy(*keys, "start_key").transformWithStateInPandas(_Previous(), out, "Append", "EventTime")
+    keys = [*[f"key__{c}" for c in records.schema["key"].dataType.fieldNames()], "start_key"]
+    dealt = _bucketed(rows, keys, buckets).groupBy("bucket")
+    timed = dealt.transformWithStateInPandas(_Previous(keys), out, "Append", "EventTime")
     rules = window_rules(F.col("previous_count"), F.col("previous_cents"), unit_amount, width_ms)
     checked = timed.select(*_rebuilt(records.schema), "previous_count", "previous_cents")
     return checked.select(*records.columns, violations(*rules).alias("violations"))
 
 
-class _SeenId(StatefulProcessor):
-    """The newest record time of an order id."""
-
-    def __init__(self, remember):
-        self.remember = remember
+class _SeenId(_Buckets):
+    """The newest record time of each order id."""
 
-    def init(self, handle):
-        self.handle = handle
-        self.newest = handle.getValueState("newest", "at timestamp_ntz")
+    def __init__(self, id_column, remember):
+        self.id_column, self.remember = id_column, remember
 
     def handleInputRows(self, key, rows, timerValues):
         f = _whole(rows, ("partition", "offset"))
-        newest = _plain(self.newest.get()[0]) if self.newest.exists() else pd.NaT
-        before = f["timestamp"].cummax().shift()
-        before = before.fillna(newest) if pd.isna(newest) else before.fillna(newest).clip(lower=newest)
-        f["repeated"] = (before + self.remember > f["timestamp"]).to_numpy(bool)
-        top = f["timestamp"].max()
-        top = top if pd.isna(newest) else max(top, newest)
-        for old in self.handle.listTimers():
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(_millis(top + self.remember))
-        self.newest.update((_stored(top),))
+        both, n, of_id = self._after_kept(f, [self.id_column, "timestamp"], [self.id_column])
+        newest = both["timestamp"].groupby(of_id).cummax()
+        before = newest.groupby(of_id).shift().iloc[n:].set_axis(f.index)
+        f["repeated"] = before + self.remember > f["timestamp"]
+        kept = both.dropna().groupby(self.id_column, sort=False)["timestamp"].max().reset_index()
+        self._keep(kept, _millis(kept["timestamp"] + self.remember), timerValues)
         yield f
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.newest.clear()
-        return iter([])
-
-    def close(self):
-        pass
-
 
-def marked_repeats(records, id_column, remember="1 day", lag=LAG):
+def marked_repeats(records, id_column, remember="1 day", lag=LAG, buckets=BUCKETS):
     """Adds `repeated` to a stream: whether an earlier record of the same id has a time later
     than this one's less `remember`. A rule per record; an id is forgotten when the stream has
     passed its newest time by `remember` and `lag`."""
     kind = records.schema["timestamp"].dataType
     timed = _timed(records, lag)
     out = _fields(timed.schema, ("repeated", T.BooleanType()))
-    seen = _SeenId(pd.Timedelta(remember))
-    marked = timed.groupBy(id_column).transformWithStateInPandas(seen, out, "Append", "EventTime")
+    seen = _SeenId(id_column, pd.Timedelta(remember))
+    dealt = _bucketed(timed, [id_column], buckets).groupBy("bucket")
+    marked = dealt.transformWithStateInPandas(seen, out, "Append", "EventTime")
     return _as_given(marked, kind)
 
 
-def validated_orders(records, remember="1 day", lag=LAG):
+def validated_orders(records, remember="1 day", lag=LAG, buckets=BUCKETS):
     """`validate_orders` of a stream of order records, repeats judged by `marked_repeats`.
     Records without an id are judged by themselves: each is its own key."""
     present = records.filter(F.col("value").isNotNull())
     named = F.nullif(F.col("value__order_id"), F.lit(""))
     alone = F.concat_ws(":", F.lit("\u0000"), "partition", "offset")
     rows = _flat(present).withColumns({"id_key": F.coalesce(named, alone), "id_missing": named.isNull()})
-    judged = marked_repeats(rows, "id_key", remember, lag)
+    judged = marked_repeats(rows, "id_key", remember, lag, buckets)
     judged = judged.select(*_rebuilt(records.schema), "id_missing", "repeated")
     return judged.select(
         *records.columns,
@@ -283,30 +307,32 @@ def validated_orders(records, remember="1 day", lag=LAG):
     )
 
 
-class _Newest(StatefulProcessor):
-    """The newest profile version of a customer."""
+def _enriched(orders):
+    """Orders with a tier, one at a time, in the columns of `_ENRICHED`."""
+    tier = orders["tier"].astype(object)
+    out = orders.rename(columns={"amount_cents": "total_amount_cents"})
+    return out.assign(tier=tier.where(tier.notna(), None), order_count=1)[_ENRICHED.fieldNames()]
 
-    def init(self, handle):
-        self.newest = handle.getValueState("newest", "nth bigint, tier string")
+
+class _Newest(_Buckets):
+    """The newest profile version of each customer."""
 
     def handleInputRows(self, key, rows, timerValues):
         f = pd.concat(list(rows), ignore_index=True)
-        orders, versions = f[f["is_order"]], f[~f["is_order"]]
-        nth, tier = self.newest.get() if self.newest.exists() else (None, None)
-        if key[0] is not None and len(versions):
-            last = versions.loc[versions["offset"].idxmax()]
-            if nth is None or last["offset"] >= nth:
-                nth, tier = int(last["offset"]), None if pd.isna(last["tier"]) else last["tier"]
-                self.newest.update((nth, tier))
+        is_order = f["is_order"].astype(bool)
+        orders, versions = f[is_order], f[~is_order & f["key"].notna()]
+        newest = versions[["key", "offset", "tier"]].sort_values("offset", kind="stable", ascending=False)
+        if self.table.exists():
+            newest = pd.concat([newest.drop_duplicates("key"), _unpacked(self.table.get())])
+            newest = newest.sort_values("offset", kind="stable", ascending=False)
+        newest = newest.drop_duplicates("key")
+        if len(versions):
+            self.table.update(_packed(newest))
         if len(orders):
-            out = orders.rename(columns={"amount_cents": "total_amount_cents"}).assign(tier=tier, order_count=1)
-            yield out[_ENRICHED.fieldNames()]
-
-    def close(self):
-        pass
+            yield _enriched(orders.assign(tier=orders["key"].map(newest.set_index("key")["tier"])))
 
 
-def enrich_current(orders, history):
+def enrich_current(orders, history, buckets=BUCKETS):
     """`enrich_current` of two streams: each order with the newest profile that has arrived by
     its micro-batch, whatever their times. (`enrich_asof` goes by time and waits.)
 
@@ -316,76 +342,64 @@ def enrich_current(orders, history):
     comes out can feed `totals` and the other operators.
     """
     both = _one_stream(orders, history, lambda df, time: df.withColumn("timestamp", time.cast("timestamp_ntz")))
-    return both.groupBy("key").transformWithStateInPandas(_Newest(), _ENRICHED, "Append", "None")
+    dealt = _bucketed(both, ["key"], buckets).groupBy("bucket")
+    return dealt.transformWithStateInPandas(_Newest(), _ENRICHED, "Append", "None")
 
 
 class _Versions(StatefulProcessor):
-    """Profile versions of a customer, and the orders that wait for the stream to pass them."""
+    """Profile versions of the customers of a bucket, and the orders that wait for the stream to pass them."""
 
     def init(self, handle):
         self.handle = handle
-        self.versions = handle.getValueState("versions", "at array<timestamp_ntz>, nth array<bigint>, tier array<string>")
-        self.waiting = handle.getListState(
-            "waiting", "at timestamp_ntz, partition int, nth bigint, order_id string, currency string, amount_cents bigint"
-        )
-
-    def _known(self):
-        return list(zip(*self.versions.get())) if self.versions.exists() else []
+        self.versions = handle.getValueState("versions", "rows binary")
+        self.waiting = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        known, waiting, times = None, [], set()
-        if key[0] is None:  # a heartbeat
-            return iter([])
-        for f in rows:
-            for r in f.itertuples(index=False):
-                at = _stored(r.timestamp)
-                if r.is_order:
-                    cents = None if pd.isna(r.amount_cents) else int(r.amount_cents)
-                    waiting.append((at, int(r.partition), int(r.offset), r.order_id, r.currency, cents))
-                    times.add(_millis(at))
-                else:
-                    known = self._known() if known is None else known
-                    known.append((at, int(r.offset), r.tier))
-        if known is not None:
-            known = sorted(known, key=lambda v: v[:2])
-            self.versions.update(tuple(list(c) for c in zip(*known)))
-        if waiting:
-            self.waiting.appendList(waiting)
-            due = min(times)
-            held = list(self.handle.listTimers())
+        f = pd.concat(list(rows), ignore_index=True)
+        f = f[f["key"].notna()]  # heartbeats have none
+        is_order = f["is_order"].astype(bool)
+        orders, versions = f[is_order], f[~is_order & f["timestamp"].notna()]
+        if len(versions):
+            known = versions[["key", "timestamp", "offset", "tier"]]
+            if self.versions.exists():
+                known = pd.concat([_unpacked(self.versions.get()), known])
+            self.versions.update(_packed(known.sort_values(["timestamp", "offset"], kind="stable")))
+        timeless = orders["timestamp"].isna()
+        if timeless.any():
+            yield _enriched(orders[timeless].assign(tier=None))
+        orders = orders[~timeless].drop(columns=["is_order", "tier"])
+        if len(orders):
+            orders["amount_cents"] = orders["amount_cents"].astype("Int64")
+            self.waiting.appendList([_packed(orders)])
+            due, held = int(_millis(orders["timestamp"]).min()), list(self.handle.listTimers())
             # one timer, at the earliest order that waits
             if not held or due < min(held):
                 for old in held:
                     self.handle.deleteTimer(old)
                 self.handle.registerTimer(due)
-        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs()
-        known = [(_stored(_plain(at)), nth, tier) for at, nth, tier in self._known()]
-        ready, rest = [], []
-        for row in self.waiting.get():
-            row = (_stored(_plain(row[0])), *row[1:])
-            (ready if _millis(row[0]) <= passed else rest).append(row)
+        orders = pd.concat([_unpacked(v) for v in self.waiting.get()], ignore_index=True)
+        is_ready = _millis(orders["timestamp"]) <= passed
+        ready, rest = orders[is_ready], orders[~is_ready]
         self.waiting.clear()
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(min(_millis(r[0]) for r in rest))
+        if len(rest):
+            self.waiting.put([_packed(rest)])
+            # the timer that expires is still listed
+            self.handle.registerTimer(int(_millis(rest["timestamp"]).min()))
+        if not self.versions.exists():
+            yield _enriched(ready.assign(tier=None))
+            return
+        known = _unpacked(self.versions.get())
         # of the versions that the stream has passed only the newest can still be asked for
-        old = [v for v in known if _millis(v[0]) <= passed]
-        if len(old) > 1:
-            self.versions.update(tuple(list(c) for c in zip(*known[len(old) - 1 :])))
-        out, i, tier = [], 0, None
-        for at, partition, nth, order_id, currency, cents in sorted(ready, key=lambda r: (r[0], r[2])):
-            while i < len(known) and known[i][0] <= at:
-                tier = known[i][2]
-                i += 1
-            out.append((key[0], order_id, currency, tier, 1, cents, partition, nth, at))
-        if out:
-            f = pd.DataFrame(out, columns=_ENRICHED.fieldNames())
-            f["timestamp"] = pd.to_datetime(f["timestamp"])
-            f["total_amount_cents"] = f["total_amount_cents"].astype("Int64")
-            yield f
+        old = _millis(known["timestamp"]) <= passed
+        replaced = known[old].duplicated("key", keep="last")
+        if replaced.any():
+            self.versions.update(_packed(known.drop(index=replaced[replaced].index)))
+        ready = ready.sort_values("timestamp", kind="stable")
+        known = known[["key", "timestamp", "tier"]]
+        yield _enriched(pd.merge_asof(ready, known, on="timestamp", by="key"))
 
     def close(self):
         pass
@@ -422,7 +436,7 @@ def _one_stream(orders, history, timed):
     return timed(order, time).unionByName(timed(version, time))
 
 
-def enrich_asof(orders, history, lag="1 hour"):
+def enrich_asof(orders, history, lag="1 hour", buckets=BUCKETS):
     """`enrich_asof` of two streams: each order with the profile version valid at its record
     time, whichever of the two arrives first, as long as neither is more than `lag` behind.
 
@@ -437,4 +451,5 @@ def enrich_asof(orders, history, lag="1 hour"):
 
     # each stream has its own watermark, and the slower one counts
     both = _one_stream(orders, history, timed)
-    return both.groupBy("key").transformWithStateInPandas(_Versions(), _ENRICHED, "Append", "EventTime")
+    dealt = _bucketed(both, ["key"], buckets).groupBy("bucket")
+    return dealt.transformWithStateInPandas(_Versions(), _ENRICHED, "Append", "EventTime")

@@ -129,3 +129,63 @@ def test_restart_goes_on(spark, tmp_path):
         run_to_end(native.write_rows(stateful.drop_late(feed.stream()), out), cp, state_partitions=2)
     assert sorted(rows(spark.read.parquet(out), "order_id")) == sorted(rows(windows.drop_late(frame), "order_id"))
     assert len(os.listdir(os.path.join(cp, "commits"))) >= 3
+
+
+def many_customers(spark):
+    """Sixty customers, three orders each, and their versions: every second one gets a second, later one."""
+    people = [f"c{i}" for i in range(60)]
+    bought = [(p, f"o{n}{p}", n + 1, "EUR", at(n * 10 + i % 7)) for n in range(3) for i, p in enumerate(people)]
+    versions = [(p, "FREE", at(-5)) for p in people] + [(p, "PRO", at(11)) for p in people[::2]]
+    return orders(spark, bought), profiles(spark, versions)
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_state_has_a_row_per_bucket(spark, tmp_path, buckets):
+    """The keys of a bucket share one row of the state and one call, and are told apart in it."""
+    frame, history = many_customers(spark)
+    feed = feed_of(spark, tmp_path / "in", frame, [50, 70, 130])
+    current = enrich.latest_by_key(history)
+
+    def enriched(f):
+        return enrich.drop_unmatched(enrich.enrich_current(f, current))
+
+    out = str(tmp_path / "log")
+    logged = stateful.changelog(enriched(feed.stream()), "1 day", buckets=buckets)
+    query = run_to_end(native.write_rows(logged, out), out + "-cp", state_partitions=2)
+    state = [p["numRowsTotal"] for p in query.lastProgress["stateOperators"]]
+    assert max(state) <= buckets + 1
+    steps = windows.window_changelog(enriched(frame), "1 day")
+    assert sorted(rows(spark.read.parquet(out).select(*steps.columns))) == sorted(rows(steps))
+
+    records = frame.select("key", "partition", "offset", "timestamp", F.struct(F.expr("replace(order_id, 'o2', 'o0')").alias("order_id"), "customer_id").alias("value"))
+    feed = feed_of(spark, tmp_path / "records", records, [50, 70, 130])
+    out = str(tmp_path / "judged")
+    judged = stateful.validated_orders(feed.stream(), buckets=buckets)
+    query = run_to_end(native.write_rows(judged, out), out + "-cp", state_partitions=2)
+    assert max(p["numRowsTotal"] for p in query.lastProgress["stateOperators"]) <= buckets
+    broken = spark.read.parquet(out).filter(F.size("violations") > 0)
+    assert sorted(rows(broken, "offset")) == [(i,) for i in range(120, 180)]
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_customers_of_a_bucket_wait_apart(spark, tmp_path, buckets):
+    """Some orders of a bucket are due and others go on waiting, over several micro-batches."""
+    frame, history = many_customers(spark)
+    feed = feed_of(spark, tmp_path / "orders", frame, [50, 70, 130])
+    told = feed_of(spark, tmp_path / "profiles", history, [60, 70, 80])
+    beats = [(None, at(12)), (None, at(15)), (None, at(600))]
+    for nobody, time in beats:
+        feed.add(orders(spark, [(nobody, None, 0, None, time)]))
+        told.add(profiles(spark, [(nobody, None, time)]))
+
+    def joined():
+        return stateful.enrich_asof(feed.stream(), told.stream(), "1 minute", buckets=buckets)
+
+    batch = versioned.enrich_asof(frame, history)
+    found = written(spark, joined, tmp_path / "asof")
+    assert sorted(rows(found.select(*batch.columns)), key=str) == sorted(rows(batch), key=str)
+
+    current = written(spark, lambda: stateful.enrich_current(feed.stream(), told.stream(), buckets=buckets), tmp_path / "now")
+    tiers = dict(rows(current.filter("key is not null"), "order_id", "tier"))
+    assert len(tiers) == 180 and {tiers[f"o2c{i}"] for i in range(1, 60, 2)} == {"FREE"}
+    assert {tiers[f"o2c{i}"] for i in range(0, 60, 2)} == {"PRO"}
