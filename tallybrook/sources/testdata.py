@@ -90,19 +90,27 @@ def write_profile_heartbeat(spark, sf_dir, folder, name):
     beat.coalesce(1).write.parquet(os.path.join(folder, f"slice={name}"))
 
 
+SLICE_FILE_ROWS = 250_000
+
+
 def write_slices(spark, sf_dir, folder, numbers, of=8, by=None):
     """`slices` of the events, by event id if nothing else is given."""
-    slices(table(spark, sf_dir, "events"), folder, numbers, F.col("event_id") if by is None else by, of)
+    return slices(table(spark, sf_dir, "events"), folder, numbers, F.col("event_id") if by is None else by, of)
 
 
 def slices(frame, folder, numbers, by, of=8):
-    """The slices `numbers` of a frame, cut `of` ways along `by` (a Column), as one file each and
-    in this order: what a stream of files finds one after the other."""
+    """The slices `numbers` of a frame, cut `of` ways along `by` (a Column), in this order: what a
+    stream of files finds one after the other. Every slice has the same number of files, which is
+    returned: as many as its smallest slice has rows for, so that none of them is empty."""
     cut = frame.withColumn("_at", by)
     top = cut.agg(F.max("_at")).scalar()
-    slice_of = F.floor(F.col("_at") * of / (top + 1))
+    cut = cut.withColumn("_slice", F.floor(F.col("_at") * of / (top + 1))).drop("_at")
+    sizes = dict(cut.groupBy("_slice").count().filter("_slice is not null").collect())  # `of` rows
+    files = min(16, max(1, min(sizes.get(i, 0) for i in range(of)) // SLICE_FILE_ROWS))
     for i in numbers:
-        cut.filter(slice_of == i).drop("_at").coalesce(1).write.parquet(os.path.join(folder, f"slice={i}"))
+        part = cut.filter(F.col("_slice") == i).drop("_slice")
+        part.repartition(files).write.parquet(os.path.join(folder, f"slice={i}"))
+    return files
 
 
 def as_orders(events, time_type="timestamp_ntz"):

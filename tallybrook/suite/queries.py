@@ -291,25 +291,50 @@ def _without_zone(df, *columns):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+STATE_ROWS = 500_000  # of the whole input, for one partition of the state
+BUCKETS_EACH = 16  # buckets of keys in a partition
+
+
+def _state_size(rows):
+    """Partitions of the state and buckets of its keys, by the rows of the whole input."""
+    partitions = max(4, -(-rows // STATE_ROWS))
+    return {"state_partitions": partitions}, {"buckets": BUCKETS_EACH * partitions}
+
+
+def _events_state(spark, sf_dir):
+    return _state_size(td.table(spark, sf_dir, "events").count())
+
+
 def _run_sliced(spark, sf_dir, name, writer, by=None):
     """Eight micro-batches in order, with a stop and a restart from the checkpoint between the
     fourth and the fifth."""
     folder = new_folder(spark, name)
     source = os.path.join(folder, "source")
+    size, _ = _events_state(spark, sf_dir)
     for numbers in (range(4), range(4, 8)):
-        td.write_slices(spark, sf_dir, source, numbers, by=by)
-        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=1))
-        run_to_end(writer(orders, os.path.join(folder, "out")), os.path.join(folder, "checkpoint"), state_partitions=4)
+        files = td.write_slices(spark, sf_dir, source, numbers, by=by)
+        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=files))
+        run_to_end(writer(orders, os.path.join(folder, "out")), os.path.join(folder, "checkpoint"), **size)
     return os.path.join(folder, "out")
 
 
-def _matched(spark, sf_dir, orders):
-    return enrich.drop_unmatched(enrich.enrich_current(orders, _newest_profiles(spark, sf_dir)))
+def _kept_profiles(spark, sf_dir):
+    """The newest profiles, written down once: a stream joins them in every micro-batch."""
+    folder = new_folder(spark, "newest")
+    current = _newest_profiles(spark, sf_dir)
+    current.write.parquet(folder)
+    return spark.read.schema(current.schema).parquet(folder)
+
+
+def _matched(orders, current):
+    return enrich.drop_unmatched(enrich.enrich_current(orders, current))
 
 
 def q_stream_orders_per_window(spark, sf_dir):
+    current = _kept_profiles(spark, sf_dir)
+
     def writer(orders, out):
-        return native.write_updates(stateful.totals(_matched(spark, sf_dir, orders)), out)
+        return native.write_updates(stateful.totals(_matched(orders, current)), out)
 
     return native.latest_windows(spark, _run_sliced(spark, sf_dir, "totals", writer))
 
@@ -337,8 +362,11 @@ def q_stream_final_windows(spark, sf_dir):
 
 
 def q_stream_strict_no_grace(spark, sf_dir):
+    current = _kept_profiles(spark, sf_dir)
+
     def writer(orders, out):
-        matched = enrich.matched_orders(orders, _newest_profiles(spark, sf_dir))
+        needed = orders.select("key", "partition", "offset", "order_id", "amount_cents", "arrival", "timestamp")
+        matched = enrich.matched_orders(needed, current)
         return native.write_rows(stateful.drop_late(matched, arrival=JITTERED), out)
 
     rows = spark.read.parquet(_run_sliced(spark, sf_dir, "strict", writer, td.arrival_number()))
@@ -350,22 +378,26 @@ def q_stream_enrich_asof(spark, sf_dir):
     source, profiles = os.path.join(folder, "source"), os.path.join(folder, "profiles")
     schema = td.write_profile_stream(spark, sf_dir, profiles)
     out = os.path.join(folder, "out")
+    size, buckets = _events_state(spark, sf_dir)
     for numbers in (range(4), range(4, 8)):
-        td.write_slices(spark, sf_dir, source, numbers)
+        files = td.write_slices(spark, sf_dir, source, numbers)
         # after a restart each stream must be heard of once before time moves on
         td.write_profile_heartbeat(spark, sf_dir, profiles, f"end{numbers[0]}")
         if 7 in numbers:
             td.write_heartbeat(spark, sf_dir, source)
-        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=1))
+        orders = td.as_orders(td.stream_events(spark, source, "*.parquet", files_per_trigger=files))
         history = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(profiles)
-        joined = stateful.enrich_asof(orders, history)
-        run_to_end(native.write_rows(joined, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+        joined = stateful.enrich_asof(orders, history, **buckets)
+        run_to_end(native.write_rows(joined, out), os.path.join(folder, "checkpoint"), **size)
     return spark.read.parquet(out)
 
 
 def q_stream_window_changelog(spark, sf_dir):
+    current = _kept_profiles(spark, sf_dir)
+    _, buckets = _events_state(spark, sf_dir)
+
     def writer(orders, out):
-        return native.write_rows(stateful.changelog(_matched(spark, sf_dir, orders), DAY), out)
+        return native.write_rows(stateful.changelog(_matched(orders, current), DAY, **buckets), out)
 
     return spark.read.parquet(_run_sliced(spark, sf_dir, "changelog", writer))
 
@@ -375,10 +407,11 @@ def q_stream_enrich_current(spark, sf_dir):
     folder = new_folder(spark, "current")
     profiles = os.path.join(folder, "profiles")
     schema = td.write_profile_stream(spark, sf_dir, profiles)
+    _, buckets = _events_state(spark, sf_dir)
 
     def writer(orders, out):
         history = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(profiles)
-        return native.write_rows(stateful.enrich_current(orders, history), out)
+        return native.write_rows(stateful.enrich_current(orders, history, **buckets), out)
 
     return spark.read.parquet(_run_sliced(spark, sf_dir, "enriched", writer))
 
@@ -389,11 +422,12 @@ def q_stream_validate_windows(spark, sf_dir):
     whole = os.path.join(folder, "whole")
     _window_records(spark, sf_dir).write.parquet(whole)
     records = spark.read.parquet(whole)
+    size, buckets = _state_size(records.count())
     for numbers in (range(4), range(4, 8)):
-        td.slices(records, source, numbers, F.col("offset"))
-        stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        checked = stateful.validated_windows(stream, UNIT_AMOUNT_CENTS, DAY_MS)
-        run_to_end(native.write_rows(checked, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+        files = td.slices(records, source, numbers, F.col("offset"))
+        stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files).parquet(source)
+        checked = stateful.validated_windows(stream, UNIT_AMOUNT_CENTS, DAY_MS, **buckets)
+        run_to_end(native.write_rows(checked, out), os.path.join(folder, "checkpoint"), **size)
     return spark.read.parquet(out).select(
         F.col("key.customer_id").alias("customer_id"),
         "offset",
@@ -414,23 +448,27 @@ def q_stream_reconcile_windows(spark, sf_dir):
     late = F.when(F.col("customer_id").cast("bigint") % 5 == 0, 2).otherwise(0)
     sides["expected"] = expected, day
     sides["written"] = td.damaged_windows(expected), day + late
+    size, _ = _state_size(expected.count())
     for numbers in (range(4), range(4, 8)):
         streams = {}
         for name, (frame, by) in sides.items():
             source = os.path.join(folder, name)
-            td.slices(frame, source, numbers, by)
+            files = td.slices(frame, source, numbers, by)
             if 7 in numbers:
                 td.write_window_heartbeat(frame, source)
-            reader = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1)
+            reader = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", files)
             streams[name] = reader.option("pathGlobFilter", "*.parquet").parquet(source)
         found = reconcile.reconcile_windows(**streams, lag="7 days")
-        run_to_end(native.write_rows(found, out), os.path.join(folder, "checkpoint"), state_partitions=4)
+        run_to_end(native.write_rows(found, out), os.path.join(folder, "checkpoint"), **size)
     return spark.read.parquet(out).fillna(0, ["written_count", "written_cents"])
 
 
 def q_stream_validate_orders(spark, sf_dir):
+    _, buckets = _events_state(spark, sf_dir)
+
     def writer(orders, out):
-        return native.write_rows(stateful.validated_orders(td.as_order_records(orders)), out)
+        checked = stateful.validated_orders(td.as_order_records(orders), **buckets)
+        return native.write_rows(checked, out)
 
     checked = spark.read.parquet(_run_sliced(spark, sf_dir, "validated-orders", writer))
     return checked.select(

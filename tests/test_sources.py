@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallybrook import session
 from tallybrook.operators import enrich
 from tallybrook.sources import orders as order_source
+from tallybrook.sources import testdata as td
 from tallybrook.sources.profiles import seed_profiles
 from tests.helpers import at, orders, profiles, rows
 
@@ -82,3 +83,18 @@ def test_shared_folder_comes_from_the_session():
 def test_a_cluster_without_shared_folder_is_an_error():
     with pytest.raises(RuntimeError):
         session.shared_folder(FakeSession(spark_master="yarn"))
+
+
+def test_slices_have_equal_numbers_of_files(spark, tmp_path, monkeypatch):
+    """A micro-batch of that many files is a whole slice, in order."""
+    monkeypatch.setattr(td, "SLICE_FILE_ROWS", 10)
+    frame = spark.range(400).toDF("n")
+    source = str(tmp_path / "in")
+    files = td.slices(frame, source, range(8), F.col("n"))
+    assert files == 5
+    stream = spark.readStream.schema("n bigint").option("maxFilesPerTrigger", files).parquet(source)
+    batches = []
+    query = stream.writeStream.foreachBatch(lambda b, i: batches.append(sorted(r.n for r in b.collect())))
+    query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert batches == [list(range(i * 50, i * 50 + 50)) for i in range(8)]
+    assert td.slices(frame.filter("n < 399 or n > 1"), str(tmp_path / "few"), range(1), F.when(F.col("n") > 0, 399).otherwise(0)) == 1
