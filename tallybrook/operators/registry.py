@@ -70,7 +70,8 @@ def schema_compat_diff(registry, hot_rows=HOT_ROWS, block_rows=BLOCK_ROWS):
             split=F.col("_hot"),
             inclusive=False,
         ).drop("_hot")
-    steps = steps.filter(F.col("old_version").isNotNull())
+    # the size of rows out of an explode is underestimated, and one side would be broadcast
+    steps = steps.filter(F.col("old_version").isNotNull()).hint("merge")
 
     fields = registry.select("subject", "version", "field", "has_default")
     new = fields.join(steps, ["subject", "version"]).select(

@@ -2,6 +2,7 @@
 
 from tallybrook.functions.wire import split_wire_prefix
 from tallybrook.operators import registry
+from tallybrook.suite.queries import all_queries
 from tests.helpers import rows
 
 
@@ -85,3 +86,9 @@ def test_versions_compare_with_the_one_before(spark):
     for limits in ({}, {"hot_rows": 1, "block_rows": 2}):
         out = registry.schema_compat_diff(entries, **limits)
         assert rows(out) == [("s", 1, 4, "b", "backward")]
+
+
+def test_versions_are_not_broadcast(spark, sf_dir):
+    """Rows out of an explode are many more than the planner expects."""
+    plan = all_queries()["schema_compat_diff"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
