@@ -163,7 +163,9 @@ def cluster_sum(samples, metric, staleness="5 minutes"):
         F.sum("change").alias("change"), F.sum("away").alias("away"), F.max("own").alias("own")
     )
     sums = {"value": Fold("sum", F.col("change")), "instances_away": Fold("sum", F.col("away"))}
-    summed = running(at_once.withColumn("scope", F.lit(0)), ["scope"], ["ts"], sums, block=_hour())
+    # one scope for all times; a literal would gather the hours in the planner's single partition
+    scope = F.floor(F.abs(_micros("ts")) / 2**62)
+    summed = running(at_once.withColumn("scope", scope), ["scope"], ["ts"], sums, block=_hour())
     # counted, so that rounding leaves no remainder of a sum that is zero
     value = F.when(F.col("instances_away") > 0, F.col("value")).otherwise(F.lit(0.0))
     return summed.filter("own = 1").select("ts", value.alias("value"))
