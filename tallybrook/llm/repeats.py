@@ -190,6 +190,15 @@ def _last_reading(open_texts):
     return open_texts.mapInPandas(run, DONE)
 
 
+def _keyed(spark, d):
+    """With the `key` that tells rows of one id apart, a hash of their text. Ids that do not repeat
+    need none: theirs is zero, which takes no room in a shuffle."""
+    repeated = d.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = stage(spark, repeated.select("id"), "repeats-ids").withColumn("again", F.lit(True))
+    key = F.when(F.col("again"), F.xxhash64("id", "text")).otherwise(F.lit(0).cast("bigint"))
+    return d.join(repeated, "id", "left").select("id", "text", key.alias("key"))
+
+
 def remove_repeats(spark, docs, row_id="doc_id", text="text"):
     """`row_id`, `n_words`, `n_removed`, `kept` (the words that stay, joined by one space).
 
@@ -199,7 +208,7 @@ def remove_repeats(spark, docs, row_id="doc_id", text="text"):
     null id stay whole and judge nothing. Other columns are ignored.
     """
     d = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    d = d.withColumn("key", F.xxhash64("id", "text"))
+    d = _keyed(spark, d)
     edges = stage(spark, _edges(d.filter("id is not null").select("id", "key", "text")), "repeats-edges")
     classes = edges.groupBy("edge", "path").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     classes = stage(spark, classes, "repeats-classes")

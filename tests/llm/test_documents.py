@@ -525,3 +525,10 @@ def test_packing_words():
         for w in words:
             ids = tokenizer.encode(w, add_special_tokens=False).ids
             assert known.ids[w] == np.asarray(ids, "<u4").tobytes(), w
+
+
+def test_keys_only_where_ids_repeat(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (2, "c"), (None, "d"), (None, "e"), (3, None)], "id bigint, text string")
+    keys = {(r.id, r.text): r.key for r in repeats._keyed(spark, d).collect()}
+    assert len(keys) == 6 and keys[2, "b"] != keys[2, "c"] and 0 not in (keys[2, "b"], keys[2, "c"])
+    assert {k for (i, _), k in keys.items() if i != 2} == {0}
