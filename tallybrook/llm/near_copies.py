@@ -12,9 +12,12 @@ Pairs of a bucket whose samples agree often enough for a similarity of 0.8 are c
 texts. Texts of equal words are one member.
 
 A bucket of any size costs one comparison per member at first: with its smallest id. After these
-stars are joined to components, only members of a bucket that are in different components are
-compared, and of those only pairs whose sketches of 512 more samples are close enough. So no group
-of copies is expanded into its pairs.
+stars are joined to components, only members of a bucket that are in different components may be
+compared. The weight of a text's shingles that no other such text has is counted exactly; no
+partner shares it, so a text with too much of it has none. The others are compared with the ORIGINS
+members of their bucket that have the least of it, likely origins of its copies, and joined again.
+Only pairs that are still in different components are then compared, if their shared weights and their
+sketches of 512 more samples allow it. So no group of copies is expanded into its pairs.
 """
 
 import zlib
@@ -22,6 +25,7 @@ import zlib
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, stage
@@ -35,6 +39,7 @@ SAMPLES = BANDS * ROWS
 AGREE = 22  # of 48 samples; at a similarity of 0.8 fewer agree with probability 1e-7
 SKETCH = 512  # samples of one bit each, of texts with a likely partner in another component
 APART = 80  # bits that may differ; at a similarity of 0.8 more do with probability 1e-5
+ORIGINS = 8  # members of a bucket that all others are compared with before pairs are
 COMMON = 256  # shingles in less than this share of the documents weigh alike
 CELLS, BLOCKS, DEPTH = 1 << 20, 32, 2  # sketch
 FAN_IN = 64
@@ -308,19 +313,32 @@ def _compare(idf, threshold):
     return run
 
 
-def _sketch(idf):
+def _weighed(idf):
     def run(frames):
         table = idf.value
         for f in frames:
-            bits = []
-            for text in f["text"]:
-                key = samples(*weigh(word_hashes(text), table), _SKETCH_SEEDS)
-                bits.append(np.packbits((key >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64))
-            yield pd.DataFrame({"id": f["id"], "bits": bits})
+            got = [weigh(word_hashes(text), table) for text in f["text"]]
+            yield pd.DataFrame(
+                {
+                    "id": f["id"],
+                    "total": [w.sum(dtype=np.float64) for _, w in got],
+                    "shingles": [own.view(np.int64) for own, _ in got],
+                    "weights": [w for _, w in got],
+                }
+            )
 
     return run
 
 
+def _sketch(frames):
+    for f in frames:
+        bits = []
+        for own, weights in zip(f["shingles"], f["weights"]):
+            key = samples(np.asarray(own, np.int64).view(np.uint64), np.asarray(weights, np.float32), _SKETCH_SEEDS)
+            bits.append(np.packbits((key >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64))
+        yield pd.DataFrame({"id": f["id"], "bits": bits})
+
+
 def _links(texts, pairs, idf, threshold):
     """The pairs (a, b) whose texts are similar. A text with many partners is compared in
     several cells of at most about PARTNERS, so that no task gets them all."""
@@ -345,6 +363,29 @@ def _agreeing(pairs, shorts):
     return pairs.filter(_agreement("short_a", "short_b") >= AGREE).select("a", "b")
 
 
+def _unshared(weighed):
+    """`id`, `alone`: the weight of the shingles that no other text of `weighed` has."""
+    each = weighed.select("id", F.explode(F.arrays_zip("shingles", "weights")).alias("e"))
+    each = each.select("id", F.col("e.shingles").alias("shingle"), F.col("e.weights").alias("weight"))
+    holders = each.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("z"), F.min("weight").alias("weight"))
+    return holders.filter("id = z").groupBy("id").agg(F.sum("weight").alias("alone"))
+
+
+def _side(frame, columns, x):
+    return frame.select("key", *[F.col(c).alias(f"{c}_{x}") for c in columns])
+
+
+def _may_link(threshold):
+    """Whether the weights that texts a and b share with any others allow a link."""
+    both = F.least("shared_a", "shared_b") * (1 + 1e-9)
+    return both >= threshold * (F.col("total_a") + F.col("total_b") - both)
+
+
+def _close():
+    apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    return apart <= APART
+
+
 def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRESHOLD):
     """`row_id`, `class_id` for every row of `docs`: the smallest id of its class.
 
@@ -376,30 +417,58 @@ def near_copy_classes(spark, docs, row_id="doc_id", text="text", threshold=THRES
     named = stage(spark, named, "near-named")
     mixed = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key")
     open_ = named.join(stage(spark, mixed, "near-mixed"), "key")
-    # only texts with a likely partner in another component need a sketch
+    # only texts with a likely partner in another component are weighed, and of those with a possible one sketched
     mine = stage(spark, open_.join(own, "id"), "near-open")
     other = mine.select(F.col("key").alias("k"), F.col("label").alias("l"), F.col("short").alias("s"))
     on = (F.col("key") == F.col("k")) & (F.col("label") != F.col("l")) & (_agreement("short", "s") >= AGREE)
     likely = mine.join(other, on, "left_semi").select("id").distinct()
-    sketched = texts.join(likely, "id").select("id", "text").mapInPandas(_sketch(idf), "id bigint, bits array<bigint>")
-    full = stage(spark, mine.join(stage(spark, sketched, "near-sketched"), "id").drop("short"), "near-full")
-    sides = [
-        full.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "label", "bits", "bands")]) for x in "ab"
-    ]
-    apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH // 64)), F.lit(0))
-    shared = F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p))
+    weighed = texts.join(likely, "id").select("id", "text")
+    weighed = weighed.mapInPandas(_weighed(idf), "id bigint, total double, shingles array<bigint>, weights array<float>")
+    weighed = stage(spark, weighed, "near-weighed")
+    shared = F.col("total") - F.coalesce("alone", F.lit(0.0))
+    shared = weighed.select("id", "total").join(_unshared(weighed), "id", "left").select("id", "total", shared.alias("shared"))
+    known = stage(spark, mine.join(shared, "id"), "near-known")
+    x, y = (_side(known, ("id", "label", "total", "shared", "short"), side) for side in "ab")
+    on = (x["key"] == y["key"]) & (F.col("label_a") != F.col("label_b")) & _may_link(threshold)
+    possible = x.join(y, on & (_agreement("short_a", "short_b") >= AGREE), "left_semi").select(F.col("id_a").alias("id")).distinct()
+    sketched = weighed.join(possible, "id").select("id", "shingles", "weights").mapInPandas(_sketch, "id bigint, bits array<bigint>")
+    full = stage(spark, known.join(stage(spark, sketched, "near-sketched"), "id").drop("short"), "near-full")
+
+    # each bucket's likely origins with its members in other components
+    columns = ("id", "label", "total", "shared", "bits")
+    least_alone = Window.partitionBy("key").orderBy(1 - F.col("shared") / F.col("total"), "id")
+    origins = full.withColumn("place", F.row_number().over(least_alone)).filter(F.col("place") <= ORIGINS)
+    x, y = _side(origins, columns, "a"), _side(full, columns, "b")
+    on = (x["key"] == y["key"]) & (F.col("label_a") != F.col("label_b")) & _may_link(threshold) & _close()
+    spokes = x.join(y, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    both_ways = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    spokes = stage(spark, spokes.join(both_ways, ["a", "b"], "left_anti"), "near-spokes")
+    second = stage(spark, _links(texts, spokes, idf, threshold), "near-second")
+    labels = full.select("id", "label").distinct()
+    for side in "ab":
+        merged = (second if side == "a" else merged).join(labels.select(F.col("id").alias(side), F.col("label").alias(f"l{side}")), side)
+    merged = connected(spark, merged.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    merged = merged.select(F.col("id").alias("label"), F.col("label").alias("to"))
+    full = full.join(merged, "label", "left").withColumn("label", F.coalesce("to", "label"))
+    full = stage(spark, full.drop("to"), "near-rest")
+
+    columns = (*columns, "bands")
+    x, y = (_side(full, columns, side) for side in "ab")
+    common_bands = F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p))
     on = (
-        (sides[0]["key"] == sides[1]["key"])
+        (x["key"] == y["key"])
         & (F.col("id_a") < F.col("id_b"))
         & (F.col("label_a") != F.col("label_b"))
-        & (apart <= APART)
+        & _may_link(threshold)
+        & _close()
         # each pair comes from the first bucket that it shares
-        & (F.get(F.array_compact(shared), F.lit(0)) == sides[0]["key"])
+        & (F.get(F.array_compact(common_bands), F.lit(0)) == x["key"])
     )
-    cross = sides[0].join(sides[1], on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    cross = stage(spark, cross.join(stars, ["a", "b"], "left_anti"), "near-cross")
-    second = stage(spark, _links(texts, cross, idf, threshold), "near-second")
-    classes = connected(spark, first.unionByName(second))
+    cross = x.join(y, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    done = stars.unionByName(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    cross = stage(spark, cross.join(done, ["a", "b"], "left_anti"), "near-cross")
+    third = stage(spark, _links(texts, cross, idf, threshold), "near-third")
+    classes = connected(spark, first.unionByName(second).unionByName(third))
 
     named = reps.join(classes, "id", "left").select("s1", "s2", F.coalesce("label", "id").alias("class_id"))
     named = stage(spark, named, "near-classes")

@@ -463,6 +463,41 @@ def test_near_copies_in_one_bucket_group(spark):
     assert {r.class_id for r in near_copies.near_copy_classes(spark, docs).collect()} == {0}
 
 
+def copies_without_links(n):
+    """Copies of a text that is no document, each with its own changes in three places: all meet
+    in buckets, hardly any two are alike."""
+    rng = np.random.default_rng(5)
+    texts = {}
+    for i in range(n):
+        words = [f"base{k}" for k in range(150)]
+        for at in (10, 60, 110):
+            words[at + int(rng.integers(0, 30))] = f"own{i}at{at}"
+        texts[i] = " ".join(words)
+    for i in range(4 * n):
+        texts[10_000 + i] = " ".join(f"p{i}w{j}" for j in range(6))
+    return texts
+
+
+@pytest.mark.parametrize("n", [40, 120])
+def test_near_copies_compare_few_pairs(spark, monkeypatch, n):
+    """The pairs to compare grow with the members of a group, not with their square."""
+    staged = {}
+
+    def counted(session, frame, name):
+        staged[name] = near_copies_stage(session, frame, name)
+        return staged[name]
+
+    near_copies_stage = near_copies.stage
+    monkeypatch.setattr(near_copies, "stage", counted)
+    texts = copies_without_links(n)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in near_copies.near_copy_classes(spark, docs).collect()}
+    assert got == weighted_classes(texts)
+    assert len({c for i, c in got.items() if i < n}) > n // 2
+    assert staged["near-open"].select("id").distinct().count() > n // 2
+    assert staged["near-cross"].count() <= n
+
+
 def test_near_copies_messy(spark, messy, nothing):
     rows = [(r.doc_id, r.class_id) for r in near_copies.near_copy_classes(spark, messy).collect()]
     assert len(rows) == messy.count()
