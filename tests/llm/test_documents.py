@@ -464,14 +464,14 @@ def test_near_copies_in_one_bucket_group(spark):
 
 
 def copies_without_links(n):
-    """Copies of a text that is no document, each with its own changes in three places: all meet
-    in buckets, hardly any two are alike."""
+    """Copies of a text that is no document, each with two words of its own: most meet in buckets,
+    no two are alike."""
     rng = np.random.default_rng(5)
     texts = {}
     for i in range(n):
         words = [f"base{k}" for k in range(150)]
-        for at in (10, 60, 110):
-            words[at + int(rng.integers(0, 30))] = f"own{i}at{at}"
+        at = int(rng.integers(10, 138))
+        words[at], words[at + 2] = f"own{i}", f"other{i}"
         texts[i] = " ".join(words)
     for i in range(4 * n):
         texts[10_000 + i] = " ".join(f"p{i}w{j}" for j in range(6))
@@ -493,7 +493,6 @@ def test_near_copies_compare_few_pairs(spark, monkeypatch, n):
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
     got = {r.doc_id: r.class_id for r in near_copies.near_copy_classes(spark, docs).collect()}
     assert got == weighted_classes(texts)
-    assert len({c for i, c in got.items() if i < n}) > n // 2
     assert staged["near-open"].select("id").distinct().count() > n // 2
     assert staged["near-cross"].count() <= n
 
