@@ -2,7 +2,8 @@
 
 A series is one (metric, labels, instance). Series are cut into hours, so a task never
 holds more than one hour of one series, however much of the table it fills. An hour costs one
-small row more, which carries the value before it on.
+small row more, which carries the value before it on. `relative_drop` cuts them into trailing
+spans instead; a task holds two of one instance, and every sample is shuffled for both.
 """
 
 from pyspark.sql import Window
@@ -12,9 +13,6 @@ from ..plans.running import Fold, running
 
 SERIES = ["metric", "labels_id", "instance"]
 HOUR_MICROS = 3_600_000_000
-# A block of `relative_drop` is at least so many trailing spans long: an eighth of the rows are
-# context of the next block as well, and a task holds at most nine spans or an hour.
-SPANS = 8
 
 
 def with_series(samples):
@@ -102,26 +100,43 @@ def counter_rate(samples, metric, width="1 minute"):
 def relative_drop(samples, metric, trailing_seconds=600, below=0.5):
     """Samples of a gauge that fall below a fraction of their trailing mean.
 
-    The mean covers the sample itself and the `trailing_seconds` before it. A
-    sample also joins the next block as context, so blocks can be cut anywhere.
+    The mean covers the sample itself and the `trailing_seconds` before it. Blocks are
+    as long as this span, so a span is the rest of one block and the beginning of the
+    next. Both are running sums, one from either end: no span is read again for each of
+    its samples, and as nothing is subtracted, values outside of a span leave no rounding.
     """
     trailing = trailing_seconds * 1_000_000
-    width = max(HOUR_MICROS, SPANS * trailing)
+    width = F.lit(trailing + 1).cast("bigint")  # both ends belong to the span
+
+    def block_start(at):
+        return at - F.pmod(at, width)
+
+    # a sample enters the spans of its own block and leaves those of the next
+    until = F.col("_at") + F.lit(trailing)
     placed = (
         samples.filter(F.col("metric") == metric)
         .select("instance", "ts", "value", _micros("ts").alias("_at"))
-        .withColumn("_own", F.floor(F.col("_at") / width))
-        .withColumn("_ahead", F.floor((F.col("_at") + trailing) / width))
-        .withColumn("_block", F.explode(F.sequence("_own", "_ahead")))
+        .withColumn("_own", block_start(F.col("_at")))
+        .withColumn("_block", F.explode(F.sequence("_own", block_start(until), width)))
+        .withColumn("_enters", F.col("_block") == F.col("_own"))
+        .withColumn("_at", F.when(F.col("_enters"), F.col("_at")).otherwise(until))
+        .drop("_own")
     )
-    span = (
-        Window.partitionBy("instance", "_block")
-        .orderBy("_at")
-        .rangeBetween(-trailing, 0)
+    # blocks before names: rows are sorted by the first column fastest
+    block = Window.partitionBy("_block", "instance")
+    upto = Window.unboundedPreceding, Window.currentRow
+    so_far = block.orderBy("_at").rangeBetween(*upto)
+    still = block.orderBy(F.col("_at").desc()).rangeBetween(*upto)
+    leaving = F.when(~F.col("_enters"), F.col("value"))
+    sums = (
+        placed.withColumn("_sum", F.sum(leaving).over(still))
+        .withColumn("_count", F.count(leaving).over(still))
+        .filter("_enters")
+        .withColumn("_sum", F.sum("value").over(so_far) + F.coalesce("_sum", F.lit(0.0)))
+        .withColumn("_count", F.count("value").over(so_far) + F.col("_count"))
     )
     return (
-        placed.withColumn("mean", F.avg("value").over(span))
-        .filter(F.col("_block") == F.col("_own"))
+        sums.withColumn("mean", F.col("_sum") / F.col("_count"))
         .select(
             "instance", "ts", "value", (F.col("value") / F.col("mean")).alias("of_mean")
         )

@@ -1,6 +1,9 @@
 """Metric names, rates, drops, outages and lag."""
 
-from datetime import timedelta
+import math
+import random
+import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,6 +198,47 @@ def test_one_busy_series_is_cut(spark):
     assert rows(dips, "ts", "of_mean") == low and low
 
 
+@pytest.mark.parametrize("trailing", [0, 1, 7, 600])
+def test_relative_drop_on_odd_samples(spark, trailing):
+    """Ties, nulls, repeats, an outlier, infinities, times before 1970, both ends of a span."""
+    epoch, second = datetime(1970, 1, 1), 1_000_000
+    draw = random.Random(4)
+    data = [(i, draw.randrange(-2000, 2000) * second, draw.choice([0.1, 0.3, 2.0, None])) for i in ("a", None) for _ in range(800)]
+    data += data[:50]
+    data += [("a", draw.randrange(-2000, 2000) * second + draw.choice([-1, 0, 1]), 0.7) for _ in range(400)]
+    edges = [k * (trailing * second + 1) + d for k in (-2, -1, 0, 1, 2) for d in (-1, 0, 1)]
+    data += [("b", t, v) for t in edges for v in (0.25, 3.0)]
+    data += [("c", t * second, 1e15 if t == 5 else 1.0 + t % 3) for t in range(40)]
+    data += [("d", t * second, {9: math.inf, 20: -math.inf, 30: math.nan}.get(t, 1.0)) for t in range(40)]
+    data += [("e", t * second, None) for t in range(5)] + [("f", None, 0.1)]
+    frame = spark.createDataFrame(
+        [("m", i, None if t is None else epoch + timedelta(microseconds=t), v) for i, t, v in data],
+        "metric string, instance string, ts timestamp_ntz, value double",
+    )
+    want = []
+    for i, t, v in data:
+        if t is None or v is None:
+            continue
+        span = [w for j, u, w in data if j == i and w is not None and u is not None and t - trailing * second <= u <= t]
+        if v / (sum(span) / len(span)) < 0.5:
+            want.append((str(i), t, v, v / (sum(span) / len(span))))
+    found = [
+        (str(r.instance), (r.ts - epoch) // timedelta(microseconds=1), r.value, r.of_mean)
+        for r in metrics.relative_drop(frame, "m", trailing_seconds=trailing).collect()
+    ]
+    assert sorted(r[:3] for r in found) == sorted(r[:3] for r in want) and want
+    assert [r[3] for r in sorted(found)] == pytest.approx([r[3] for r in sorted(want)], rel=1e-12)
+
+
+def test_trailing_mean_does_not_read_a_span_for_each_sample(spark):
+    """A frame that slides is read anew for each row, so its work grows with the square of the samples."""
+    frame = samples(spark, "m", [("a", i, 1) for i in range(3)])
+    plan = metrics.relative_drop(frame, "m", trailing_seconds=3600)._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\(\w+, ([^,]+), ([^)]+\))\)", plan)
+    assert frames and set(frames) == {("unboundedpreceding$()", "currentrow$()")}
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_gauge_takes_the_last_value_of_a_step(spark):
     out = metrics.gauge_by_instance(samples(spark, "m", [("a", 1, 5), ("a", 9, 7), ("a", 16, 1)]), "m")
     assert sorted(rows(out, "value")) == [(1.0,), (7.0,)]
